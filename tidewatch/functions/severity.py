@@ -1,19 +1,16 @@
-"""Severity of a finding from its three metrics."""
+"""Severity of a finding from its three metrics, as a Spark SQL fragment."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from tidewatch.settings import RuleSettings
 
 
 def severity(
     settings: RuleSettings,
-    revenue: Column | None = None,
-    orders: Column | None = None,
-    overdue_hours: Column | None = None,
-) -> Column:
+    revenue: str | None = None,
+    orders: str | None = None,
+    overdue_hours: str | None = None,
+) -> str:
     """Highest rank any metric reaches; thresholds are inclusive, a missing metric is ignored."""
     metrics = [
         (metric, ladder)
@@ -25,21 +22,16 @@ def severity(
         if metric is not None
     ]
 
-    def reached(rank: str) -> Column:
-        hit = F.lit(False)
-        for metric, ladder in metrics:
-            hit = hit | F.coalesce(metric >= F.lit(getattr(ladder, rank)), F.lit(False))
-        return hit
+    def reached(rank: str) -> str:
+        return " OR ".join(f"coalesce({metric} >= {getattr(ladder, rank)}, false)" for metric, ladder in metrics)
 
-    return (
-        F.when(reached("critical"), "CRITICAL")
-        .when(reached("high"), "HIGH")
-        .when(reached("medium"), "MEDIUM")
-        .otherwise("LOW")
-    )
+    if not metrics:
+        return "'LOW'"
+    ranks = " ".join(f"WHEN {reached(rank)} THEN '{rank.upper()}'" for rank in ("critical", "high", "medium"))
+    return f"CASE {ranks} ELSE 'LOW' END"
 
 
-def interval_hours(interval: Column) -> Column:
+def interval_hours(interval: str) -> str:
     """Hours of a day-time interval, for lateness given as a duration."""
-    micros = F.unix_micros(F.timestamp_micros(F.lit(0)) + interval)
-    return micros.cast("decimal(20,0)") / F.lit(3_600_000_000).cast("decimal(10,0)")
+    micros = f"unix_micros(timestamp_micros(0) + {interval})"
+    return f"CAST({micros} AS DECIMAL(20,0)) / CAST(3600000000 AS DECIMAL(10,0))"

@@ -1,19 +1,18 @@
-"""Text, number and time expressions shared by every job. All of them stay inside the JVM."""
+"""Text, number and time expressions shared by every job, as Spark SQL fragments.
 
-from __future__ import annotations
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+Each function takes SQL expressions and returns one, so a job hands Spark a whole projection at
+once. All of them stay inside the JVM.
+"""
 
-from tidewatch.schema import WIDE
+from __future__ import annotations
 
 # The characters that count as blank at either end of a text.
 BLANKS = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
-    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+    r"\t\n\u000B\u000C\r\u001C\u001D\u001E\u001F \u0085        "
+    r"         　"
 )
 
-# Accepted spellings of decimals and ISO-8601 instants.
+# Accepted spellings of decimals, integers and ISO-8601 instants.
 DECIMAL_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 NON_FINITE_PATTERN = r"(?i)^[+-]?(inf|infinity|s?nan[0-9]*)$"
 INTEGER_PATTERN = r"^[+-]?[0-9]+(_[0-9]+)*$"
@@ -22,202 +21,192 @@ INSTANT_PATTERN = (
     r"(?:[T ]([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,]([0-9]+))?)?)?"
     r"([+-][0-9]{2}(?::?[0-9]{2})?)?)?$"
 )
+DASH = "'—'"
 
 
-def stripped(value: Column) -> Column:
+def quoted(text: str) -> str:
+    """SQL literal of a Python text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def stripped(text: str) -> str:
     """Strip blanks at both ends; a blank text stays an empty text."""
-    return F.btrim(value, F.lit(BLANKS))
+    return f"btrim({text}, '{BLANKS}')"
 
 
-def trimmed(value: Column) -> Column:
+def trimmed(text: str) -> str:
     """Strip blanks at both ends; a blank text becomes null."""
-    return F.nullif(stripped(value), F.lit(""))
+    return f"nullif({stripped(text)}, '')"
 
 
-def parse_decimal(text: Column) -> Column:
+def parse_decimal(text: str) -> str:
     """Finite decimal or null. Underscores between digits are allowed, as in source systems."""
-    plain = F.replace(text, F.lit("_"), F.lit(""))
-    return F.when(plain.rlike(DECIMAL_PATTERN), plain.try_cast(WIDE))
+    plain = f"replace({text}, '_', '')"
+    return f"CASE WHEN {plain} RLIKE r'{DECIMAL_PATTERN}' THEN try_cast({plain} AS DECIMAL(38,10)) END"
 
 
-def is_non_finite(text: Column) -> Column:
-    return text.rlike(NON_FINITE_PATTERN)
+def is_non_finite(text: str) -> str:
+    return f"{text} RLIKE r'{NON_FINITE_PATTERN}'"
 
 
-def parse_integer(text: Column) -> Column:
-    return F.when(text.rlike(INTEGER_PATTERN), F.replace(text, F.lit("_"), F.lit("")).try_cast("int"))
+def parse_integer(text: str) -> str:
+    return f"CASE WHEN {text} RLIKE r'{INTEGER_PATTERN}' THEN try_cast(replace({text}, '_', '') AS INT) END"
 
 
-def parse_boolean(text: Column) -> Column:
-    word = F.lower(text)
-    return F.when(word.isin("true", "1", "yes"), F.lit(True)).when(
-        word.isin("false", "0", "no"), F.lit(False)
+def parse_boolean(text: str) -> str:
+    return (
+        f"CASE WHEN lower({text}) IN ('true', '1', 'yes') THEN true "
+        f"WHEN lower({text}) IN ('false', '0', 'no') THEN false END"
     )
 
 
-def _instant_parts(text: Column) -> tuple[Column, Column, Column]:
-    """The text with its offset spelled out, its local part, and its offset ('' when absent)."""
-    spelled = F.replace(text, F.lit("Z"), F.lit("+00:00"))
+def parse_instant(text: str, *, assume_utc: bool = False) -> str:
+    """ISO-8601 text to a UTC timestamp; null when malformed, or when no offset is given (unless
+    such texts are to be read as UTC)."""
+    spelled = f"replace({text}, 'Z', '+00:00')"
 
-    def part(group: int) -> Column:
-        return F.regexp_extract(spelled, INSTANT_PATTERN, group)
+    def part(group: int) -> str:
+        return f"regexp_extract({spelled}, r'{INSTANT_PATTERN}', {group})"
 
-    def clock(group: int) -> Column:
-        return F.coalesce(F.nullif(part(group), F.lit("")), F.lit("00"))
+    def clock(group: int) -> str:
+        return f"coalesce(nullif({part(group)}, ''), '00')"
 
-    local = F.concat(
-        part(1), F.lit("-"), part(2), F.lit("-"), part(3), F.lit(" "),
-        clock(4), F.lit(":"), clock(5), F.lit(":"), clock(6),
-        F.lit("."), F.rpad(F.substring(part(7), 1, 6), 6, "0"),
+    local = (
+        f"{part(1)}, '-', {part(2)}, '-', {part(3)}, ' ', {clock(4)}, ':', {clock(5)}, ':', {clock(6)}, "
+        f"'.', rpad(substr({part(7)}, 1, 6), 6, '0')"
     )
-    return spelled, local, part(8)
-
-
-def parse_instant(text: Column, *, assume_utc: bool = False) -> Column:
-    """ISO-8601 text to a UTC timestamp; null when malformed, or when no offset is given
-    (unless such texts are to be read as UTC)."""
-    spelled, local, offset = _instant_parts(text)
-    zone = F.concat(
-        F.substring(offset, 1, 3), F.lit(":"),
-        F.coalesce(F.nullif(F.substring(F.replace(offset, F.lit(":"), F.lit("")), 4, 2), F.lit("")), F.lit("00")),
+    offset = part(8)
+    zone = (
+        f"substr({offset}, 1, 3), ':', "
+        f"coalesce(nullif(substr(replace({offset}, ':', ''), 4, 2), ''), '00')"
+    )
+    bare = f"try_cast(concat({local}, '+00:00') AS TIMESTAMP)" if assume_utc else "NULL"
+    return (
+        f"CASE WHEN NOT {spelled} RLIKE r'{INSTANT_PATTERN}' THEN NULL "
+        f"WHEN {offset} = '' THEN {bare} ELSE try_cast(concat({local}, {zone}) AS TIMESTAMP) END"
     )
-    with_offset = F.when(offset != "", F.concat(local, zone).try_cast("timestamp"))
-    if assume_utc:
-        with_offset = F.coalesce(
-            with_offset, F.when(offset == "", F.concat(local, F.lit("+00:00")).try_cast("timestamp"))
-        )
-    return F.when(spelled.rlike(INSTANT_PATTERN), with_offset)
 
 
-def lacks_offset(text: Column) -> Column:
+def lacks_offset(text: str) -> str:
     """True for a well-formed ISO date or time without an offset."""
-    return parse_instant(text).isNull() & parse_instant(text, assume_utc=True).isNotNull()
+    offset = f"regexp_extract(replace({text}, 'Z', '+00:00'), r'{INSTANT_PATTERN}', 8)"
+    return f"({offset} = '' AND {parse_instant(text, assume_utc=True)} IS NOT NULL)"
 
 
-def python_literal(text: Column) -> Column:
+def python_literal(text: str) -> str:
     """Quoted form of a text as messages show it."""
-    single = F.concat(
-        F.lit("'"),
-        F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")),
-        F.lit("'"),
+    doubled = rf"replace({text}, '\\', '\\\\')"
+    return (
+        f"CASE WHEN contains({text}, '\\'') AND NOT contains({text}, '\"') THEN concat('\"', {doubled}, '\"') "
+        rf"ELSE concat('\'', replace({doubled}, '\'', '\\\''), '\'') END"
     )
-    double = F.concat(F.lit('"'), F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'))
-    return F.when(F.contains(text, F.lit("'")) & ~F.contains(text, F.lit('"')), double).otherwise(single)
 
 
-def _clock_text(instant: Column, zone: str) -> Column:
-    whole = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.pmod(F.unix_micros(instant), F.lit(1_000_000))
-    fraction = F.when(micros == 0, F.lit("")).otherwise(F.date_format(instant, ".SSSSSS"))
-    return F.concat(whole, fraction, F.lit(zone))
+def _clock_text(instant: str, zone: str) -> str:
+    return (
+        f"concat(date_format({instant}, \"yyyy-MM-dd'T'HH:mm:ss\"), "
+        f"CASE WHEN unix_micros({instant}) % 1000000 = 0 THEN '' ELSE date_format({instant}, '.SSSSSS') END, '{zone}')"
+    )
 
 
-def iso_offset(instant: Column) -> Column:
+def iso_offset(instant: str) -> str:
     """`2025-01-15T12:00:00+00:00`, with six fraction digits only when they are not zero."""
     return _clock_text(instant, "+00:00")
 
 
-def iso_z(instant: Column) -> Column:
+def iso_z(instant: str) -> str:
     """Wire form of an instant: as :func:`iso_offset`, ending in `Z`."""
     return _clock_text(instant, "Z")
 
 
-def iso_micros(instant: Column) -> Column:
+def iso_micros(instant: str) -> str:
     """Hash form of an instant: always six fraction digits, ending in `Z`."""
-    return F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return f"date_format({instant}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
 
 
-def fixed_text(number: Column, places: int) -> Column:
+def fixed_text(number: str, places: int) -> str:
     """Decimal text with a fixed number of places, ties to even; null reads as zero."""
-    amount = F.coalesce(number, F.lit(0).cast("decimal(1,0)"))
-    return F.bround(amount, places).cast(f"decimal(38,{places})").cast("string")
+    return f"CAST(CAST(bround(coalesce({number}, 0), {places}) AS DECIMAL(38,{places})) AS STRING)"
 
 
-def money_text(number: Column) -> Column:
+def money_text(number: str) -> str:
     return fixed_text(number, 2)
 
 
-def quantity_text(number: Column) -> Column:
+def quantity_text(number: str) -> str:
     return fixed_text(number, 3)
 
 
-def fact_text(number: Column) -> Column:
+def fact_text(number: str) -> str:
     """Decimal text of a fact: a zero of any scale prints as a bare `0`."""
-    return F.when(number == 0, F.lit("0")).otherwise(number.cast("string"))
+    return f"CASE WHEN {number} = 0 THEN '0' ELSE CAST({number} AS STRING) END"
 
 
-def plain_decimal_text(number: Column) -> Column:
+def plain_decimal_text(number: str) -> str:
     """Decimal text without insignificant zeros."""
-    text = number.cast("string")
-    return F.when(
-        F.contains(text, F.lit(".")), F.regexp_replace(text, r"\.?0+$", "")
-    ).otherwise(text)
-
-
-def ascii_json(json: Column) -> Column:
-    """Escape everything outside printable ASCII as `\\uXXXX`, one escape per UTF-16 unit."""
-    units = F.regexp_extract_all(F.hex(F.encode(json, "UTF-16BE")), F.lit("(.{4})"), F.lit(1))
-    escaped = F.transform(
-        units,
-        lambda unit: F.when(unit < "007F", F.char(F.conv(unit, 16, 10).cast("long"))).otherwise(
-            F.concat(F.lit("\\u"), F.lower(unit))
-        ),
+    text = f"CAST({number} AS STRING)"
+    return rf"CASE WHEN contains({text}, '.') THEN regexp_replace({text}, r'\.?0+$', '') ELSE {text} END"
+
+
+def ascii_json(json: str) -> str:
+    r"""Escape everything outside printable ASCII as `\uXXXX`, one escape per UTF-16 unit."""
+    units = f"regexp_extract_all(hex(encode({json}, 'UTF-16BE')), '(.{{4}})', 1)"
+    escaped = (
+        f"array_join(transform({units}, unit -> CASE WHEN unit < '007F' "
+        rf"THEN char(CAST(conv(unit, 16, 10) AS BIGINT)) ELSE concat('\\u', lower(unit)) END), '')"
     )
-    return F.when(json.rlike(r"[^\x20-\x7e]"), F.array_join(escaped, "")).otherwise(json)
+    return rf"CASE WHEN {json} RLIKE r'[^\x20-\x7e]' THEN {escaped} ELSE {json} END"
 
 
-def facts_json(facts: dict[str, Column]) -> Column:
-    """Compact ASCII JSON object of text facts, keys in alphabetical order."""
-    return ascii_json(F.to_json(F.struct(*[facts[name].alias(name) for name in sorted(facts)])))
+def json_object(fields: dict[str, str], *, keep_nulls: bool = False) -> str:
+    """Compact JSON object with its keys in code-point order."""
+    body = ", ".join(f"{fields[name]} AS {name}" for name in sorted(fields))
+    options = ", map('ignoreNullFields', 'false')" if keep_nulls else ""
+    return f"to_json(struct({body}){options})"
 
 
-def sha256(text: Column) -> Column:
-    return F.sha2(text, 256)
+def sha256(text: str) -> str:
+    return f"sha2({text}, 256)"
 
 
 # Display forms -------------------------------------------------------------
 
-DASH = "—"
-
 
-def _or_dash(value: Column, shown: Column) -> Column:
-    return F.when(value.isNull() | (value.cast("string") == ""), F.lit(DASH)).otherwise(shown)
+def _or_dash(value: str, shown: str) -> str:
+    return f"CASE WHEN {value} IS NULL OR CAST({value} AS STRING) = '' THEN {DASH} ELSE {shown} END"
 
 
-def enum_label(value: Column) -> Column:
+def enum_label(value: str) -> str:
     """`SLA_BREACH_RISK` becomes `SLA breach risk`."""
-    words = F.lower(F.replace(value, F.lit("_"), F.lit(" ")))
-    sentence = F.concat(F.upper(F.substring(words, 1, 1)), F.substring(words, 2, 1 << 30))
+    words = f"lower(replace({value}, '_', ' '))"
+    sentence = f"concat(upper(substr({words}, 1, 1)), substr({words}, 2))"
     return _or_dash(
-        value,
-        F.when(words.startswith("sla "), F.concat(F.lit("SLA "), F.substring(words, 5, 1 << 30))).otherwise(sentence),
+        value, f"CASE WHEN {words} LIKE 'sla %' THEN concat('SLA ', substr({words}, 5)) ELSE {sentence} END"
     )
 
 
-def currency_label(text: Column) -> Column:
+def currency_label(text: str) -> str:
     """`1234.5` becomes `$1,234.50`; a text that is no number is shown as it is."""
-    amount = parse_decimal(stripped(text.cast("string")))
-    shown = F.coalesce(F.concat(F.lit("$"), F.format_number(amount, 2)), text.cast("string"))
-    return _or_dash(text, shown)
+    amount = parse_decimal(stripped(f"CAST({text} AS STRING)"))
+    return _or_dash(text, f"coalesce(concat('$', format_number({amount}, 2)), CAST({text} AS STRING))")
 
 
-def timestamp_label(text: Column) -> Column:
+def timestamp_label(text: str) -> str:
     """ISO text with an offset becomes `2025-01-15 12:00 UTC`; other texts are shown as they are."""
-    shown = F.date_format(parse_instant(text), "yyyy-MM-dd HH:mm 'UTC'")
-    return _or_dash(text, F.coalesce(shown, text))
+    shown = f"date_format({parse_instant(text)}, \"yyyy-MM-dd HH:mm 'UTC'\")"
+    return _or_dash(text, f"coalesce({shown}, {text})")
 
 
-def confidence_label(text: Column) -> Column:
+def confidence_label(text: str) -> str:
     """`0.9000` becomes `90%`, with one decimal only when needed."""
-    ratio = parse_decimal(stripped(text.cast("string")))
-    percent = F.bround(ratio * 100, 1).cast("decimal(38,1)").cast("string")
-    shown = F.coalesce(F.concat(F.regexp_replace(percent, r"\.0$", ""), F.lit("%")), text.cast("string"))
-    return _or_dash(text, shown)
+    ratio = parse_decimal(stripped(f"CAST({text} AS STRING)"))
+    percent = f"CAST(CAST(bround(({ratio}) * 100, 1) AS DECIMAL(38,1)) AS STRING)"
+    return _or_dash(text, rf"coalesce(concat(regexp_replace({percent}, r'\.0$', ''), '%'), CAST({text} AS STRING))")
 
 
-def kpi_label(value: Column, kind: str) -> Column:
+def kpi_label(value: str, kind: str) -> str:
     """Summary value as shown: count, money or percent."""
     if kind == "money":
         return currency_label(value)
     suffix = "%" if kind == "percent" else ""
-    return F.coalesce(F.concat(value.cast("string"), F.lit(suffix)), F.lit(DASH))
+    return f"coalesce(concat(CAST({value} AS STRING), '{suffix}'), {DASH})"

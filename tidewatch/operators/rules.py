@@ -11,16 +11,18 @@ from collections.abc import Mapping
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.severity import severity
-from tidewatch.functions.text import fact_text, facts_json, iso_offset, sha256
-from tidewatch.schema import CONFIDENCE, EXCEPTION_TYPES, INBOUND_MOVEMENTS, OUTBOUND_MOVEMENTS
-from tidewatch.settings import RuleSettings, instant_lit
+from tidewatch.functions.text import ascii_json, fact_text, iso_offset, json_object, quoted, sha256
+from tidewatch.schema import EXCEPTION_TYPES, INBOUND_MOVEMENTS, OUTBOUND_MOVEMENTS
+from tidewatch.settings import RuleSettings, instant_sql
 
 Tables = Mapping[str, DataFrame]
 PLACE = ("source_product_id", "source_warehouse_id")
+PLACE_ID = "concat(source_product_id, ':', source_warehouse_id)"
+REMAINING = "(ordered_quantity - fulfilled_quantity)"
 
 FINDING_COLUMNS = (
     "rule_ordinal", "exception_type", "issue_key", "entity_type", "entity_id", "severity",
@@ -30,68 +32,63 @@ FINDING_COLUMNS = (
 )
 
 
-def remaining() -> Column:
-    return F.col("ordered_quantity") - F.col("fulfilled_quantity")
+def overdue_hours(as_of: datetime, due: str) -> str:
+    """Hours past due, never negative, four places with ties to even."""
+    late = f"greatest(unix_micros({instant_sql(as_of)}) - unix_micros({due}), 0)"
+    return f"bround(CAST({late} AS DECIMAL(20,0)) / CAST(3600000000 AS DECIMAL(10,0)), 4)"
 
 
-def overdue_hours(as_of: datetime, due: Column) -> Column:
-    """Hours past due, never negative, four places with ties to even."""
-    late = F.greatest(F.unix_micros(instant_lit(as_of)) - F.unix_micros(due), F.lit(0))
-    hours = late.cast("decimal(20,0)") / F.lit(3_600_000_000).cast("decimal(10,0)")
-    return F.bround(hours, 4).cast("decimal(20,4)")
+def text_of(number: str) -> str:
+    return f"CAST({number} AS STRING)"
 
 
 def _finding(
     rows: DataFrame,
     settings: RuleSettings,
     *,
-    kind: Column | str,
-    issue_key: Column,
+    kind: str,
+    issue_key: str,
     entity_type: str,
-    entity_id: Column,
-    impact: Column,
-    cause: Column,
-    action: Column,
-    facts: Column,
-    resolution: Column | None = None,
-    revenue: Column | None = None,
-    orders: Column | None = None,
-    overdue: Column | None = None,
-    product: Column | None = None,
+    entity_id: str,
+    impact: str,
+    cause: str,
+    action: str,
+    facts: str,
+    resolution: str = "NULL",
+    revenue: str = "0",
+    orders: str = "0",
+    overdue: str = "0",
+    product: str = "NULL",
 ) -> DataFrame:
     """Lay the parts of a rule out as a finding and derive severity, fingerprint and key."""
-    kind = F.lit(kind) if isinstance(kind, str) else kind
-    ordinal = F.array_position(F.array(*[F.lit(name) for name in EXCEPTION_TYPES]), kind)
-    nothing = F.lit(0)
-    laid_out = rows.select(
-        ordinal.cast("int").alias("rule_ordinal"),
-        kind.alias("exception_type"),
-        issue_key.alias("issue_key"),
-        F.lit(entity_type).alias("entity_type"),
-        entity_id.alias("entity_id"),
-        (F.lit(None) if resolution is None else resolution).cast("timestamp").alias("expected_resolution"),
-        impact.alias("business_impact"),
-        (nothing if revenue is None else revenue).cast("decimal(38,5)").alias("revenue_at_risk"),
-        (nothing if orders is None else orders).cast("int").alias("orders_affected"),
-        cause.alias("root_cause"),
-        action.alias("recommended_action"),
-        F.lit("1.0000").cast(CONFIDENCE).alias("confidence"),
-        (nothing if overdue is None else overdue).cast("decimal(20,4)").alias("overdue_hours"),
-        F.col("source_warehouse_id"),
-        (F.lit(None) if product is None else product).cast("string").alias("source_product_id"),
-        facts.alias("source_facts"),
+    ordinals = " ".join(f"WHEN '{name}' THEN {place}" for place, name in enumerate(EXCEPTION_TYPES, 1))
+    laid_out = rows.selectExpr(
+        f"CASE {kind} {ordinals} END AS rule_ordinal",
+        f"{kind} AS exception_type",
+        f"{issue_key} AS issue_key",
+        f"'{entity_type}' AS entity_type",
+        f"{entity_id} AS entity_id",
+        f"CAST({resolution} AS TIMESTAMP) AS expected_resolution",
+        f"{impact} AS business_impact",
+        f"CAST({revenue} AS DECIMAL(38,5)) AS revenue_at_risk",
+        f"CAST({orders} AS INT) AS orders_affected",
+        f"{cause} AS root_cause",
+        f"{action} AS recommended_action",
+        "CAST(1 AS DECIMAL(5,4)) AS confidence",
+        f"CAST({overdue} AS DECIMAL(20,4)) AS overdue_hours",
+        "source_warehouse_id",
+        f"CAST({product} AS STRING) AS source_product_id",
+        f"{facts} AS fact_json",
     )
+    key = sha256("concat_ws('|', exception_type, issue_key, fingerprint)")
     return (
-        laid_out.withColumn("fingerprint", sha256(F.col("source_facts")))
-        .withColumn(
-            "severity",
-            severity(settings, F.col("revenue_at_risk"), F.col("orders_affected"), F.col("overdue_hours")),
-        )
-        .withColumn(
-            "deduplication_key",
-            sha256(F.concat_ws("|", F.col("exception_type"), F.col("issue_key"), F.col("fingerprint"))),
+        laid_out.selectExpr("*", f"{ascii_json('fact_json')} AS source_facts")
+        .selectExpr(
+            "*",
+            f"{sha256('source_facts')} AS fingerprint",
+            f"{severity(settings, 'revenue_at_risk', 'orders_affected', 'overdue_hours')} AS severity",
         )
-        .select(*FINDING_COLUMNS)
+        .selectExpr(*[name for name in FINDING_COLUMNS[:-1]], f"{key} AS deduplication_key")
     )
 
 
@@ -102,32 +99,32 @@ def open_lines_per_order(items: DataFrame) -> DataFrame:
     """Unfulfilled quantity and revenue per order. Aggregated before any join, so an order with
     very many lines is combined on the map side."""
     return (
-        items.where(remaining() > 0)
+        items.where(f"{REMAINING} > 0")
         .groupBy("source_order_id")
         .agg(
-            F.sum(remaining()).alias("remaining"),
-            F.sum(remaining() * F.col("unit_price")).alias("revenue"),
+            F.expr(f"sum({REMAINING}) AS remaining"),
+            F.expr(f"sum({REMAINING} * unit_price) AS revenue"),
         )
     )
 
 
 def open_orders(orders: DataFrame, as_of: datetime) -> DataFrame:
-    return orders.where((F.col("status") == "OPEN") & (F.col("ordered_at") <= instant_lit(as_of)))
+    return orders.where(f"status = 'OPEN' AND ordered_at <= {instant_sql(as_of)}")
 
 
 def open_demand(tables: Tables, as_of: datetime) -> DataFrame:
     """Open demand per product and warehouse: quantity, revenue and number of orders.
 
-    Lines are first combined per order, product: the count of orders then needs no distinct
+    Lines are first combined per order and product: the count of orders then needs no distinct
     aggregate, and a hot product is spread over its orders before its final sum.
     """
     lines = (
         tables["order_items"]
-        .where(remaining() > 0)
+        .where(f"{REMAINING} > 0")
         .groupBy("source_order_id", "source_product_id")
         .agg(
-            F.sum(remaining()).alias("quantity"),
-            F.sum(remaining() * F.col("unit_price")).alias("revenue"),
+            F.expr(f"sum({REMAINING}) AS quantity"),
+            F.expr(f"sum({REMAINING} * unit_price) AS revenue"),
         )
     )
     orders = open_orders(tables["orders"], as_of).select("source_order_id", "source_warehouse_id")
@@ -135,9 +132,9 @@ def open_demand(tables: Tables, as_of: datetime) -> DataFrame:
         lines.join(orders, "source_order_id")
         .groupBy(*PLACE)
         .agg(
-            F.sum("quantity").cast("decimal(38,3)").alias("demand"),
-            F.sum("revenue").cast("decimal(38,5)").alias("revenue"),
-            F.count(F.lit(1)).alias("orders"),
+            F.expr("CAST(sum(quantity) AS DECIMAL(38,3)) AS demand"),
+            F.expr("CAST(sum(revenue) AS DECIMAL(38,5)) AS revenue"),
+            F.expr("count(1) AS orders"),
         )
     )
 
@@ -145,24 +142,24 @@ def open_demand(tables: Tables, as_of: datetime) -> DataFrame:
 def latest_snapshots(inventory: DataFrame, as_of: datetime) -> DataFrame:
     """Newest snapshot per product and warehouse at or before the instant; of two at the same
     time the later row (`snapshot_sequence`, when the table has one) wins."""
-    tie = F.col("snapshot_sequence") if "snapshot_sequence" in inventory.columns else F.lit(0)
-    newest = F.max_by(
-        F.struct("observed_at", "on_hand", "reserved"), F.struct(F.col("observed_at"), tie.alias("tie"))
-    )
+    tie = "snapshot_sequence" if "snapshot_sequence" in inventory.columns else "0"
+    newest = f"max_by(struct(observed_at, on_hand, reserved), struct(observed_at, {tie} AS tie)) AS snapshot"
     return (
-        inventory.where(F.col("observed_at") <= instant_lit(as_of))
+        inventory.where(f"observed_at <= {instant_sql(as_of)}")
         .groupBy(*PLACE)
-        .agg(newest.alias("snapshot"))
+        .agg(F.expr(newest))
         .select(*PLACE, "snapshot.*")
     )
 
 
-def signed_quantity() -> Column:
-    return (
-        F.when(F.col("movement_type").isin(*INBOUND_MOVEMENTS), F.col("quantity"))
-        .when(F.col("movement_type").isin(*OUTBOUND_MOVEMENTS), -F.col("quantity"))
-        .otherwise(F.lit(0).cast("decimal(18,3)"))
-    )
+def _names(values: tuple[str, ...]) -> str:
+    return ", ".join(quoted(value) for value in values)
+
+
+SIGNED_QUANTITY = (
+    f"CASE WHEN movement_type IN ({_names(INBOUND_MOVEMENTS)}) THEN quantity "
+    f"WHEN movement_type IN ({_names(OUTBOUND_MOVEMENTS)}) THEN -quantity ELSE CAST(0 AS DECIMAL(18,3)) END"
+)
 
 
 def reconstructed_on_hand(snapshots: DataFrame, movements: DataFrame) -> DataFrame:
@@ -171,18 +168,15 @@ def reconstructed_on_hand(snapshots: DataFrame, movements: DataFrame) -> DataFra
     Movements are summed per instant first (a plain map-side combine) and joined as the left side
     of an inner join, which Spark may split when one product-warehouse holds most movements.
     """
-    per_instant = movements.groupBy(*PLACE, "occurred_at").agg(F.sum(signed_quantity()).alias("moved"))
+    per_instant = movements.groupBy(*PLACE, "occurred_at").agg(F.expr(f"sum({SIGNED_QUANTITY}) AS moved"))
     rebuilt = (
         per_instant.join(snapshots.select(*PLACE, "observed_at"), list(PLACE))
-        .where(F.col("occurred_at") <= F.col("observed_at"))
+        .where("occurred_at <= observed_at")
         .groupBy(*PLACE)
-        .agg(F.sum("moved").cast("decimal(38,3)").alias("moved"))
+        .agg(F.expr("CAST(sum(moved) AS DECIMAL(38,3)) AS moved"))
     )
-    zero = F.lit(0).cast("decimal(38,3)")
-    return (
-        snapshots.join(rebuilt, list(PLACE), "left")
-        .withColumn("reconstructed", F.coalesce("moved", zero))
-        .drop("moved")
+    return snapshots.join(rebuilt, list(PLACE), "left").selectExpr(
+        *snapshots.columns, "coalesce(moved, CAST(0 AS DECIMAL(38,3))) AS reconstructed"
     )
 
 
@@ -191,36 +185,34 @@ def reconstructed_on_hand(snapshots: DataFrame, movements: DataFrame) -> DataFra
 
 def sla_breach_risk(tables: Tables, as_of: datetime, settings: RuleSettings) -> DataFrame:
     """Open orders with unfulfilled lines, due now or within the risk window (inclusive)."""
-    now = instant_lit(as_of)
-    window = F.make_dt_interval(hours=F.lit(settings.sla_risk_window_hours))
-    due = open_orders(tables["orders"], as_of).where(F.col("promised_at") <= now + window)
-    rows = due.join(open_lines_per_order(tables["order_items"]), "source_order_id")
-    order, promised = F.col("source_order_id"), F.col("promised_at")
-    left, revenue = F.col("remaining"), F.col("revenue")
+    now = instant_sql(as_of)
+    window = f"make_dt_interval(0, {settings.sla_risk_window_hours})"
+    due = open_orders(tables["orders"], as_of).where(f"promised_at <= {now} + {window}")
     return _finding(
-        rows, settings,
-        kind="SLA_BREACH_RISK",
-        issue_key=F.concat(F.lit("ORDER:"), order),
+        due.join(open_lines_per_order(tables["order_items"]), "source_order_id"),
+        settings,
+        kind="'SLA_BREACH_RISK'",
+        issue_key="concat('ORDER:', source_order_id)",
         entity_type="ORDER",
-        entity_id=order,
-        resolution=promised,
-        impact=F.concat(left.cast("string"), F.lit(" units remain unfulfilled on order "), order),
-        cause=F.concat(
-            F.lit("Order promised at "), iso_offset(promised),
-            F.when(promised <= now, F.lit(" is overdue")).otherwise(F.lit(" is inside the SLA risk window")),
+        entity_id="source_order_id",
+        resolution="promised_at",
+        impact=f"concat({text_of('remaining')}, ' units remain unfulfilled on order ', source_order_id)",
+        cause=(
+            f"concat('Order promised at ', {iso_offset('promised_at')}, CASE WHEN promised_at <= {now} "
+            "THEN ' is overdue' ELSE ' is inside the SLA risk window' END)"
         ),
-        action=F.lit("Prioritize fulfillment and confirm a revised customer commitment"),
-        revenue=revenue,
-        orders=F.lit(1),
-        overdue=overdue_hours(as_of, promised),
-        facts=facts_json(
+        action="'Prioritize fulfillment and confirm a revised customer commitment'",
+        revenue="revenue",
+        orders="1",
+        overdue=overdue_hours(as_of, "promised_at"),
+        facts=json_object(
             {
-                "order": order,
-                "status": F.col("status"),
-                "ordered_at": iso_offset(F.col("ordered_at")),
-                "promised_at": iso_offset(promised),
-                "remaining": left.cast("string"),
-                "revenue": fact_text(revenue),
+                "order": "source_order_id",
+                "status": "status",
+                "ordered_at": iso_offset("ordered_at"),
+                "promised_at": iso_offset("promised_at"),
+                "remaining": text_of("remaining"),
+                "revenue": fact_text("revenue"),
             }
         ),
     )
@@ -239,58 +231,52 @@ def demand_risks(
     """
     stock = (
         tables["inventory"]
-        .where(F.col("observed_at") <= instant_lit(as_of))
-        .select(*PLACE, (F.col("on_hand") - F.col("reserved")).alias("available"))
+        .where(f"observed_at <= {instant_sql(as_of)}")
+        .selectExpr(*PLACE, "on_hand - reserved AS available")
     )
-    buffer = F.lit(settings.safety_stock)
-    buffer_text = F.lit("0" if settings.safety_stock == 0 else str(settings.safety_stock))
+    buffer = "0" if settings.safety_stock == 0 else str(settings.safety_stock)
     tests = {
-        "INVENTORY_SHORTAGE": F.col("demand") > F.col("available"),
-        "STOCKOUT_RISK": F.col("available") - F.col("demand") < buffer,
+        "INVENTORY_SHORTAGE": "demand > available",
+        "STOCKOUT_RISK": f"available - demand < CAST('{buffer}' AS DECIMAL(38,3))",
     }
-    fired = F.array_compact(F.array(*[F.when(tests[kind], F.lit(kind)) for kind in kinds]))
-    rows = open_demand(tables, as_of).join(stock, list(PLACE)).withColumn("kind", F.explode(fired))
-
-    kind = F.col("kind")
-    short = kind == "INVENTORY_SHORTAGE"
-    place = F.concat_ws(":", *PLACE)
-    demand, available = fact_text(F.col("demand")), fact_text(F.col("available"))
-    gap = (F.col("demand") - F.col("available")).cast("string")
-    left = (F.col("available") - F.col("demand")).cast("string")
+    fired = ", ".join(f"CASE WHEN {tests[kind]} THEN '{kind}' END" for kind in kinds)
+    rows = open_demand(tables, as_of).join(stock, list(PLACE)).selectExpr(
+        "*", f"explode(array_compact(array({fired}))) AS kind"
+    )
+    demand, available = fact_text("demand"), fact_text("available")
+    gap, left = text_of("demand - available"), text_of("available - demand")
+    short = "kind = 'INVENTORY_SHORTAGE'"
     facts = {
-        "product": F.col("source_product_id"),
-        "warehouse": F.col("source_warehouse_id"),
+        "product": "source_product_id",
+        "warehouse": "source_warehouse_id",
         "demand": demand,
         "available": available,
-        "orders": F.col("orders").cast("string"),
+        "orders": text_of("orders"),
+        # Null, and so left out, for a shortage: a changed buffer must not change its fingerprint.
+        "safety_stock": f"CASE WHEN {short} THEN NULL ELSE '{buffer}' END",
     }
     return _finding(
         rows, settings,
-        kind=kind,
-        issue_key=F.concat(F.lit("PRODUCT_WAREHOUSE:"), place),
+        kind="kind",
+        issue_key=f"concat('PRODUCT_WAREHOUSE:', {PLACE_ID})",
         entity_type="PRODUCT_WAREHOUSE",
-        entity_id=place,
-        impact=F.when(
-            short, F.concat(gap, F.lit(" units cannot be covered at the assigned warehouse"))
-        ).otherwise(F.concat(F.lit("Projected inventory buffer is "), left, F.lit(" units"))),
-        cause=F.when(
-            short,
-            F.concat(F.lit("Open demand "), demand, F.lit(" exceeds available inventory "), available),
-        ).otherwise(
-            F.concat(
-                F.lit("Projected available inventory after open demand is "), left,
-                F.lit(", below safety stock "), buffer_text,
-            )
+        entity_id=PLACE_ID,
+        impact=(
+            f"CASE WHEN {short} THEN concat({gap}, ' units cannot be covered at the assigned warehouse') "
+            f"ELSE concat('Projected inventory buffer is ', {left}, ' units') END"
+        ),
+        cause=(
+            f"CASE WHEN {short} THEN concat('Open demand ', {demand}, ' exceeds available inventory ', {available}) "
+            f"ELSE concat('Projected available inventory after open demand is ', {left}, ', below safety stock {buffer}') END"
         ),
-        action=F.when(
-            short, F.lit("Replenish inventory or rebalance demand to another warehouse")
-        ).otherwise(F.lit("Expedite replenishment and protect the configured safety-stock buffer")),
-        revenue=F.col("revenue"),
-        orders=F.col("orders"),
-        product=F.col("source_product_id"),
-        facts=F.when(short, facts_json(facts)).otherwise(
-            facts_json({**facts, "safety_stock": buffer_text})
+        action=(
+            f"CASE WHEN {short} THEN 'Replenish inventory or rebalance demand to another warehouse' "
+            "ELSE 'Expedite replenishment and protect the configured safety-stock buffer' END"
         ),
+        revenue="revenue",
+        orders="orders",
+        product="source_product_id",
+        facts=json_object(facts),
     )
 
 
@@ -305,37 +291,36 @@ def stockout_risk(tables: Tables, as_of: datetime, settings: RuleSettings) -> Da
 def inventory_mismatch(tables: Tables, as_of: datetime, settings: RuleSettings) -> DataFrame:
     """Latest snapshots whose on-hand quantity differs from the movement history by more than the
     tolerance."""
-    rows = (
-        reconstructed_on_hand(latest_snapshots(tables["inventory"], as_of), tables["inventory_movements"])
-        .withColumn("difference", F.abs(F.col("on_hand") - F.col("reconstructed")))
-        .where(F.col("difference") > F.lit(settings.inventory_mismatch_tolerance))
-    )
-    place = F.concat_ws(":", *PLACE)
     tolerance = settings.inventory_mismatch_tolerance
-    on_hand, rebuilt = fact_text(F.col("on_hand")), fact_text(F.col("reconstructed"))
-    difference = F.col("difference").cast("string")
+    shown = "0" if tolerance == 0 else str(tolerance)
+    rebuilt = reconstructed_on_hand(
+        latest_snapshots(tables["inventory"], as_of), tables["inventory_movements"]
+    )
+    rows = rebuilt.selectExpr("*", "abs(on_hand - reconstructed) AS difference").where(
+        f"difference > CAST('{shown}' AS DECIMAL(38,3))"
+    )
     return _finding(
         rows, settings,
-        kind="INVENTORY_MISMATCH",
-        issue_key=F.concat(F.lit("PRODUCT_WAREHOUSE:"), place),
+        kind="'INVENTORY_MISMATCH'",
+        issue_key=f"concat('PRODUCT_WAREHOUSE:', {PLACE_ID})",
         entity_type="PRODUCT_WAREHOUSE",
-        entity_id=place,
-        impact=F.lit("Persisted inventory does not reconcile to movement history"),
-        cause=F.concat(
-            F.lit("Snapshot on-hand "), on_hand, F.lit(" differs from reconstructed "), rebuilt,
-            F.lit(" by "), difference,
+        entity_id=PLACE_ID,
+        impact="'Persisted inventory does not reconcile to movement history'",
+        cause=(
+            f"concat('Snapshot on-hand ', {fact_text('on_hand')}, ' differs from reconstructed ', "
+            f"{fact_text('reconstructed')}, ' by ', {text_of('difference')})"
         ),
-        action=F.lit("Reconcile the inventory snapshot and audit movement history"),
-        product=F.col("source_product_id"),
-        facts=facts_json(
+        action="'Reconcile the inventory snapshot and audit movement history'",
+        product="source_product_id",
+        facts=json_object(
             {
-                "product": F.col("source_product_id"),
-                "warehouse": F.col("source_warehouse_id"),
-                "observed_at": iso_offset(F.col("observed_at")),
-                "on_hand": on_hand,
-                "reconstructed": rebuilt,
-                "difference": difference,
-                "tolerance": F.lit("0" if tolerance == 0 else str(tolerance)),
+                "product": "source_product_id",
+                "warehouse": "source_warehouse_id",
+                "observed_at": iso_offset("observed_at"),
+                "on_hand": fact_text("on_hand"),
+                "reconstructed": fact_text("reconstructed"),
+                "difference": text_of("difference"),
+                "tolerance": quoted(shown),
             }
         ),
     )
@@ -343,41 +328,37 @@ def inventory_mismatch(tables: Tables, as_of: datetime, settings: RuleSettings)
 
 def supplier_delay(tables: Tables, as_of: datetime, settings: RuleSettings) -> DataFrame:
     """Overdue purchase orders with quantity still to be received."""
-    now = instant_lit(as_of)
+    now = instant_sql(as_of)
     late = tables["purchase_orders"].where(
-        F.col("status").isin("OPEN", "PARTIALLY_RECEIVED")
-        & (F.col("ordered_at") <= now)
-        & (F.col("expected_delivery_at") < now)
+        f"status IN ('OPEN', 'PARTIALLY_RECEIVED') AND ordered_at <= {now} AND expected_delivery_at < {now}"
     )
     due = (
         tables["purchase_order_items"]
-        .where(F.col("received_quantity") < F.col("ordered_quantity"))
+        .where("received_quantity < ordered_quantity")
         .groupBy("source_purchase_order_id")
-        .agg(F.sum(F.col("ordered_quantity") - F.col("received_quantity")).alias("remaining"))
+        .agg(F.expr("sum(ordered_quantity - received_quantity) AS remaining"))
     )
-    rows = late.join(due, "source_purchase_order_id")
-    po, expected = F.col("source_purchase_order_id"), F.col("expected_delivery_at")
-    left = F.col("remaining").cast("string")
+    expected = iso_offset("expected_delivery_at")
     return _finding(
-        rows, settings,
-        kind="SUPPLIER_DELAY",
-        issue_key=F.concat(F.lit("PO:"), po),
+        late.join(due, "source_purchase_order_id"),
+        settings,
+        kind="'SUPPLIER_DELAY'",
+        issue_key="concat('PO:', source_purchase_order_id)",
         entity_type="PURCHASE_ORDER",
-        entity_id=po,
-        resolution=expected,
-        impact=F.concat(left, F.lit(" units remain due on overdue purchase order "), po),
-        cause=F.concat(
-            F.lit("Purchase order expected on "), iso_offset(expected),
-            F.lit(" remains partially or wholly unreceived"),
+        entity_id="source_purchase_order_id",
+        resolution="expected_delivery_at",
+        impact=(
+            f"concat({text_of('remaining')}, ' units remain due on overdue purchase order ', source_purchase_order_id)"
         ),
-        action=F.lit("Contact the supplier and obtain a recovery date or alternate supply"),
-        overdue=overdue_hours(as_of, expected),
-        facts=facts_json(
+        cause=f"concat('Purchase order expected on ', {expected}, ' remains partially or wholly unreceived')",
+        action="'Contact the supplier and obtain a recovery date or alternate supply'",
+        overdue=overdue_hours(as_of, "expected_delivery_at"),
+        facts=json_object(
             {
-                "purchase_order": po,
-                "status": F.col("status"),
-                "expected_delivery_at": iso_offset(expected),
-                "remaining": left,
+                "purchase_order": "source_purchase_order_id",
+                "status": "status",
+                "expected_delivery_at": expected,
+                "remaining": text_of("remaining"),
             }
         ),
     )
@@ -386,42 +367,37 @@ def supplier_delay(tables: Tables, as_of: datetime, settings: RuleSettings) -> D
 def shipment_delay(tables: Tables, as_of: datetime, settings: RuleSettings) -> DataFrame:
     """Undelivered shipments past their ETA. Revenue counts every line of the order, also lines
     that are fulfilled; lateness is not a severity metric of this rule."""
-    late = tables["shipments"].where(
-        (F.col("status") != "DELIVERED") & (F.col("eta") < instant_lit(as_of))
-    )
+    late = tables["shipments"].where(f"status <> 'DELIVERED' AND eta < {instant_sql(as_of)}")
     value = (
         tables["order_items"]
         .groupBy("source_order_id")
-        .agg(F.sum(remaining() * F.col("unit_price")).alias("value"))
+        .agg(F.expr(f"sum({REMAINING} * unit_price) AS value"))
     )
     homes = tables["orders"].select("source_order_id", "source_warehouse_id")
     rows = (
         late.join(homes, "source_order_id")
         .join(value, "source_order_id", "left")
-        .withColumn("revenue", F.coalesce("value", F.lit(0).cast("decimal(38,5)")))
+        .selectExpr("*", "coalesce(value, CAST(0 AS DECIMAL(38,5))) AS revenue")
     )
-    shipment, order, eta = F.col("source_shipment_id"), F.col("source_order_id"), F.col("eta")
     return _finding(
         rows, settings,
-        kind="SHIPMENT_DELAY",
-        issue_key=F.concat(F.lit("SHIPMENT:"), shipment),
+        kind="'SHIPMENT_DELAY'",
+        issue_key="concat('SHIPMENT:', source_shipment_id)",
         entity_type="SHIPMENT",
-        entity_id=shipment,
-        resolution=eta,
-        impact=F.concat(F.lit("Shipment "), shipment, F.lit(" is overdue for order "), order),
-        cause=F.concat(
-            F.lit("Shipment ETA "), iso_offset(eta), F.lit(" passed while status is "), F.col("status")
-        ),
-        action=F.lit("Trace the shipment with the carrier and communicate a revised ETA"),
-        revenue=F.col("revenue"),
-        orders=F.lit(1),
-        facts=facts_json(
+        entity_id="source_shipment_id",
+        resolution="eta",
+        impact="concat('Shipment ', source_shipment_id, ' is overdue for order ', source_order_id)",
+        cause=f"concat('Shipment ETA ', {iso_offset('eta')}, ' passed while status is ', status)",
+        action="'Trace the shipment with the carrier and communicate a revised ETA'",
+        revenue="revenue",
+        orders="1",
+        facts=json_object(
             {
-                "shipment": shipment,
-                "status": F.col("status"),
-                "eta": iso_offset(eta),
-                "order": order,
-                "revenue": fact_text(F.col("revenue")),
+                "shipment": "source_shipment_id",
+                "status": "status",
+                "eta": iso_offset("eta"),
+                "order": "source_order_id",
+                "revenue": fact_text("revenue"),
             }
         ),
     )
@@ -435,10 +411,10 @@ def all_findings(tables: Tables, as_of: datetime, settings: RuleSettings) -> Dat
 
 def in_rule_order(findings: DataFrame) -> DataFrame:
     """Total order of a finding list: rule, then the entity's source keys. For sinks only."""
-    placed = F.col("entity_type") == "PRODUCT_WAREHOUSE"
+    placed = "CASE WHEN entity_type = 'PRODUCT_WAREHOUSE' THEN {} END"
     return findings.orderBy(
         "rule_ordinal",
-        F.when(placed, F.col("source_product_id")),
-        F.when(placed, F.col("source_warehouse_id")),
+        F.expr(placed.format("source_product_id")),
+        F.expr(placed.format("source_warehouse_id")),
         "entity_id",
     )

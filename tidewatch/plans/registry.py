@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from decimal import Decimal
+
 from tidewatch.functions.text import iso_z
-from tidewatch.operators import rules
-from tidewatch.plans import starmap
+from tidewatch.operators import kpi, lifecycle, reads, rules
+from tidewatch.plans import runs, starmap
 from tidewatch.settings import RuleSettings, configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +31,7 @@ def query(build: Query) -> Query:
 
 def _flat(findings: DataFrame) -> DataFrame:
     """Findings with their instant as text, so results compare across engines."""
-    return findings.withColumn("expected_resolution", iso_z(F.col("expected_resolution"))).drop("confidence")
+    return findings.withColumn("expected_resolution", F.expr(iso_z("expected_resolution"))).drop("confidence")
 
 
 @query
@@ -91,7 +93,7 @@ def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn("snapshot_sequence", F.lit(2)),
     ]
     history = generations[0].unionByName(generations[1]).unionByName(generations[2])
-    return rules.latest_snapshots(history, AS_OF).withColumn("observed_at", iso_z(F.col("observed_at")))
+    return rules.latest_snapshots(history, AS_OF).withColumn("observed_at", F.expr(iso_z("observed_at")))
 
 
 @query
@@ -117,6 +119,209 @@ def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return _findings(spark, folder).select("exception_type", "issue_key", "fingerprint", "deduplication_key")
 
 
+# State and lifecycle ---------------------------------------------------------
+
+
+def _stored(state: DataFrame) -> DataFrame:
+    return state.select(
+        F.col("exception_id").alias("id"), "deduplication_key", "exception_type", "issue_key", "entity_id",
+        "severity", "status", F.expr(iso_z("detected_at")).alias("detected_at"), "business_impact",
+        "revenue_at_risk", "orders_affected", "root_cause", F.expr(iso_z("resolved_at")).alias("resolved_at"),
+        "run_sequence", "rule_ordinal",
+    )
+
+
+@query
+def persist_first_run(spark: SparkSession, folder: str) -> DataFrame:
+    return _stored(runs.first_run(spark, folder).state)
+
+
+@query
+def persist_rerun_state(spark: SparkSession, folder: str) -> DataFrame:
+    return _stored(runs.second_run(spark, folder).state)
+
+
+@query
+def persist_rerun_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.second_run(spark, folder).outcomes
+
+
+@query
+def run_counters(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.second_run(spark, folder).counters()
+
+
+@query
+def lifecycle_transitions(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.review(spark, folder).requests.drop("changed_at")
+
+
+@query
+def lifecycle_sample(spark: SparkSession, folder: str) -> DataFrame:
+    state = runs.first_run(spark, folder).state
+    walked = lifecycle.apply_transitions(state, lifecycle.sample_requests(state, runs.REVIEWED_AT))
+    return walked.requests.drop("changed_at")
+
+
+@query
+def history_log(spark: SparkSession, folder: str) -> DataFrame:
+    first = runs.first_run(spark, folder)
+    reviewed = runs.review_of(first)
+    return reads.history_wire(first.new_history.unionByName(reviewed.new_history))
+
+
+# Read queries ----------------------------------------------------------------
+
+
+def _reviewed(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.review(spark, folder).state
+
+
+@query
+def kpi_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return kpi.summary(starmap.orders(spark, folder), _reviewed(spark, folder), AS_OF)
+
+
+@query
+def kpi_display(spark: SparkSession, folder: str) -> DataFrame:
+    return kpi.shown_summary(kpi.summary(starmap.orders(spark, folder), _reviewed(spark, folder), AS_OF))
+
+
+@query
+def exception_queue_page(spark: SparkSession, folder: str) -> DataFrame:
+    """Third page of open stockout and SLA findings up to the evaluation instant."""
+    anchor = reads.queue_anchor("1999-01-01T00:00:00Z", AS_OF, SETTINGS.as_of)
+    queue = reads.exceptions_where(
+        _reviewed(spark, folder),
+        types=["STOCKOUT_RISK"], exception_types=["SLA_BREACH_RISK"],
+        severities=["CRITICAL", "MEDIUM"], statuses=["OPEN"], detected_to=anchor,
+    )
+    return reads.page(reads.exception_wire(queue), reads.QUEUE_ORDER, number=3, size=100)
+
+
+@query
+def exception_queue_total(spark: SparkSession, folder: str) -> DataFrame:
+    queue = reads.exceptions_where(
+        _reviewed(spark, folder), entity="PRODUCT_WAREHOUSE", warehouse_id="W3", statuses=["OPEN", "DISMISSED"],
+    )
+    return reads.page_total(queue)
+
+
+@query
+def exception_facets(spark: SparkSession, folder: str) -> DataFrame:
+    return reads.facet_counts(
+        _reviewed(spark, folder), statuses=["OPEN"], severities=["CRITICAL", "LOW"],
+        exception_types=["SLA_BREACH_RISK", "STOCKOUT_RISK"], detected_to=AS_OF,
+    )
+
+
+@query
+def exception_detail(spark: SparkSession, folder: str) -> DataFrame:
+    """Every exception with its ordered history, the history flattened to one text."""
+    first = runs.first_run(spark, folder)
+    reviewed = runs.review_of(first)
+    history = first.new_history.unionByName(reviewed.new_history)
+    rows = reads.exceptions_with_history(reviewed.state, history)
+    steps = F.transform("history", lambda h: F.concat_ws(">", F.coalesce(h["from_status"], F.lit("NEW")), h["to_status"]))
+    return rows.select("id", "status", "resolved_at", "confidence", F.array_join(steps, ";").alias("walk"))
+
+
+@query
+def orders_page(spark: SparkSession, folder: str) -> DataFrame:
+    orders = reads.orders_where(
+        starmap.orders(spark, folder), statuses=["OPEN", "FULFILLED"], region="REGION_2",
+        ordered_from="1996-01-01T00:00:00Z", ordered_to="1998-01-01T00:00:00+00:00",
+    )
+    return reads.page(reads.order_wire(orders), ("source_order_id",), number=2, size=50)
+
+
+@query
+def orders_page_after_key(spark: SparkSession, folder: str) -> DataFrame:
+    orders = reads.orders_where(starmap.orders(spark, folder), warehouse_id="W7")
+    return reads.page(reads.order_wire(orders), ("source_order_id",), size=25, after=("O5",))
+
+
+@query
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of every cancelled order, as its detail view shows them."""
+    tables = starmap.tables(spark, folder)
+    chosen = reads.orders_where(tables["orders"], statuses=["CANCELLED"])
+    return reads.order_lines_wire(chosen, tables["order_items"], tables["products"])
+
+
+@query
+def order_detail(spark: SparkSession, folder: str) -> DataFrame:
+    """Page of orders nested with lines and shipments; the arrays are shown by their sizes and ids."""
+    tables = starmap.tables(spark, folder)
+    chosen = reads.page(
+        reads.orders_where(tables["orders"], statuses=["OPEN"], warehouse_id="W4"), ("source_order_id",), size=100
+    )
+    nested = reads.nested_orders(
+        reads.order_wire(chosen),
+        reads.order_lines_wire(chosen, tables["order_items"], tables["products"]),
+        reads.order_shipments_wire(chosen, tables["shipments"]),
+    )
+    skus = F.array_join(F.transform("items", lambda i: F.concat_ws("/", i["line_number"], i["sku"], i["ordered_quantity"])), ",")
+    sent = F.array_join(F.transform("shipments", lambda s: s["source_shipment_id"]), ",")
+    return nested.select("source_order_id", "items_count", "shipments_count", "nested", skus.alias("lines"), sent.alias("sent"))
+
+
+@query
+def inventory_list(spark: SparkSession, folder: str) -> DataFrame:
+    tables = starmap.tables(spark, folder)
+    rows = reads.inventory_where(
+        tables, available_max=Decimal("-5"), observed_from="1996-06-01T00:00:00Z", observed_to="1998-06-30T00:00:00Z"
+    )
+    return reads.inventory_wire(rows, tables["products"])
+
+
+@query
+def inventory_by_sku(spark: SparkSession, folder: str) -> DataFrame:
+    tables = starmap.tables(spark, folder)
+    wire = reads.inventory_wire(reads.inventory_where(tables, sku="SKU-7"), tables["products"])
+    return reads.page(wire, ("source_product_id", "source_warehouse_id"), size=20)
+
+
+@query
+def purchase_orders_remaining(spark: SparkSession, folder: str) -> DataFrame:
+    tables = starmap.tables(spark, folder)
+    rows = reads.purchase_orders_where(
+        tables, statuses=["OPEN", "PARTIALLY_RECEIVED"], date_from="1997-01-01T00:00:00Z",
+        expected_to="1999-01-01T00:00:00Z", remaining_min=Decimal("40"), remaining_quantity_max=Decimal("180.5"),
+    )
+    return reads.purchase_order_wire(rows, tables["suppliers"])
+
+
+@query
+def supplier_context(spark: SparkSession, folder: str) -> DataFrame:
+    return reads.supplier_context(starmap.tables(spark, folder), supplier_id=" SUP7 ", warehouse_id=" ")
+
+
+@query
+def shipments_list(spark: SparkSession, folder: str) -> DataFrame:
+    rows = reads.shipments_where(
+        starmap.tables(spark, folder), statuses=["IN_TRANSIT", "EXCEPTION"], carrier="SEA",
+        eta_from="1997-01-01T00:00:00Z", eta_to="1998-07-01T00:00:00Z",
+    )
+    return reads.shipment_wire(rows)
+
+
+@query
+def queue_export(spark: SparkSession, folder: str) -> DataFrame:
+    """Display form of every queue row."""
+    shown = reads.shown_queue(reads.queue_rows(_reviewed(spark, folder)))
+    return shown.toDF(*[name.lower().replace(" ", "_") for name in shown.columns])
+
+
+@query
+def purchase_order_display(spark: SparkSession, folder: str) -> DataFrame:
+    tables = starmap.tables(spark, folder)
+    shown = reads.shown_purchase_orders(
+        reads.purchase_order_wire(reads.purchase_orders_where(tables), tables["suppliers"])
+    )
+    return shown.toDF(*[name.lower().replace(" ", "_") for name in shown.columns])
+
+
 def registered() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -6,221 +6,178 @@ reach the Parquet scan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tidewatch.schema import MONEY, QUANTITY
+from pyspark.sql import DataFrame, SparkSession
 
 AS_OF = datetime(1998, 7, 1, tzinfo=timezone.utc)
-WAREHOUSES = 25
+#: Shared SQL fragments.
+ORDER_STATUS = (
+    "CASE WHEN o_orderstatus = 'F' THEN 'FULFILLED' "
+    "WHEN o_orderstatus = 'P' AND o_orderkey % 10 = 0 THEN 'CANCELLED' ELSE 'OPEN' END"
+)
+PLACED = "CAST(o_orderdate AS TIMESTAMP)"
+PROMISED = f"{PLACED} + make_dt_interval(CAST(20 + o_orderkey % 60 AS INT))"
+FULFILLED = f"CASE WHEN o_orderstatus = 'F' THEN {PLACED} + make_dt_interval(CAST(10 + o_orderkey % 80 AS INT)) END"
+QUANTITY = "CAST(l_quantity AS DECIMAL(18,3))"
+DONE = "l_linestatus = 'F'"
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _id(prefix: str, *parts: Column) -> Column:
-    return F.concat(F.lit(prefix), F.concat_ws("-", *[part.cast("string") for part in parts]))
-
-
-def _warehouse(key: Column) -> Column:
-    return _id("W", key % WAREHOUSES)
-
-
-def _days(count: Column) -> Column:
-    return F.make_dt_interval(days=count.cast("int"))
-
-
-def _utc(column: str) -> Column:
-    return F.col(column).cast("timestamp")
-
-
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("p_partkey")
-    return read(spark, folder, "part").select(
-        _id("P", key).alias("source_product_id"),
-        _id("SKU-", key).alias("sku"),
-        F.col("p_name").alias("name"),
-        F.lit(None).cast("string").alias("description"),
-        F.col("p_retailprice").cast(MONEY).alias("unit_price"),
-        F.lit(True).alias("active"),
+    return read(spark, folder, "part").selectExpr(
+        "concat('P', p_partkey) AS source_product_id",
+        "concat('SKU-', p_partkey) AS sku",
+        "p_name AS name",
+        "CAST(NULL AS STRING) AS description",
+        "CAST(p_retailprice AS DECIMAL(14,2)) AS unit_price",
+        "true AS active",
     )
 
 
 def warehouses(spark: SparkSession, folder: str) -> DataFrame:
-    region = read(spark, folder, "region")
-    return read(spark, folder, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        _id("W", F.col("n_nationkey")).alias("source_warehouse_id"),
-        _id("WH-", F.col("n_nationkey")).alias("code"),
-        F.col("n_name").alias("name"),
-        F.col("r_name").alias("region"),
-        F.lit("UTC").alias("timezone"),
+    nation, region = read(spark, folder, "nation"), read(spark, folder, "region")
+    return nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).selectExpr(
+        "concat('W', n_nationkey) AS source_warehouse_id",
+        "concat('WH-', n_nationkey) AS code",
+        "n_name AS name",
+        "r_name AS region",
+        "'UTC' AS timezone",
     )
 
 
 def suppliers(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    return read(spark, folder, "supplier").select(
-        _id("SUP", key).alias("source_supplier_id"),
-        _id("SC-", key).alias("code"),
-        F.col("s_name").alias("name"),
-        _id("REGION_", F.col("s_nationkey") % 5).alias("region"),
-        F.lit(True).alias("active"),
-    )
-
-
-def order_status() -> Column:
-    return (
-        F.when(F.col("o_orderstatus") == "F", "FULFILLED")
-        .when((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 10 == 0), "CANCELLED")
-        .otherwise("OPEN")
+    return read(spark, folder, "supplier").selectExpr(
+        "concat('SUP', s_suppkey) AS source_supplier_id",
+        "concat('SC-', s_suppkey) AS code",
+        "s_name AS name",
+        "concat('REGION_', s_nationkey % 5) AS region",
+        "true AS active",
     )
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    key, placed = F.col("o_orderkey"), _utc("o_orderdate")
-    return read(spark, folder, "orders").select(
-        _id("O", key).alias("source_order_id"),
-        _id("ORD-", key).alias("order_number"),
-        order_status().alias("status"),
-        _id("REGION_", F.col("o_custkey") % WAREHOUSES % 5).alias("region"),
-        _warehouse(F.col("o_custkey")).alias("source_warehouse_id"),
-        placed.alias("ordered_at"),
-        (placed + _days(20 + key % 60)).alias("promised_at"),
-        F.when(F.col("o_orderstatus") == "F", placed + _days(10 + key % 80)).alias("fulfilled_at"),
-        F.col("o_totalprice").cast(MONEY).alias("total_amount"),
-        F.lit("USD").alias("currency"),
+    return read(spark, folder, "orders").selectExpr(
+        "concat('O', o_orderkey) AS source_order_id",
+        "concat('ORD-', o_orderkey) AS order_number",
+        f"{ORDER_STATUS} AS status",
+        "concat('REGION_', o_custkey % 25 % 5) AS region",
+        "concat('W', o_custkey % 25) AS source_warehouse_id",
+        f"{PLACED} AS ordered_at",
+        f"{PROMISED} AS promised_at",
+        f"{FULFILLED} AS fulfilled_at",
+        "CAST(o_totalprice AS DECIMAL(14,2)) AS total_amount",
+        "'USD' AS currency",
     )
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
-    quantity = F.col("l_quantity").cast(QUANTITY)
-    half = F.floor(F.col("l_quantity") / 2).cast(QUANTITY)
-    return read(spark, folder, "lineitem").select(
-        _id("I", F.col("l_orderkey"), F.col("l_linenumber")).alias("source_order_item_id"),
-        _id("O", F.col("l_orderkey")).alias("source_order_id"),
-        _id("P", F.col("l_partkey")).alias("source_product_id"),
-        F.col("l_linenumber").alias("line_number"),
-        quantity.alias("ordered_quantity"),
-        F.when(F.col("l_linestatus") == "F", quantity)
-        .when(F.col("l_returnflag") == "N", half)
-        .otherwise(F.lit(0).cast(QUANTITY))
-        .alias("fulfilled_quantity"),
-        (F.col("l_extendedprice").cast(MONEY) % F.lit(40)).cast(MONEY).alias("unit_price"),
-    )
-
-
-def movement_type() -> Column:
-    # Line number to movement type.
-    return (
-        F.when(F.col("l_linenumber") == 4, "SHIPMENT")
-        .when(F.col("l_linenumber") == 5, "RESERVATION")
-        .when(F.col("l_linenumber") == 6, "TRANSFER_IN")
-        .when(F.col("l_linenumber") == 7, "ADJUSTMENT_OUT")
-        .otherwise("RECEIPT")
+    return read(spark, folder, "lineitem").selectExpr(
+        "concat('I', l_orderkey, '-', l_linenumber) AS source_order_item_id",
+        "concat('O', l_orderkey) AS source_order_id",
+        "concat('P', l_partkey) AS source_product_id",
+        "l_linenumber AS line_number",
+        f"{QUANTITY} AS ordered_quantity",
+        f"CASE WHEN {DONE} THEN {QUANTITY} WHEN l_returnflag = 'N' THEN CAST(floor(l_quantity / 2) AS DECIMAL(18,3)) "
+        "ELSE CAST(0 AS DECIMAL(18,3)) END AS fulfilled_quantity",
+        "CAST(CAST(l_extendedprice AS DECIMAL(14,2)) % 40 AS DECIMAL(14,2)) AS unit_price",
     )
 
 
 def inventory_movements(spark: SparkSession, folder: str) -> DataFrame:
-    return read(spark, folder, "lineitem").select(
-        _id("M", F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")).alias("source_movement_id"),
-        _id("P", F.col("l_partkey")).alias("source_product_id"),
-        _warehouse(F.col("l_suppkey")).alias("source_warehouse_id"),
-        movement_type().alias("movement_type"),
-        F.col("l_quantity").cast(QUANTITY).alias("quantity"),
-        _utc("l_shipdate").alias("occurred_at"),
-        F.lit("ORDER").alias("reference_type"),
-        _id("O", F.col("l_orderkey")).alias("reference_id"),
+    return read(spark, folder, "lineitem").selectExpr(
+        "concat('M', l_orderkey, '-', l_linenumber, '-', l_partkey) AS source_movement_id",
+        "concat('P', l_partkey) AS source_product_id",
+        "concat('W', l_suppkey % 25) AS source_warehouse_id",
+        "CASE l_linenumber WHEN 4 THEN 'SHIPMENT' WHEN 5 THEN 'RESERVATION' WHEN 6 THEN 'TRANSFER_IN' "
+        "WHEN 7 THEN 'ADJUSTMENT_OUT' ELSE 'RECEIPT' END AS movement_type",
+        f"{QUANTITY} AS quantity",
+        "CAST(l_shipdate AS TIMESTAMP) AS occurred_at",
+        "'ORDER' AS reference_type",
+        "concat('O', l_orderkey) AS reference_id",
     )
 
 
 def inventory(spark: SparkSession, folder: str) -> DataFrame:
     """One snapshot per product and warehouse: receipts on hand, reservations held."""
-    quantity, zero = F.col("quantity"), F.lit(0).cast(QUANTITY)
-    as_of = F.lit("1998-07-01 00:00:00+00:00").cast("timestamp")
-
-    def total(kind: str) -> Column:
-        return F.sum(F.when(F.col("movement_type") == kind, quantity).otherwise(zero)).cast(QUANTITY)
-
     return (
         inventory_movements(spark, folder)
+        .selectExpr(
+            "source_product_id",
+            "source_warehouse_id",
+            "CASE WHEN movement_type = 'RECEIPT' THEN quantity ELSE CAST(0 AS DECIMAL(18,3)) END AS received",
+            "CASE WHEN movement_type = 'RESERVATION' THEN quantity ELSE CAST(0 AS DECIMAL(18,3)) END AS held",
+            "occurred_at",
+        )
         .groupBy("source_product_id", "source_warehouse_id")
-        .agg(
-            total("RECEIPT").alias("on_hand"),
-            total("RESERVATION").alias("reserved"),
-            F.least(F.max("occurred_at"), as_of).alias("observed_at"),
+        .agg({"received": "sum", "held": "sum", "occurred_at": "max"})
+        .selectExpr(
+            "source_product_id",
+            "source_warehouse_id",
+            "CAST(`sum(received)` AS DECIMAL(18,3)) AS on_hand",
+            "CAST(`sum(held)` AS DECIMAL(18,3)) AS reserved",
+            "least(`max(occurred_at)`, TIMESTAMP '1998-07-01 00:00:00+00:00') AS observed_at",
         )
     )
 
 
-def _po_key() -> Column:
-    return _id("PO", F.col("l_suppkey"), F.date_format(F.col("l_shipdate"), "yyyyMM"))
-
-
 def purchase_orders(spark: SparkSession, folder: str) -> DataFrame:
     """One purchase order per supplier and month of shipping."""
-    supplier, month = F.col("l_suppkey"), F.col("month")
-    start = month.cast("timestamp")
+    start = "CAST(month AS TIMESTAMP)"
     return (
         read(spark, folder, "lineitem")
-        .select("l_suppkey", F.trunc(F.col("l_shipdate"), "month").alias("month"), (F.col("l_linestatus") == "F").alias("done"))
+        .selectExpr("l_suppkey", "trunc(l_shipdate, 'month') AS month", f"CAST({DONE} AS INT) AS done", f"CAST({DONE} AS INT) AS any_done")
         .groupBy("l_suppkey", "month")
-        .agg(F.bool_and("done").alias("all_done"), F.bool_or("done").alias("some_done"))
-        .select(
-            _id("PO", supplier, F.date_format(month, "yyyyMM")).alias("source_purchase_order_id"),
-            _id("PON-", supplier, F.date_format(month, "yyyyMM")).alias("po_number"),
-            _id("SUP", supplier).alias("source_supplier_id"),
-            _warehouse(supplier).alias("source_warehouse_id"),
-            F.when(supplier % 10 == 0, "CANCELLED")
-            .when(F.col("all_done"), "RECEIVED")
-            .when(F.col("some_done"), "PARTIALLY_RECEIVED")
-            .otherwise("OPEN")
-            .alias("status"),
-            start.alias("ordered_at"),
-            (start + _days(F.lit(45))).alias("expected_delivery_at"),
-            F.when((supplier % 10 != 0) & F.col("all_done"), start + _days(F.lit(40))).alias("received_at"),
+        .agg({"done": "min", "any_done": "max"})
+        .selectExpr(
+            "concat('PO', l_suppkey, '-', date_format(month, 'yyyyMM')) AS source_purchase_order_id",
+            "concat('PON-', l_suppkey, '-', date_format(month, 'yyyyMM')) AS po_number",
+            "concat('SUP', l_suppkey) AS source_supplier_id",
+            "concat('W', l_suppkey % 25) AS source_warehouse_id",
+            "CASE WHEN l_suppkey % 10 = 0 THEN 'CANCELLED' WHEN `min(done)` = 1 THEN 'RECEIVED' "
+            "WHEN `max(any_done)` = 1 THEN 'PARTIALLY_RECEIVED' ELSE 'OPEN' END AS status",
+            f"{start} AS ordered_at",
+            f"{start} + INTERVAL '45' DAY AS expected_delivery_at",
+            f"CASE WHEN l_suppkey % 10 <> 0 AND `min(done)` = 1 THEN {start} + INTERVAL '40' DAY END AS received_at",
         )
     )
 
 
 def purchase_order_items(spark: SparkSession, folder: str) -> DataFrame:
-    quantity = F.col("l_quantity").cast(QUANTITY)
-    return read(spark, folder, "lineitem").select(
-        _id("POI", F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")).alias("source_purchase_order_item_id"),
-        _po_key().alias("source_purchase_order_id"),
-        _id("P", F.col("l_partkey")).alias("source_product_id"),
-        quantity.alias("ordered_quantity"),
-        F.when(F.col("l_linestatus") == "F", quantity).otherwise(F.lit(0).cast(QUANTITY)).alias("received_quantity"),
-        (F.col("l_extendedprice").cast(MONEY) % F.lit(25)).cast(MONEY).alias("unit_cost"),
+    return read(spark, folder, "lineitem").selectExpr(
+        "concat('POI', l_orderkey, '-', l_linenumber, '-', l_partkey) AS source_purchase_order_item_id",
+        "concat('PO', l_suppkey, '-', date_format(l_shipdate, 'yyyyMM')) AS source_purchase_order_id",
+        "concat('P', l_partkey) AS source_product_id",
+        f"{QUANTITY} AS ordered_quantity",
+        f"CASE WHEN {DONE} THEN {QUANTITY} ELSE CAST(0 AS DECIMAL(18,3)) END AS received_quantity",
+        "CAST(CAST(l_extendedprice AS DECIMAL(14,2)) % 25 AS DECIMAL(14,2)) AS unit_cost",
     )
 
 
 def shipments(spark: SparkSession, folder: str) -> DataFrame:
     """One shipment per order with an even key."""
-    key, placed = F.col("o_orderkey"), _utc("o_orderdate")
-    carriers = F.array(*[F.lit(name) for name in ("SEA", "AIR", "RAIL", "ROAD")])
     return (
         read(spark, folder, "orders")
-        .where(key % 2 == 0)
-        .select(
-            _id("S", key).alias("source_shipment_id"),
-            _id("O", key).alias("source_order_id"),
-            F.get(carriers, (key % 4).cast("int")).alias("carrier"),
-            _id("TRK-", key).alias("tracking_id"),
-            F.when(F.col("o_orderstatus") == "F", "DELIVERED")
-            .when(key % 8 == 0, "EXCEPTION")
-            .otherwise("IN_TRANSIT")
-            .alias("status"),
-            (placed + _days(F.lit(2))).alias("shipped_at"),
-            (placed + _days(20 + key % 60)).alias("eta"),
-            F.when(F.col("o_orderstatus") == "F", placed + _days(10 + key % 80)).alias("delivered_at"),
+        .where("o_orderkey % 2 = 0")
+        .selectExpr(
+            "concat('S', o_orderkey) AS source_shipment_id",
+            "concat('O', o_orderkey) AS source_order_id",
+            "CASE o_orderkey % 4 WHEN 0 THEN 'SEA' WHEN 1 THEN 'AIR' WHEN 2 THEN 'RAIL' ELSE 'ROAD' END AS carrier",
+            "concat('TRK-', o_orderkey) AS tracking_id",
+            "CASE WHEN o_orderstatus = 'F' THEN 'DELIVERED' WHEN o_orderkey % 8 = 0 THEN 'EXCEPTION' "
+            "ELSE 'IN_TRANSIT' END AS status",
+            f"{PLACED} + INTERVAL '2' DAY AS shipped_at",
+            f"{PROMISED} AS eta",
+            f"{FULFILLED} AS delivered_at",
         )
     )
 
 
-BUILDERS = {
+BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "products": products,
     "warehouses": warehouses,
     "suppliers": suppliers,
@@ -234,5 +191,17 @@ BUILDERS = {
 }
 
 
-def tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: build(spark, folder) for name, build in BUILDERS.items()}
+class StarTables(dict[str, DataFrame]):
+    """The tables by name, each defined when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        super().__init__()
+        self._source = (spark, folder)
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = BUILDERS[name](*self._source)
+        return self[name]
+
+
+def tables(spark: SparkSession, folder: str) -> StarTables:
+    return StarTables(spark, folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from decimal import Decimal
@@ -21,7 +22,11 @@ def utc_instant(value: datetime | str) -> datetime:
 
 def instant_lit(value: datetime | str) -> Column:
     """UTC instant as a timestamp literal that does not depend on the Python host's zone."""
-    return F.lit(utc_instant(value).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")).cast("timestamp")
+    return F.expr(instant_sql(value))
+
+
+def instant_sql(value: datetime | str) -> str:
+    return f"TIMESTAMP '{utc_instant(value).strftime('%Y-%m-%d %H:%M:%S.%f')}+00:00'"
 
 
 @dataclass(frozen=True)
@@ -76,15 +81,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the shared folder the cluster names, so a lost executor costs no recompute.
+    """Checkpoint a frame that several sinks or later steps read.
 
-    Without such a folder the frame is returned as it is: correct, only with a longer plan.
+    The folder is the one the cluster names in `spark.checkpoint.dir`, so a lost executor costs no
+    recompute. A single-machine session without the setting gets a folder of its own; on a cluster
+    without it the frame is returned as it is: correct, only with a longer plan.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        return df
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local"):
+                return df
+            folder = tempfile.mkdtemp(prefix="tidewatch-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
