@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from oracle import intake
 from oracle.base import AS_OF, TABLES, iso, rules, with_parts
 
 SECOND = "TIMESTAMP '1998-07-11 00:00:00'"
@@ -288,4 +289,8 @@ FINALS = {
 
 
 def sql() -> dict[str, str]:
-    return {key: with_parts(PARTS, final) for key, final in FINALS.items()}
+    parts, finals = dict(PARTS), dict(FINALS)
+    for module in (intake,):
+        parts |= module.PARTS
+        finals |= module.FINALS
+    return {key: with_parts(parts, final) for key, final in finals.items()}

@@ -21,6 +21,10 @@ INSTANT_PATTERN = (
     r"(?:[T ]([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:[.,]([0-9]+))?)?)?"
     r"([+-][0-9]{2}(?::?[0-9]{2})?)?)?$"
 )
+# Fixed value: the common spelling, which Spark reads by itself.
+PLAIN_INSTANT_PATTERN = (
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?(Z|[+-][0-9]{2}:[0-9]{2})$"
+)
 DASH = "'—'"
 
 
@@ -82,7 +86,8 @@ def parse_instant(text: str, *, assume_utc: bool = False) -> str:
     )
     bare = f"try_cast(concat({local}, '+00:00') AS TIMESTAMP)" if assume_utc else "NULL"
     return (
-        f"CASE WHEN NOT {spelled} RLIKE r'{INSTANT_PATTERN}' THEN NULL "
+        f"CASE WHEN {text} RLIKE r'{PLAIN_INSTANT_PATTERN}' THEN try_cast({text} AS TIMESTAMP) "
+        f"WHEN NOT {spelled} RLIKE r'{INSTANT_PATTERN}' THEN NULL "
         f"WHEN {offset} = '' THEN {bare} ELSE try_cast(concat({local}, {zone}) AS TIMESTAMP) END"
     )
 

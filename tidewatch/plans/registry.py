@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from decimal import Decimal
 
 from tidewatch.functions.text import iso_z
-from tidewatch.operators import kpi, lifecycle, reads, rules
-from tidewatch.plans import runs, starmap
+from tidewatch.operators import audit, kpi, lifecycle, preflight, reads, rules, validate
+from tidewatch.plans import intake, runs, starmap
+from tidewatch.schema import BY_TABLE
 from tidewatch.settings import RuleSettings, configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -322,6 +323,96 @@ def purchase_order_display(spark: SparkSession, folder: str) -> DataFrame:
     return shown.toDF(*[name.lower().replace(" ", "_") for name in shown.columns])
 
 
+# Validation and loading ------------------------------------------------------
+
+
+@query
+def validate_rejections(spark: SparkSession, folder: str) -> DataFrame:
+    return validate.validate_bundle(spark, intake.raw_bundle(spark, folder))[1]
+
+
+@query
+def validate_summary(spark: SparkSession, folder: str) -> DataFrame:
+    raw = intake.raw_bundle(spark, folder)
+    return validate.summarise(raw, *validate.validate_bundle(spark, raw))
+
+
+@query
+def validated_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Accepted order lines in stored form."""
+    results, _ = validate.validate_bundle(spark, intake.raw_bundle(spark, folder))
+    return preflight.stored_form(results["oms/order_items.csv"].rows, BY_TABLE["order_items"])
+
+
+def _incoming_orders(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Stored orders, and a later delivery: changed, equal and new ones."""
+    rows = starmap.orders(spark, folder)
+    number = "CAST(substr(source_order_id, 2) AS BIGINT)"
+    stored = rows.where(f"{number} % 4 <> 3")
+    changed = rows.selectExpr(
+        *[name for name in rows.columns if name != "total_amount"],
+        f"CAST(CASE WHEN {number} % 5 = 0 THEN total_amount + 1 ELSE total_amount END AS DECIMAL(14,2)) AS total_amount",
+    ).select(*rows.columns)
+    return stored, changed
+
+
+@query
+def preflight_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    stored, incoming = _incoming_orders(spark, folder)
+    return preflight.preflight(incoming, stored, BY_TABLE["orders"]).select("source_order_id", "outcome")
+
+
+@query
+def preflight_conflicts(spark: SparkSession, folder: str) -> DataFrame:
+    stored, incoming = _incoming_orders(spark, folder)
+    orders = BY_TABLE["orders"]
+    return preflight.conflicts(preflight.preflight(incoming, stored, orders), orders)
+
+
+@query
+def inventory_freshness(spark: SparkSession, folder: str) -> DataFrame:
+    stored = starmap.inventory(spark, folder)
+    number = "CAST(substr(source_product_id, 2) AS BIGINT)"
+    incoming = stored.selectExpr(
+        "source_product_id", "source_warehouse_id",
+        f"CAST(CASE WHEN {number} % 5 = 0 THEN on_hand + 1 ELSE on_hand END AS DECIMAL(18,3)) AS on_hand", "reserved",
+        f"observed_at + make_dt_interval(CAST({number} % 3 - 1 AS INT)) AS observed_at",
+    )
+    held = stored.where(f"{number} % 7 <> 0")
+    checked = preflight.preflight(incoming, held, BY_TABLE["inventory"])
+    return checked.select("source_product_id", "source_warehouse_id", "outcome")
+
+
+@query
+def inventory_after_load(spark: SparkSession, folder: str) -> DataFrame:
+    stored = starmap.inventory(spark, folder)
+    number = "CAST(substr(source_product_id, 2) AS BIGINT)"
+    incoming = stored.where(f"{number} % 2 = 0").selectExpr(
+        "source_product_id", "source_warehouse_id", "CAST(on_hand + 1 AS DECIMAL(18,3)) AS on_hand", "reserved",
+        f"CASE WHEN {number} % 4 = 0 THEN observed_at + INTERVAL '1' DAY ELSE observed_at END AS observed_at",
+    )
+    held = stored.where(f"{number} % 6 <> 0")
+    checked = preflight.preflight(incoming, held, BY_TABLE["inventory"])
+    after = preflight.apply_rows(checked, held, BY_TABLE["inventory"])
+    return after.selectExpr("source_product_id", "source_warehouse_id", "on_hand", f"{iso_z('observed_at')} AS observed_at")
+
+
+@query
+def constraint_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Violations in all ten tables; the line keys of the source clash."""
+    return audit.audit_tables(starmap.tables(spark, folder))
+
+
+@query
+def append_only_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """History rows that a later version lost or changed: planted ones, so the audit has work."""
+    history = runs.first_run(spark, folder).new_history
+    tampered = history.where("exception_id NOT LIKE 'a%'").selectExpr(
+        "exception_id", "to_status", "CASE WHEN exception_id LIKE 'b%' THEN 'someone' ELSE actor END AS actor"
+    )
+    return audit.append_only_violations(history, tampered, ["exception_id", "to_status", "actor"])
+
+
 def registered() -> dict[str, Query]:
     return dict(_QUERIES)
 
