@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from decimal import Decimal
 
-from tidewatch.functions.text import iso_z
-from tidewatch.operators import audit, kpi, lifecycle, preflight, reads, rules, validate
-from tidewatch.plans import intake, runs, starmap
+from tidewatch.functions.text import iso_z, plain_decimal_text
+from tidewatch.operators import audit, kpi, lifecycle, observations, preflight, promotion, reads, rules, validate
+from tidewatch.plans import feeds, intake, runs, starmap
 from tidewatch.schema import BY_TABLE
-from tidewatch.settings import RuleSettings, configure
+from tidewatch.settings import RuleSettings, configure, cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 SETTINGS = RuleSettings(as_of=starmap.AS_OF)
@@ -413,6 +413,83 @@ def append_only_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit.append_only_violations(history, tampered, ["exception_id", "to_status", "actor"])
 
 
+# Order observations ----------------------------------------------------------
+
+
+@query
+def observation_assess(spark: SparkSession, folder: str) -> DataFrame:
+    assessed = observations.assess(feeds.raw_observations(spark, folder), starmap.warehouses(spark, folder))
+    return assessed.selectExpr(
+        "sequence", "batch_id", "source_namespace", "source_version", "source_order_id", "order_number", "status",
+        "region", "source_warehouse_id", f"{iso_z('ordered_at')} AS ordered_at",
+        f"{plain_decimal_text('total_amount')} AS total_amount", "currency",
+        "array_join(invalid_reasons, ',') AS invalid_reasons", "array_join(context_reasons, ',') AS context_reasons",
+        "warehouse_capability", "financial", "timing", "source_facts", "source_row_hash", "replay_digest", "assessment",
+    )
+
+
+def _staged(spark: SparkSession, folder: str) -> observations.Staged:
+    return observations.stage(observations.assess(feeds.raw_observations(spark, folder)))
+
+
+@query
+def observation_stage(spark: SparkSession, folder: str) -> DataFrame:
+    return _staged(spark, folder).observations.selectExpr(
+        "observation_id", "sequence", "source_row_hash", "status", "total_amount", "array_join(reasons, ',') AS reasons"
+    )
+
+
+@query
+def observation_receipts(spark: SparkSession, folder: str) -> DataFrame:
+    return _staged(spark, folder).receipts
+
+
+def _promotion(spark: SparkSession, folder: str, **ordering: object) -> promotion.Promotion:
+    evidence = _staged(spark, folder).observations
+    return promotion.promote(evidence, feeds.no_orders(spark), starmap.warehouses(spark, folder), **ordering)
+
+
+def _promoted(after: DataFrame) -> DataFrame:
+    return after.selectExpr(
+        "observation_id", "sequence", "status", "array_join(reasons, ',') AS reasons", "warehouse_capability",
+        "promoted", "superseded_by",
+    )
+
+
+VERSION_RANK = "CAST(source_version AS INT)"
+
+
+@query
+def observation_promote(spark: SparkSession, folder: str) -> DataFrame:
+    return _promoted(_promotion(spark, folder).observations)
+
+
+@query
+def observation_promote_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    return _promoted(_promotion(spark, folder, version_rank=VERSION_RANK).observations)
+
+
+@query
+def observation_promote_compared(spark: SparkSession, folder: str) -> DataFrame:
+    """The same revisions ordered by a Python comparator."""
+
+    def newer(current: str | None, incoming: str | None) -> object:
+        if current is None or incoming is None or int(current) == int(incoming):
+            return "UNORDERED"
+        return int(incoming) > int(current)
+
+    return _promoted(_promotion(spark, folder, comparator=newer).observations)
+
+
+@query
+def promoted_orders(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _promotion(spark, folder, version_rank=VERSION_RANK).orders
+    return orders.selectExpr(
+        "source_namespace", "source_order_id", "order_number", "order_status", f"{iso_z('ordered_at')} AS ordered_at",
+        "total_amount", "projected_version", "current_observation",
+    )
+
+
 def registered() -> dict[str, Query]:
     return dict(_QUERIES)
 
