@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import intake, observed
+from oracle import intake, observed, outside
 from oracle.base import AS_OF, TABLES, iso, rules, with_parts
 
 SECOND = "TIMESTAMP '1998-07-11 00:00:00'"
@@ -290,7 +290,7 @@ FINALS = {
 
 def sql() -> dict[str, str]:
     parts, finals = dict(PARTS), dict(FINALS)
-    for module in (intake, observed):
+    for module in (intake, observed, outside):
         parts |= module.PARTS
         finals |= module.FINALS
     return {key: with_parts(parts, final) for key, final in finals.items()}

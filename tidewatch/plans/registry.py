@@ -10,8 +10,20 @@ from pyspark.sql import functions as F
 from decimal import Decimal
 
 from tidewatch.functions.text import iso_z, plain_decimal_text
-from tidewatch.operators import audit, kpi, lifecycle, observations, preflight, promotion, reads, rules, validate
-from tidewatch.plans import feeds, intake, runs, starmap
+from tidewatch.operators import (
+    audit,
+    external,
+    kpi,
+    lifecycle,
+    observations,
+    preflight,
+    promotion,
+    reads,
+    rules,
+    validate,
+    versions,
+)
+from tidewatch.plans import exports, feeds, intake, runs, starmap
 from tidewatch.schema import BY_TABLE
 from tidewatch.settings import RuleSettings, configure, cut_lineage
 
@@ -490,6 +502,111 @@ def promoted_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Dataset versions ------------------------------------------------------------
+
+
+@query
+def dataset_ensure(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly versions offered again: unchanged, with other content, and under a new manifest."""
+    known = exports.monthly_versions(spark, folder).versions
+    offered = known.selectExpr(
+        "dataset_key",
+        "CASE WHEN dataset_version_id % 3 = 2 THEN concat(manifest_identity, 'x') ELSE manifest_identity END AS manifest_identity",
+        "CASE WHEN dataset_version_id % 3 = 1 THEN 'other' ELSE content_hash END AS content_hash",
+        "seed", "as_of", "generator_revision",
+    )
+    return versions.ensure_outcomes(known, offered).select("dataset_key", "manifest_identity", "seed", "outcome", "identity_hash")
+
+
+def _activated(spark: SparkSession, folder: str) -> versions.Control:
+    control = exports.monthly_versions(spark, folder)
+    for step, month in enumerate((199601, 199602, 199603), 1):
+        control = versions.activate(control, month, step)
+    return control
+
+
+def _control_rows(control: versions.Control) -> DataFrame:
+    return control.versions.selectExpr(
+        "dataset_version_id", "status", "changed_step", f"CAST({control.active_id} AS BIGINT) AS active_id"
+    )
+
+
+@query
+def dataset_activate(spark: SparkSession, folder: str) -> DataFrame:
+    return _control_rows(_activated(spark, folder))
+
+
+@query
+def dataset_rollback(spark: SparkSession, folder: str) -> DataFrame:
+    """Two rollbacks in a row walk back through the activations."""
+    control = versions.rollback(_activated(spark, folder), step=4)
+    return _control_rows(versions.rollback(control, step=5))
+
+
+@query
+def dataset_scope(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of the dataset readers are pointed at after a rollback."""
+    control = versions.rollback(_activated(spark, folder), step=4)
+    orders = starmap.orders(spark, folder).selectExpr(
+        "source_order_id", "CAST(date_format(ordered_at, 'yyyyMM') AS BIGINT) AS dataset_version_id"
+    )
+    return versions.scoped(orders, versions.scope_id(control, None))
+
+
+@query
+def dataset_backfill(spark: SparkSession, folder: str) -> DataFrame:
+    orders = starmap.read(spark, folder, "orders").selectExpr(
+        "o_orderkey", "CASE WHEN o_orderkey % 3 <> 0 THEN 200000 + o_orderkey % 3 END AS dataset_version_id"
+    )
+    _, tables = versions.backfill(versions.no_versions(spark), {"orders": orders}, step=1)
+    return tables["orders"].groupBy("dataset_version_id").agg(F.expr("count(1) AS orders"))
+
+
+# External datasets -----------------------------------------------------------
+
+_ADAPTED = ("source_order_id", "order_number", "status", "region", "ordered_at", "promised_at", "fulfilled_at", "total_amount")
+
+
+@query
+def external_payment_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return external.adapt_olist(exports.olist_tables(spark, folder)).select(*_ADAPTED)
+
+
+@query
+def external_line_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    return external.adapt_dataco(exports.dataco_tables(spark, folder)).select(*_ADAPTED)
+
+
+@query
+def external_rejections(spark: SparkSession, folder: str) -> DataFrame:
+    return external.validate_adapted(external.adapt_olist(exports.olist_tables(spark, folder))).rejections
+
+
+@query
+def external_counts(spark: SparkSession, folder: str) -> DataFrame:
+    tables = exports.olist_tables(spark, folder)
+    adapted = cut_lineage(external.adapt_olist(tables))
+    return external.evidence_counts(adapted, tables["orders"], external.validate_adapted(adapted))
+
+
+@query
+def independent_kpi(spark: SparkSession, folder: str) -> DataFrame:
+    return external.independent_kpis("olist", exports.olist_tables(spark, folder)["orders"], AS_OF)
+
+
+@query
+def independent_kpi_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return external.independent_kpis("dataco", exports.dataco_tables(spark, folder)["orders"], AS_OF)
+
+
+@query
+def coherence(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored figures against queue counts of which one is off by one."""
+    figures = cut_lineage(kpi.summary(starmap.orders(spark, folder), _reviewed(spark, folder), AS_OF))
+    counts = figures.withColumn("supplier_delays", F.col("supplier_delays") + 1)
+    return external.coherence(figures, counts)
+
+
 def registered() -> dict[str, Query]:
     return dict(_QUERIES)
 
