@@ -8,8 +8,9 @@ from __future__ import annotations
 
 # The characters that count as blank at either end of a text.
 BLANKS = (
-    r"\t\n\u000B\u000C\r\u001C\u001D\u001E\u001F \u0085        "
-    r"         　"
+    r"\t\n\u000B\u000C\r\u001C\u001D\u001E\u001F\u0020\u0085\u00A0\u1680"
+    r"\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200A"
+    r"\u2028\u2029\u202F\u205F\u3000"
 )
 
 # Accepted spellings of decimals, integers and ISO-8601 instants.
