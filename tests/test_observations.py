@@ -110,10 +110,17 @@ def test_version_gate(spark, how):
     assert ids[1][1] == ids[2][0] and ids[2][1] == ids[5][0] and ids[5][1] is None
     order = done.orders.collect()
     assert [(str(o["total_amount"]), o["projected_version"], o["current_observation"]) for o in order] == [("14.00", "4", ids[5][0])]
-    # A later batch: the stored order is the current side of the comparison.
-    more = staged(spark, {"source_version": "5", "total_amount": "15"}, {"source_version": "2", "total_amount": "9"}, {"source_version": "4", "total_amount": "14"})
-    later = promotion.promote(more, done.orders, warehouses(spark, "W1"), **ordering)
-    assert [s for s, _ in (statuses(later.observations)[n] for n in (1, 2, 3))] == ["PROMOTED", "CONFLICT_BLOCKED", "PROMOTED"]
+
+
+def test_later_batch_meets_the_stored_order(spark):
+    held = observations.assess(feed(spark, {"source_version": "4"})).selectExpr(
+        "source_namespace", "source_order_id", "order_number", "status AS order_status", "region", "source_warehouse_id", "ordered_at",
+        "promised_at", "fulfilled_at", "CAST(total_amount AS DECIMAL(14,2)) AS total_amount", "currency",
+        "'4' AS projected_version", "'before' AS current_observation",
+    )
+    more = staged(spark, {"source_version": "5", "total_amount": "15"}, {"source_version": "2", "total_amount": "9"}, {"source_version": "4"})
+    done = promotion.promote(more, held, warehouses(spark, "W1"), version_rank="CAST(source_version AS INT)")
+    assert {n: s for n, (s, _) in statuses(done.observations).items()} == {1: "PROMOTED", 2: "CONFLICT_BLOCKED", 3: "PROMOTED"}
 
 
 def test_conflicts_block_both_sides_and_unordered_versions_stay_unproven(spark):

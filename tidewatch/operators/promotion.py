@@ -261,8 +261,10 @@ def _by_rounds(cases: DataFrame, comparator: Comparator) -> DataFrame:
 
 def _apply(decided: DataFrame, judged: DataFrame, orders: DataFrame) -> Promotion:
     """Observations and orders after the batch."""
-    rows = decided.join(judged, "observation_id", "left").selectExpr(
-        "*", "coalesce(verdict, CASE WHEN decision = 'CONFIRM' THEN 'ACCEPT' ELSE decision END) AS result"
+    rows = cut_lineage(
+        decided.join(judged, "observation_id", "left").selectExpr(
+            "*", "coalesce(verdict, CASE WHEN decision = 'CONFIRM' THEN 'ACCEPT' ELSE decision END) AS result"
+        )
     )
     accepted = next_in_sequence(
         rows.where("result = 'ACCEPT'").select(
@@ -270,6 +272,7 @@ def _apply(decided: DataFrame, judged: DataFrame, orders: DataFrame) -> Promotio
         ),
         IDENTITY,
     )
+    accepted = cut_lineage(accepted)
     links = accepted.where("successor IS NOT NULL").selectExpr("observation_id", "successor")
     first = accepted.groupBy(*IDENTITY).agg(
         F.expr("min_by(observation_id, sequence) AS successor"), F.expr("first(current_observation) AS previous")
