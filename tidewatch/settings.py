@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from decimal import Decimal
@@ -80,20 +79,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as `spark.checkpoint.dir` or `setCheckpointDir` names it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder.rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint a frame that several sinks or later steps read.
+    """Checkpoint a frame that several sinks or later steps read, in the shared folder.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`, so a lost executor costs no
-    recompute. A single-machine session without the setting gets a folder of its own; on a cluster
-    without it the frame is returned as it is: correct, only with a longer plan.
+    The copy outlives its executors, so a lost one costs no recompute. Without a shared folder this
+    raises; there is no other way to go on.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
+    folder = shared_folder(df.sparkSession)
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                return df
-            folder = tempfile.mkdtemp(prefix="tidewatch-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
