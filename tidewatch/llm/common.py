@@ -25,3 +25,9 @@ def literal(text: str) -> str:
 def bind(value: str, name: str, body: str) -> str:
     """SQL `body` in which `name` stands for `value`, evaluated once for the row."""
     return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def text_settings(spark: SparkSession) -> SparkSession:
+    """Batches of few rows for Python workers: a row may hold a very long text."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    return spark

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import privacy, quality, sharding, urls
-from tidewatch.llm.common import table
+import corpus_pipeline
+from tidewatch.llm import leaks, licenses, pages, pieces, privacy, quality, sharding, simhash, toxicity, urls
+from tidewatch.llm.common import table, text_settings
 from tidewatch.llm.oracles import ORACLES
 from tidewatch.settings import configure
 
@@ -17,10 +18,16 @@ _QUERIES: dict[str, Query] = {}
 
 
 def query(build: Query) -> Query:
-    _QUERIES[build.__name__] = lambda spark, folder: build(configure(spark), folder)
+    _QUERIES[build.__name__] = lambda spark, folder: build(text_settings(configure(spark)), folder)
     return build
 
 
+@query
+def op1_patience(spark: SparkSession, folder: str) -> DataFrame:
+    """License notices found in documents: one row for each notice."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 @query
 def op2_disclosure(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data of every document: counts, the digest of the base spans, and all spans."""
@@ -42,6 +49,11 @@ def op4_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return measured.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op5_deobfuscation(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(
@@ -51,6 +63,41 @@ def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), rules)
 
 
+@query
+def op7_gray_index(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.expr("lpad(lower(hex(fp)), 16, '0') AS fingerprint"), "component_id")
+
+
+@query
+def op8_host_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    found = pages.extract(table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.expr("CAST(length(text) AS BIGINT) AS n_chars"))
+
+
+@query
+def op9_seed_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaked benchmark items: the best alignment of each pair of a document and an item."""
+    found = leaks.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    best = F.expr("max(struct(round(score, 4) AS score, -start AS start, end)) AS best")
+    return found.groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", "best.score", F.expr("-best.start AS start"), F.expr("best.end AS end")
+    )
+
+
+@query
+def op10_max_plus(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document, and whether decoding them gives the text back."""
+    vocabulary = pieces.Vocabulary.load(corpus_pipeline.MODEL)
+    back = pieces.decode(pieces.encode(table(spark, folder, "documents"), vocabulary), vocabulary)
+    return back.select("doc_id", "ids", F.expr("CAST(size(ids) AS BIGINT) AS n_ids"), F.expr("decoded = coalesce(text, '') AS same"))
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
 def registered() -> dict[str, Query]:
     return dict(_QUERIES)
 
