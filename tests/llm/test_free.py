@@ -84,14 +84,25 @@ def test_near_duplicates_match_brute_force(spark):
             low[root] = min(low.get(root, r["doc_id"]), r["doc_id"])
     assert all(r["component_id"] == low.get(roots[r["fp"] % 2**64]) for r in rows)
     assert any(sum(x == root for x in roots.values()) > 3 for root in roots.values())
-    kept = simhash.deduplicate(docs)
+    kept = simhash.deduplicate(docs, simhash.Sketch())
     assert kept.columns == docs.columns and kept.count() == len(set(roots.values()))
     twice = docs.union(docs)
-    assert simhash.deduplicate(twice).count() == kept.count()
+    assert simhash.deduplicate(twice, simhash.Sketch()).count() == kept.count()
     assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.deduplicate(docs.limit(0)).count() == 0
 
 
-def test_the_index_loses_no_link():
+def test_near_copies_go_and_others_stay(spark):
+    texts = [prose(i, 120) for i in range(20)]
+    for i in range(10):
+        copy = texts[0].split()
+        copy[i * 11] = "other"
+        texts.append(" ".join(copy))
+    texts += [texts[1], texts[1].upper(), "", None, "few words"]
+    kept = {r["text"] for r in simhash.deduplicate(documents(spark, texts, extra=CLASHING)).collect()}
+    assert kept >= {*texts[1:20], "few words"} and len(kept) == 22
+
+
+def test_the_index_loses_no_link(monkeypatch):
     draw = np.random.default_rng(3)
     base = draw.integers(0, 2**63, 40, dtype=np.uint64)
     flips = [b ^ np.uint64(1 << int(i)) ^ np.uint64(1 << int(j)) for b in base for i, j in draw.integers(0, 22, (30, 2))]
@@ -100,14 +111,18 @@ def test_the_index_loses_no_link():
     for shift in (1, 2, 4, 8, 16, 32):
         rank ^= rank >> np.uint64(shift)
     fp = fp[np.argsort(rank)]
-    a, b = simhash.index_links(fp, 2)
-    got = {frozenset(p) for p in zip(a.tolist(), b.tolist())}
     x = simhash.bits(fp[:, None] ^ fp[None])
     i, j = np.nonzero((x <= 2) & (x > 0))
-    want = {frozenset((int(fp[p]), int(fp[q]))) for p, q in zip(i, j)}
-    assert got == want and len(want) > 1000
-    a, b = simhash.group_links(np.zeros(len(fp), np.int32), np.zeros(len(fp), np.int64), fp, 2)
-    assert len(set(a.tolist())) == len(a) and set(zip(a.tolist(), b.tolist())) <= {(p, q) for p in fp.tolist() for q in fp.tolist()}
+    want = [y.tolist() for y in simhash.stars(fp[i], fp[j])]
+    none, nodes = np.zeros(len(fp), np.uint64), np.arange(len(fp))
+    for step in (simhash.STEP, 1 << 10):
+        monkeypatch.setattr(simhash, "STEP", step)
+        a, b = simhash.index_links(fp, 2, lambda i, j: np.zeros(len(i), bool))
+        assert [y.tolist() for y in simhash.stars(fp[a], fp[b])] == want and len(want[0]) > 1000
+    for leaf in (simhash.LEAF, 10_000):
+        monkeypatch.setattr(simhash, "LEAF", leaf)
+        a, b = simhash.group_links(none.view(np.int64), none.view(np.int64), fp, none, nodes, simhash.Sketch())
+        assert len(set(a.tolist())) == len(a) == len(want[0])
 
 
 def test_every_close_pair_shares_a_mask():
@@ -358,15 +373,27 @@ def test_pipeline_against_its_parts(spark, vocabulary):
     rows = corpus_pipeline.run(spark, folder).collect()
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = {r["doc_id"]: r["text"] for r in quality.clean(docs).collect()}
-    prints = {i: brute_print(t) for i, t in kept.items()}
-    roots = brute_components(prints.values())
-    first = {}
-    for i in sorted(prints):
-        first.setdefault(roots[prints[i]], i)
+    unique = {r["doc_id"] for r in simhash.deduplicate(quality.clean(docs)).collect()}
+    near = simhash.NEAR_COPIES
+    prints = {i: [simhash.fingerprint_of(t.encode(), s) % 2**64 for s in (near, near.confirm)] for i, t in kept.items()}
+    first = {i: i for i in prints}  # the smallest id of each group
+
+    def find(i):
+        while first[i] != i:
+            i = first[i]
+        return i
+
+    for i in prints:
+        for j in prints:
+            x, y = ((a ^ b).bit_count() for a, b in zip(prints[i], prints[j]))
+            if i < j and x <= near.radius and y <= near.confirm.radius:
+                a, b = sorted((find(i), find(j)))
+                first[b] = a
+    assert unique == {i for i in first if first[i] == i}
     items = [r["text"] for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     ids = {r["doc_id"] for r in rows}
-    assert ids <= set(first.values()) and len(ids) == len(rows)
-    for i in set(first.values()) - ids:
+    assert ids <= unique and len(ids) == len(rows)
+    for i in unique - ids:
         words = leaks.WORDS.findall(kept[i].lower())
         assert any(leaks.align(leaks.WORDS.findall(t.lower()), words)[0] >= 0.5 * len(t.split()) for t in items)
     decoded = pieces.decode(spark.createDataFrame([(r["doc_id"], r["ids"]) for r in rows], "doc_id long, ids array<int>"), vocabulary)

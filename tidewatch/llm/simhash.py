@@ -5,13 +5,14 @@ choice of that many blocks deals the distinct fingerprints out to small groups t
 a task the rows come sorted by group and Gray rank, in which neighbours differ in few bits. Each group is
 indexed bottom up: sixteen neighbours form a node that holds the bit pattern they share, sixteen nodes
 form the node above. Two nodes whose shared patterns already differ in more than `radius` bits are pruned
-with all below them. Links are joined to stars inside the task, so a dense group leaves as many rows as
-it has members.
+with all below them, and so are two below which all is in one component by now; so a dense group costs
+less than all its pairs. Links are joined to stars inside the task, which leave as many rows as a group has
+members.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -25,20 +26,29 @@ from pyspark.sql import functions as F
 from tidewatch.settings import cut_lineage
 
 FANOUT = 16
+#: Members up to which a group needs no index.
+LEAF = 128
 #: Node pairs that are compared at a time; only memory depends on it.
 STEP = 1 << 17
 #: Shingles whose bits are unpacked at a time.
 BITS_STEP = 1 << 15
+#: Homes of a node while components are found.
+SALTS = 8
 
 
 @dataclass(frozen=True)
 class Sketch:
-    """`words` per shingle, the hash seed, and the bits linked fingerprints may differ in."""
+    """`words` per shingle, the hash seed, and the bits linked fingerprints may differ in.
+
+    With `confirm`, the fingerprints of another sketch must also agree within its radius; so an index of
+    short shingles, which copies change in few bits, can serve a test on long ones.
+    """
 
     words: int = 3
     seed: int = 42
     radius: int = 2
     blocks: int = 6
+    confirm: Sketch | None = None
 
     def masks(self) -> list[int]:
         """A mask of shared bits for every choice of blocks, as signed 64-bit numbers."""
@@ -48,6 +58,11 @@ class Sketch:
         return [mask - (1 << 64) if mask >> 63 else mask for mask in found]
 
 
+#: Near copies: five-word shingles that differ in at most 12 of 64 bits (a cosine of 0.83, which texts have that
+#: share 0.7 to 0.8 of their shingles), found among texts whose two-word fingerprints differ in at most 8.
+NEAR_COPIES = Sketch(words=2, radius=8, blocks=10, confirm=Sketch(words=5, radius=12))
+
+
 def fingerprint_of(text: bytes | None, sketch: Sketch) -> int:
     """The fingerprint as a signed number: bits set in over half of the shingles' hashes; 0 without words."""
     words = (text or b"").lower().split()
@@ -85,6 +100,10 @@ def gray_rank(fp: str) -> Column:
     return F.expr(f"({rank}) ^ (-9223372036854775807L - 1L)")
 
 
+#: Whether members at two lists of places differ too much in what the index does not hold.
+Far = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
 def bits(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 
@@ -108,8 +127,8 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[far], nodes[label[far]]
 
 
-def index_links(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links among one group's distinct fingerprints in Gray order, by the hierarchical index."""
+def index_links(fp: np.ndarray, radius: int, far: Far) -> tuple[np.ndarray, np.ndarray]:
+    """Places of linked members of one group, distinct fingerprints in Gray order, by the hierarchical index."""
     levels = [(fp, np.full(len(fp), ~np.uint64(0)))]
     while len(levels[-1][0]) > 1:
         pattern, mask = levels[-1]
@@ -118,19 +137,22 @@ def index_links(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
         shared = np.bitwise_and.reduceat(mask & ~(pattern ^ first), cuts)
         levels.append((pattern[cuts] & shared, shared))
     left, right = [], []
+    low, high = _ranges(len(fp), np.zeros(0, np.int64), np.zeros(0, np.int64))
     open_pairs = [(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while open_pairs:
         level, i, j = open_pairs.pop()
         pattern, mask = levels[level]
-        near = bits((pattern[i] ^ pattern[j]) & mask[i] & mask[j]) <= radius
+        joined = (low[level][i] == high[level][i]) & (low[level][j] == high[level][j]) & (low[level][i] == low[level][j])
+        near = ~joined & (bits((pattern[i] ^ pattern[j]) & mask[i] & mask[j]) <= radius)
         i, j = i[near], j[near]
         if level == 0:
-            some = i < j
+            some = (i < j) & ~far(i, j)
             left.append(i[some])
             right.append(j[some])
             if sum(map(len, left)) > STEP:
                 a, b = stars(np.concatenate(left), np.concatenate(right))
                 left, right = [a], [b]
+                low, high = _ranges(len(fp), a, b)
             continue
         some = STEP // FANOUT**2
         if len(i) > some:
@@ -141,39 +163,60 @@ def index_links(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
         there = (x <= y) & (y < len(levels[level - 1][0]))
         open_pairs.append((level - 1, x[there], y[there]))
     a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-    return fp[a], fp[b]
-
-
-def group_links(table: np.ndarray, group: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Star edges of the groups in sorted rows. A group of one node's size is compared neighbour by neighbour,
-    all such groups at once; a larger one through its index.
+    return a, b
+
+
+def _ranges(size: int, a: np.ndarray, b: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Smallest and largest component under every node, where `a` are the members whose components are `b`."""
+    label = np.arange(size)
+    label[a] = b
+    low, high = [label], [label]
+    while len(low[-1]) > 1:
+        cuts = np.arange(0, len(low[-1]), FANOUT)
+        low.append(np.minimum.reduceat(low[-1], cuts))
+        high.append(np.maximum.reduceat(high[-1], cuts))
+    return low, high
+
+
+def group_links(
+    table: np.ndarray, group: np.ndarray, fp: np.ndarray, wide: np.ndarray, node: np.ndarray, sketch: Sketch
+) -> tuple[np.ndarray, np.ndarray]:
+    """Star edges of the groups in sorted rows. Groups of at most LEAF members are compared neighbour by
+    neighbour, all such groups at once; larger ones through their indexes.
     """
+    confirm = sketch.confirm.radius if sketch.confirm else 64
     cuts = np.flatnonzero(np.append(True, (table[1:] != table[:-1]) | (group[1:] != group[:-1])))
     sizes = np.diff(np.append(cuts, len(fp)))
-    left, right = [], []
-    small = np.repeat(np.where(sizes <= FANOUT, np.arange(len(cuts)), -1), sizes)
-    for d in range(1, min(FANOUT, int(sizes.max(initial=1)))):
-        near = (small[d:] == small[:-d]) & (small[d:] >= 0) & (bits(fp[d:] ^ fp[:-d]) <= radius)
-        left.append(fp[:-d][near])
-        right.append(fp[d:][near])
-    for start, size in zip(cuts[sizes > FANOUT], sizes[sizes > FANOUT]):
-        a, b = index_links(fp[start : start + size], radius)
-        left.append(a)
-        right.append(b)
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (left, right))
-    return stars(a, b)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    ends = np.repeat(np.where(sizes <= LEAF, cuts + sizes, 0), sizes)
+    here = np.flatnonzero(ends > np.arange(len(fp)) + 1)
+    d = 1
+    while len(here):
+        near = here[bits(fp[here + d] ^ fp[here]) <= sketch.radius]
+        near = near[bits(wide[near + d] ^ wide[near]) <= confirm]
+        left.append(near)
+        right.append(near + d)
+        d += 1
+        here = here[ends[here] > here + d]
+    for start, size in zip(cuts[sizes > LEAF].tolist(), sizes[sizes > LEAF].tolist()):
+        own = wide[start : start + size]
+        a, b = index_links(fp[start : start + size], sketch.radius, lambda i, j: bits(own[i] ^ own[j]) > confirm)  # noqa: B023
+        left.append(a + start)
+        right.append(b + start)
+    a, b = np.concatenate(left), np.concatenate(right)
+    return stars(node[a], node[b])
 
 
 def links(prints: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
-    """Edges (a, b) that connect exactly the fingerprints linked within the radius; `prints` has distinct `fp`.
+    """Edges (a, b) of nodes that connect exactly the fingerprints linked within the radius.
 
-    A group shares all but `radius` blocks, so it has at most 2 ** (bits of those blocks) members.
+    `prints` has distinct rows of `node`, `fp` and `wide` (the confirming fingerprint, or 0). A group of a
+    sketch that deals by k bits has at most 2 ** (64 - k) members with different `fp`.
     """
-    radius = sketch.radius
     masks = ", ".join(f"{mask}L" if mask > -(1 << 63) else "(-9223372036854775807L - 1L)" for mask in sketch.masks())
     dealt = (
-        prints.select("fp", F.posexplode(F.expr(f"array({masks})")).alias("t", "mask"))
-        .select("t", F.expr("fp & mask AS k"), "fp")
+        prints.select("node", "fp", "wide", F.posexplode(F.expr(f"array({masks})")).alias("t", "mask"))
+        .select("t", F.expr("fp & mask AS k"), "fp", "wide", "node")
         .repartition("t", "k")
         .withColumn("rank", gray_rank("fp"))
         .sortWithinPartitions("t", "k", "rank")
@@ -181,59 +224,87 @@ def links(prints: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
     )
 
     def find(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.uint64)]
+        kinds = (np.int32, np.int64, np.uint64, np.uint64, np.int64)
+        held: list[list[np.ndarray]] = []
 
-        def edges(rows: list[np.ndarray]) -> pa.RecordBatch:
-            a, b = group_links(*rows, radius)
-            return pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+        def edges(cut: int | None = None) -> pa.RecordBatch:
+            rows = [np.concatenate(x) for x in zip(*held)]
+            cut = len(rows[0]) if cut is None else len(rows[0]) - cut
+            held[:] = [[x[cut:].copy() for x in rows]]
+            a, b = group_links(*(x[:cut] for x in rows), sketch)
+            return pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
 
-        waiting = []
         for part in parts:
             if not part.num_rows:
                 continue
-            new = [part.column(i).to_numpy() for i in range(3)]
-            waiting.append([new[0], new[1], new[2].view(np.uint64)])
-            last = waiting[-1]
+            last = [part.column(i).to_numpy().view(kind) for i, kind in enumerate(kinds)]
+            held.append(last)
             changed = np.flatnonzero((last[0] != last[0][-1]) | (last[1] != last[1][-1]))
-            if not len(changed):
-                continue  # the group goes on
-            rows = [np.concatenate([held[i], *(w[i] for w in waiting)]) for i in range(3)]
-            cut = len(rows[0]) - (len(last[0]) - changed[-1] - 1)
-            held, waiting = [x[cut:].copy() for x in rows], []
-            yield edges([x[:cut] for x in rows])
-        rows = [np.concatenate([held[i], *(w[i] for w in waiting)]) for i in range(3)]
-        if len(rows[0]):
-            yield edges(rows)
+            if len(changed):  # else the group goes on
+                yield edges(len(last[0]) - int(changed[-1]) - 1)
+        if held:
+            yield edges()
 
-    return dealt.mapInArrow(find, "a long, b long").distinct()
+    return dealt.mapInArrow(find, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node -> root, the smallest node of its component, for nodes with an edge.
 
-    Large-star and small-star steps by turns until the edges stay as they are; each round is
-    checkpointed, so its plan does not grow. Hubs are spread by the joins' skew handling.
+    Every round links each node to the smallest node it knows of, that node's other links to it, and
+    whatever hangs on a node to that node's parent; it ends when no root hangs on another node. An edge
+    goes to the homes of its ends, sorted so that a home meets its parents first and then what hangs on
+    it, and needs only the smallest parent in memory. A hub is spread over SALTS homes.
     """
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    state = None
+
+    def relink(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        home = parent = last = None
+        for part in parts:
+            rows = []
+            for v, salt, hangs, other in zip(*(part.column(i).to_pylist() for i in range(4))):
+                if (v, salt) != home:
+                    home, parent, last = (v, salt), None, None
+                if (hangs, other) == last:
+                    continue
+                last = (hangs, other)
+                if not hangs and parent is None:
+                    parent = other
+                    if not salt:
+                        rows.append((v, other, False))
+                elif not hangs:
+                    if not salt:
+                        rows.append((other, parent, True))
+                elif parent is not None:
+                    rows.append((other, parent, True))
+            if rows:
+                yield pa.record_batch([pa.array(x) for x in zip(*rows)], ["a", "b", "open"])
+
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
     while True:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        edges = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = edges.groupBy("a").agg(F.min("b").alias("m"))
-        small = edges.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        edges = cut_lineage(small.union(low.select("a", F.col("m").alias("b"))).distinct())
-        now = edges.agg(F.count("*"), F.sum(F.expr("xxhash64(a, b) % 1000000007"))).first()
-        if now == state:
+        homes = F.expr(
+            f"concat(transform(sequence(0, {SALTS - 1}), s -> struct(a AS v, s AS salt, false AS hangs, b AS other)), "
+            f"array(struct(b AS v, CAST(pmod(xxhash64(a), {SALTS}) AS INT) AS salt, true AS hangs, a AS other)))"
+        )
+        sent = edges.select(F.explode(homes).alias("e")).select("e.*")
+        dealt = sent.repartition("v", "salt").sortWithinPartitions("v", "salt", "hangs", "other")
+        edges = cut_lineage(dealt.mapInArrow(relink, "a long, b long, open boolean"))
+        if not edges.agg(F.max("open")).first()[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        state = now
 
 
-def grouped(prints: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
-    """Distinct `fp` of `prints` with `root`, the same for all fingerprints linked directly or by a chain."""
-    distinct = cut_lineage(prints.select("fp").distinct())
-    roots = components(links(distinct, sketch)).withColumnRenamed("node", "fp")
-    return distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+def prints_of(docs: DataFrame, sketch: Sketch, *more: Column) -> DataFrame:
+    """`more` columns with node, fp and wide of every text; checkpointed, as it costs one pass over the texts."""
+    text = F.col("text")
+    wide = fingerprint(text, sketch.confirm) if sketch.confirm else F.lit(0).cast("long")
+    node = F.xxhash64("fp", "wide") if sketch.confirm else F.col("fp")
+    rows = docs.select(*more, fingerprint(text, sketch).alias("fp"), wide.alias("wide"))
+    return cut_lineage(rows.withColumn("node", node))
+
+
+def grouped(distinct: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
+    """`distinct` nodes with `root`, the same for all that are linked directly or by a chain."""
+    roots = components(links(distinct.select("node", "fp", "wide"), sketch))
+    return distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def near_duplicates(docs: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
@@ -242,21 +313,22 @@ def near_duplicates(docs: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
     Texts without words, nulls among them, have fingerprint 0 and are linked like others. Repeated rows
     stay. A null doc_id is never a component's id, unless the group has no other.
     """
-    prints = cut_lineage(docs.select("doc_id", fingerprint(F.col("text"), sketch).alias("fp")))
-    roots = cut_lineage(grouped(prints, sketch))
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("low")).join(roots, "fp").groupBy("root").agg(F.min("low").alias("component_id"))
-    return prints.join(roots.join(least, "root").select("fp", "component_id"), "fp")
+    prints = prints_of(docs, sketch, F.col("doc_id"))
+    found = grouped(cut_lineage(prints.groupBy("node", "fp", "wide").agg(F.min("doc_id").alias("low"))), sketch)
+    least = found.groupBy("root").agg(F.min("low").alias("component_id"))
+    classes = found.join(least, "root").select("node", "component_id")
+    return prints.join(classes, "node").select("doc_id", "fp", "component_id")
 
 
-def deduplicate(docs: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
+def deduplicate(docs: DataFrame, sketch: Sketch = NEAR_COPIES) -> DataFrame:
     """One row of every group, in the columns of `docs`: the smallest doc_id (nulls last), of equals the row
     with the smallest hash. Texts are shuffled once, to meet the rows that stay.
     """
     row_hash = F.xxhash64(*docs.columns)
-    prints = cut_lineage(docs.select("doc_id", row_hash.alias("_hash"), fingerprint(F.col("text"), sketch).alias("fp")))
-    roots = grouped(prints, sketch)
+    prints = prints_of(docs, sketch, F.col("doc_id"), row_hash.alias("_hash"))
     best = F.expr("min(struct(doc_id IS NULL AS late, doc_id, _hash)) AS best")
-    stay = prints.groupBy("fp").agg(best).join(roots, "fp").groupBy("root").agg(F.min("best").alias("best"))
+    distinct = cut_lineage(prints.groupBy("node", "fp", "wide").agg(best))
+    stay = grouped(distinct, sketch).groupBy("root").agg(F.min("best").alias("best"))
     stay = stay.select(F.expr("coalesce(best.doc_id, 0L) AS _id"), F.expr("best._hash AS _hash")).distinct()
     packed = docs.select(F.struct("*").alias("_row"), F.expr("coalesce(doc_id, 0L) AS _id"), row_hash.alias("_hash"))
     kept = packed.join(stay, ["_id", "_hash"]).dropDuplicates(["_id", "_hash"])
