@@ -12,7 +12,9 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -22,8 +24,8 @@ from pyspark.sql import functions as F
 from tidewatch.settings import cut_lineage
 
 GAP = "▁"
-#: A stretch that every segmentation begins and ends at: pieces have gaps at their start only.
-UNITS = re.compile(f"{GAP}+[^{GAP}]*|[^{GAP}]+")
+#: Stretches that every segmentation begins and ends at: pieces have gaps at their start only, and no line feeds.
+UNITS = re.compile(f"{GAP}+[^{GAP}\n]*|[^{GAP}\n]+|\n")
 #: Units a worker remembers; only its speed depends on it.
 REMEMBERED = 400_000
 #: Chunks whose matrices are multiplied in one go.
@@ -35,8 +37,8 @@ class Vocabulary:
 
     def __init__(self, pieces: list[tuple[str, float]], byte_ids: dict[int, int]) -> None:
         self.ids = {piece: (i, score) for i, (piece, score) in enumerate(pieces) if piece}
-        if any(GAP in p.lstrip(GAP) for p in self.ids):
-            raise ValueError("pieces must have gaps at their start only")
+        if any(GAP in p.lstrip(GAP) or "\n" in p for p in self.ids):
+            raise ValueError("pieces must have gaps at their start only, and no line feeds")
         self.byte_ids = byte_ids
         self.raw = [piece.encode() for piece, _ in pieces]
         for value, i in byte_ids.items():
@@ -44,10 +46,20 @@ class Vocabulary:
         self.unknown = min(score for _, score in self.ids.values()) - 10
         self.longest = max(map(len, self.ids))
         self.starts = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
-        self.known: dict[str, tuple[float, bytes]] = {}
+        self.single = {p for p in self.ids if len(p) == 1}
+        self.known: dict[str, bytes] = {}
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"known": {}}
+        return {k: v for k, v in self.__dict__.items() if k != "automaton"} | {"known": {}}
+
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """All pieces, to find those that end at each place of a text, longer ones first."""
+        found = ahocorasick.Automaton()
+        for piece, (i, score) in self.ids.items():
+            found.add_word(piece, (len(piece), score, i))
+        found.make_automaton()
+        return found
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -86,10 +98,17 @@ class Vocabulary:
         size = len(text)
         score = [0.0] + [-np.inf] * size
         back: list[tuple[int, int]] = [(0, 0)] * (size + 1)
-        for at in range(size):
-            for end, value, i in self.matches(text, at):
-                if score[at] + value > score[end]:
-                    score[end], back[end] = score[at] + value, (at, i)
+        if self.single.issuperset(text):
+            for last, (length, value, i) in self.automaton.iter(text):
+                start = last + 1 - length
+                value += score[start]
+                if value > score[last + 1]:
+                    score[last + 1], back[last + 1] = value, (start, i)
+        else:  # some characters are spelled in bytes
+            for at in range(size):
+                for end, value, i in self.matches(text, at):
+                    if score[at] + value > score[end]:
+                        score[end], back[end] = score[at] + value, (at, i)
         ids: list[int] = []
         at = size
         while at:
@@ -98,10 +117,10 @@ class Vocabulary:
             at = start
         return score[size], array("i", ids[::-1]).tobytes()
 
-    def unit(self, text: str) -> tuple[float, bytes]:
+    def unit(self, text: str) -> bytes:
         found = self.known.get(text)
         if found is None:
-            found = self.best(text)
+            found = self.best(text)[1]
             if len(text) <= 64:
                 if len(self.known) >= REMEMBERED:
                     self.known.clear()
@@ -109,8 +128,9 @@ class Vocabulary:
         return found
 
     def encode(self, stream: str) -> bytes:
-        unit = self.unit
-        return b"".join([unit(x)[1] for x in UNITS.findall(stream)])
+        """Ids of a stream whose spaces are gaps, as 32-bit bytes."""
+        get, unit = self.known.get, self.unit
+        return b"".join([get(x) or unit(x) for x in UNITS.findall(stream)])
 
     def decode(self, ids: np.ndarray) -> str:
         raw = self.raw
@@ -128,7 +148,7 @@ class Vocabulary:
                 score[end] = np.maximum(score[end], score[at] + value)
             at += 1
             if at == stop and cuts and cuts[-1] > at:
-                middle = sum(self.unit(x)[0] for x in UNITS.findall(text[at : cuts[-1]]))
+                middle = sum(self.best(x)[0] for x in UNITS.findall(text[at : cuts[-1]]))
                 score[cuts[-1]] = score[at] + middle
                 at = cuts[-1]
         out = np.full((reach, reach), -np.inf)
