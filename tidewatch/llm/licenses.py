@@ -152,7 +152,8 @@ class Scanner:
             self.cues.update(own[: max(1, round(len(own) * (1 - scan.least)) + 1)])
 
     def find(self, text: str) -> list[tuple[str, float, int, int]]:
-        """(license, coverage, start, end) in words; the best template of a license at a place."""
+        """(license, coverage, start, end) in words: the best template of a license at a place, and of licenses
+        of which one's stretch lies inside another's, the one with more words aligned."""
         words = WORDS.findall(text.lower())
         if self.cues.isdisjoint(words):
             return []
@@ -166,16 +167,17 @@ class Scanner:
                     done = start
                     found += self._window(name, template, words, start * step, min(start * step + length, len(words)))
         found.sort(key=lambda f: (f[0], f[2], -f[1]))
-        out: list[tuple[str, float, int, int]] = []
+        out: list[tuple[str, float, int, int, int]] = []
         for f in found:
             if out and out[-1][0] == f[0] and f[2] < out[-1][3]:
                 if f[1] > out[-1][1]:
                     out[-1] = f
             else:
                 out.append(f)
-        return out
+        inner = lambda f: any(g[2] <= f[2] and f[3] <= g[3] and g[4] > f[4] for g in out if g[0] != f[0])
+        return [f[:4] for f in out if not inner(f)]
 
-    def _window(self, name: str, template: list[str], words: list[str], start: int, end: int) -> list[tuple[str, float, int, int]]:
+    def _window(self, name: str, template: list[str], words: list[str], start: int, end: int) -> list[tuple[str, float, int, int, int]]:
         """Alignments of a template in a window; a short template is tried wherever its first word stands."""
         scan, size, own = self.scan, len(template), set(template)
         window = words[start:end]
@@ -193,7 +195,7 @@ class Scanner:
             if not pairs or coverage < (1 if size < scan.short else scan.least):
                 continue
             first, last = a + pairs[0][0], a + pairs[-1][0] + 1
-            out.append((name, coverage, start + first, start + last))
+            out.append((name, coverage, start + first, start + last, len(pairs)))
         return out
 
 
