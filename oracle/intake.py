@@ -60,6 +60,17 @@ PARTS = {
 }
 
 
+#: The columns of two artifacts.
+_CONTRACT = {
+    "oms/orders.csv": "source_order_id order_number status region source_warehouse_id ordered_at promised_at fulfilled_at total_amount currency",
+    "wms/warehouses.csv": "source_warehouse_id code name region timezone",
+}
+
+
+def _listed() -> str:
+    return ", ".join(f"('{artifact}', '{name}')" for artifact, names in _CONTRACT.items() for name in names.split())
+
+
 def _twice(table: str, view: str, key: str, columns: str) -> str:
     return (
         f"SELECT '{table}' AS table_name, 'UNIQUE' AS kind, '{columns}' AS violated, {key} AS row_key, count(*) AS rows "
@@ -99,6 +110,22 @@ FINALS = {
                          (SELECT count(*) FROM order_rejections), 0
         UNION ALL SELECT 'oms/order_items.csv', (SELECT count(*) FROM raw_item), (SELECT count(*) FROM decided_item WHERE verdict = 'accepted'),
                          (SELECT count(*) FROM item_rejections), (SELECT count(*) FROM decided_item WHERE verdict = 'identical')""",
+    "duplicate_conflicts": """
+        SELECT 'wms/inventory_movements.csv' AS artifact, o_orderkey * 2 + 3 AS row_number, 'M' || o_orderkey AS source_id,
+               'DUPLICATE_CONFLICT' AS error_code, 'source_movement_id' AS field, 'duplicate source ID has conflicting values' AS message
+        FROM orders WHERE o_orderkey % 7 = 0""",
+    "duplicate_counts": """
+        SELECT count(*) + count(*) FILTER (o_orderkey % 7 < 2) AS rows_read, count(*) AS accepted,
+               count(*) FILTER (o_orderkey % 7 = 1) AS duplicate_identical FROM orders""",
+    "header_differences": f"""
+        SELECT artifact, CAST(1 AS BIGINT) AS row_number, CAST(NULL AS VARCHAR) AS source_id,
+               CASE WHEN d.name IS NULL THEN 'UNKNOWN_COLUMN' ELSE 'MISSING_COLUMN' END AS error_code, coalesce(d.name, s.name) AS field,
+               CASE WHEN d.name IS NULL THEN 'column ''' || s.name || ''' is not declared for this artifact'
+                    ELSE 'required contract column ''' || d.name || ''' is missing' END AS message
+        FROM (SELECT * FROM (VALUES {_listed()}) AS v(artifact, name)) d
+        FULL JOIN (SELECT CASE table_name WHEN 'orders' THEN 'oms/orders.csv' ELSE 'wms/warehouses.csv' END AS artifact, column_name AS name
+                   FROM information_schema.columns WHERE table_name IN ('orders', 'nation')) s USING (artifact, name)
+        WHERE d.name IS NULL OR s.name IS NULL""",
     "validated_items": """
         SELECT source_id AS source_order_item_id, source_order_id, source_product_id, line_number, ordered_quantity,
                fulfilled_quantity, unit_price FROM decided_item WHERE verdict = 'accepted'""",

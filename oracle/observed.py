@@ -121,6 +121,10 @@ FINALS = {
     "observation_promote": _promoted("unordered"),
     "observation_promote_ranked": _promoted("ranked"),
     "observation_promote_compared": _promoted("ranked"),
+    "promotion_numbers": """
+        SELECT source || o_orderkey AS source_order_id, o_orderkey * 10 + kind AS sequence, status, reasons, status = 'PROMOTED' AS promoted
+        FROM orders, (VALUES ('A', 1, 'PROMOTED', ''), ('A', 2, 'CONFLICT_BLOCKED', 'STALE_SOURCE_VERSION'), ('B', 3, 'PROMOTED', ''),
+                             ('C', 4, 'REJECTED_INVALID', 'OPERATIONAL_ORDER_CONFLICT')) AS v(source, kind, status, reasons)""",
     "promoted_orders": f"""
         SELECT source_namespace, source_order_id, order_number, status AS order_status, {iso('ordered_at', 'Z')} AS ordered_at, total_amount,
                source_version AS projected_version, digest AS current_observation

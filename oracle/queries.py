@@ -66,13 +66,14 @@ PARTS = {
         UNION ALL
         SELECT exception_id, from_status, to_status, '1998-07-02T09:30:00Z', actor, reason, sequence
         FROM judged WHERE accepted""",
+    "active": """
+        SELECT id, exception_type, issue_key FROM reviewed WHERE status IN ('OPEN', 'ACKNOWLEDGED', 'IN_PROGRESS')""",
+    "settled": """
+        SELECT DISTINCT deduplication_key FROM reviewed WHERE status IN ('RESOLVED', 'DISMISSED')""",
     "rerun": """
-        SELECT f.*, a.id AS active_id,
-               EXISTS (SELECT 1 FROM reviewed t WHERE t.status IN ('RESOLVED', 'DISMISSED')
-                         AND t.deduplication_key = f.deduplication_key) AS held
-        FROM findings_b f LEFT JOIN reviewed a
-          ON a.exception_type = f.exception_type AND a.issue_key = f.issue_key
-         AND a.status IN ('OPEN', 'ACKNOWLEDGED', 'IN_PROGRESS')""",
+        SELECT f.*, a.id AS active_id, t.deduplication_key IS NOT NULL AS held
+        FROM findings_b f LEFT JOIN active a ON a.exception_type = f.exception_type AND a.issue_key = f.issue_key
+        LEFT JOIN settled t ON t.deduplication_key = f.deduplication_key""",
     "outcomes": """
         SELECT exception_type, issue_key, CAST(1 AS BIGINT) AS findings,
                CAST(active_id IS NULL AND NOT held AS INTEGER) AS created,
@@ -129,6 +130,8 @@ PARTS = {
                   count(*) FILTER (exception_type = 'SUPPLIER_DELAY') AS supplier_delays,
                   count(*) FILTER (exception_type = 'SHIPMENT_DELAY') AS shipment_delays
            FROM reviewed WHERE status IN ('OPEN', 'ACKNOWLEDGED', 'IN_PROGRESS') AND detected_at <= {AS_OF}) e""",
+    "detail_page": """
+        SELECT * FROM order_wire WHERE status = 'OPEN' AND source_warehouse_id = 'W4' ORDER BY source_order_id LIMIT 100""",
     "domain": """
         SELECT 'status' AS dimension, unnest(['OPEN', 'ACKNOWLEDGED', 'IN_PROGRESS', 'RESOLVED', 'DISMISSED']) AS value
         UNION ALL SELECT 'exception_type', unnest(['SLA_BREACH_RISK', 'INVENTORY_SHORTAGE', 'STOCKOUT_RISK',
@@ -235,6 +238,10 @@ FINALS = {
     "orders_page": """
         SELECT * FROM order_wire WHERE status IN ('OPEN', 'FULFILLED') AND region = 'REGION_2'
           AND ordered_at >= '1996-01-01' AND ordered_at <= '1998-01-01T00:00:00Z' ORDER BY source_order_id LIMIT 50 OFFSET 50""",
+    "order_lookup": """
+        SELECT source_order_id, order_number, o.status, line_number, 'SKU-' || substr(i.source_product_id, 2) AS sku,
+               CAST(ordered_quantity AS VARCHAR) AS ordered_quantity
+        FROM t_orders o JOIN t_items i USING (source_order_id) WHERE source_order_id = 'O7'""",
     "orders_page_after_key": """
         SELECT * FROM order_wire WHERE source_warehouse_id = 'W7' AND source_order_id > 'O5' ORDER BY source_order_id LIMIT 25""",
     "order_lines": """
@@ -243,13 +250,13 @@ FINALS = {
         FROM t_items i JOIN t_orders o USING (source_order_id) JOIN t_products p USING (source_product_id)
         WHERE o.status = 'CANCELLED'""",
     "order_detail": """
-        SELECT o.source_order_id, count(i.line_number) AS items_count,
-               (SELECT count(*) FROM t_shipments s WHERE s.source_order_id = o.source_order_id) AS shipments_count, TRUE AS nested,
-               coalesce(string_agg(i.line_number || '/SKU-' || substr(i.source_product_id, 2) || '/' || i.ordered_quantity, ','
-                        ORDER BY i.line_number, i.source_product_id, CAST(i.fulfilled_quantity AS VARCHAR)), '') AS lines,
-               coalesce((SELECT string_agg(source_shipment_id, ',') FROM t_shipments s WHERE s.source_order_id = o.source_order_id), '') AS sent
-        FROM (SELECT * FROM t_orders WHERE status = 'OPEN' AND source_warehouse_id = 'W4' ORDER BY source_order_id LIMIT 100) o
-        LEFT JOIN t_items i ON i.source_order_id = o.source_order_id GROUP BY o.source_order_id""",
+        SELECT source_order_id, 'item' AS part, i.line_number || '/SKU-' || substr(i.source_product_id, 2) AS child,
+               CAST(i.ordered_quantity AS VARCHAR) AS content
+        FROM detail_page JOIN t_items i USING (source_order_id)
+        UNION ALL
+        SELECT source_order_id, 'shipment', source_shipment_id, s.carrier || '/' || s.status FROM detail_page JOIN t_shipments s USING (source_order_id)
+        UNION ALL
+        SELECT source_order_id, 'order', order_number, status || '/' || total_amount FROM detail_page""",
     "inventory_list": f"""
         SELECT source_product_id, source_warehouse_id, sku, name AS product_name, CAST(on_hand AS VARCHAR) AS on_hand,
                CAST(reserved AS VARCHAR) AS reserved, CAST(on_hand - reserved AS VARCHAR) AS available,

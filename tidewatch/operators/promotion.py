@@ -2,19 +2,20 @@
 
 Without a way to order versions, one identity has at most one observation that can create its
 order, so every decision is a join. With a declared rank, the revisions accepted in sequence order
-are the running maxima of that rank. An arbitrary comparator is applied in rounds, one accepted
-revision per identity and round, each over all rows in parallel.
+are the running maxima of that rank. An arbitrary comparator goes once over each identity's rows in
+sequence order, with the current version as its only state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewatch.settings import cut_lineage
 
@@ -144,7 +145,8 @@ def promote(
     are never ordered. Sequence numbers are unique and say only in which order rows are presented.
 
     An order number belongs to one identity per namespace: to the order that has it, else to the
-    first presented observation that could claim it.
+    first presented observation that becomes an order or its revision. A number that an order gives
+    up within the batch is free from the next batch on.
     """
     matches = " AND ".join(f"held.{name} <=> {name}" for name in PROJECTED)
     decided = cut_lineage(
@@ -165,10 +167,8 @@ def promote(
         )
         judged = _settle_numbers(judged, orders, "verdict = 'ACCEPT'")
     else:
-        claimed = _settle_numbers(open_cases.withColumn("verdict", F.lit("ACCEPT")), orders, "true")
-        clear, lost = claimed.where("verdict = 'ACCEPT'"), claimed.where("verdict <> 'ACCEPT'")
-        ordered = _by_rank(clear, version_rank) if version_rank is not None else _by_rounds(clear, comparator)
-        judged = ordered.unionByName(lost.select(*ordered.columns))
+        order = (lambda cases: _by_rank(cases, version_rank)) if version_rank is not None else (lambda cases: _in_sequence(cases, comparator))
+        judged = _claimed(open_cases, orders, order)
     return _apply(decided, judged.select("observation_id", "verdict"), orders)
 
 
@@ -189,6 +189,30 @@ def _settle_numbers(cases: DataFrame, orders: DataFrame, claiming: str) -> DataF
     ).drop("owner")
 
 
+def _claimed(cases: DataFrame, orders: DataFrame, order: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Verdicts of versions and order numbers together.
+
+    Versions are ordered first, and what they accept claims its number. A refused claim is no revision,
+    so the other rows of its identity are ordered again without it. Rows accepted before stay accepted, so claims only grow, and
+    this ends; only identities with a refused claim take part in another pass.
+    """
+    names = cases.columns
+    judged = cut_lineage(order(cases))
+    while True:
+        settled = cut_lineage(_settle_numbers(judged, orders, "verdict = 'ACCEPT'"))
+        lost = settled.where("verdict = 'OPERATIONAL_ORDER_CONFLICT'").join(
+            judged.where("verdict = 'ACCEPT'").select("observation_id"), "observation_id", "left_semi"
+        )
+        if lost.isEmpty():
+            return settled
+        again = lost.select(*IDENTITY).distinct()
+        touched = settled.join(again, list(IDENTITY), "left_semi")
+        refused = touched.where("verdict = 'OPERATIONAL_ORDER_CONFLICT'")
+        redone = order(touched.where("verdict <> 'OPERATIONAL_ORDER_CONFLICT'").select(*names))
+        parts = (settled.join(again, list(IDENTITY), "left_anti"), refused, redone)
+        judged = cut_lineage(reduce(DataFrame.unionByName, [part.select(*names, "verdict") for part in parts]))
+
+
 _VERDICT_OF = {
     "INCOMING_NEWER": "ACCEPT",
     "CURRENT_NEWER": "STALE_SOURCE_VERSION",
@@ -200,7 +224,8 @@ _VERDICT_OF = {
 def _by_rank(cases: DataFrame, version_rank: str) -> DataFrame:
     """Accept the first observation of an identity without an order, and each one ranked above
     everything before it. Nothing follows an unranked first one."""
-    held_rank = version_rank.replace("source_version", "projected_version")
+    # The same expression over the stored version: a lambda's variable hides the column of its name.
+    held_rank = f"transform(array(projected_version), source_version -> {version_rank})[0]"
     ranked = cases.selectExpr("*", f"CAST({version_rank} AS DECIMAL(38,10)) AS rank", f"CAST({held_rank} AS DECIMAL(38,10)) AS held_rank")
     first = ranked.groupBy(*IDENTITY).agg(
         F.expr("min(sequence) AS first_sequence"), F.expr("min_by(rank, sequence) AS first_rank")
@@ -210,53 +235,38 @@ def _by_rank(cases: DataFrame, version_rank: str) -> DataFrame:
     start = "CASE WHEN has_order THEN held_rank ELSE first_rank END"
     current = "greatest(before, start)"
     return ranked.selectExpr("*", f"{start} AS start").selectExpr(
-        "observation_id", "sequence",
+        *cases.columns,
         f"CASE WHEN {opening} THEN 'ACCEPT' WHEN start IS NULL OR rank IS NULL OR rank = {current} "
         f"THEN 'SOURCE_VERSION_ORDER_UNPROVEN' WHEN rank > {current} THEN 'ACCEPT' ELSE 'STALE_SOURCE_VERSION' END AS verdict",
     )
 
 
-def _by_rounds(cases: DataFrame, comparator: Comparator) -> DataFrame:
-    """Accept revisions with a user comparator. Every round compares all open rows with their
-    identity's current version and settles the rows up to the next accepted one."""
-
+def _in_sequence(cases: DataFrame, comparator: Comparator) -> DataFrame:
+    """Accept revisions with a user comparator: one pass over the rows, dealt out by identity and in
+    sequence order; a task holds one batch and the current version.
+    """
     compare = version_outcome(comparator)
-
-    @F.pandas_udf(StringType())
-    def outcome(current: pd.Series, incoming: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                compare(None if pd.isna(c) else c, None if pd.isna(i) else i)
-                for c, i in zip(current, incoming, strict=True)
-            ],
-            dtype="object",
-        )
-
-    pending = cases.select(
-        *IDENTITY, "observation_id", "sequence", "source_version", "has_order",
-        F.col("projected_version").alias("current_version"),
-    )
-    verdicts = " ".join(f"WHEN '{name}' THEN '{verdict}'" for name, verdict in _VERDICT_OF.items())
-    settled: DataFrame | None = None
-    while True:
-        judged = pending.withColumn(
-            "outcome", F.when(F.col("has_order"), outcome("current_version", "source_version")).otherwise("INCOMING_NEWER")
-        ).withColumn("verdict", F.expr(f"CASE outcome {verdicts} END"))
-        judged = cut_lineage(judged)
-        accepted = judged.where("verdict = 'ACCEPT'").groupBy(*IDENTITY).agg(
-            F.expr("min(sequence) AS at"), F.expr("min_by(source_version, sequence) AS new_version")
-        )
-        marked = judged.join(accepted, list(IDENTITY), "left")
-        done = marked.where("at IS NULL OR sequence <= at").select("observation_id", "sequence", "verdict")
-        settled = done if settled is None else settled.unionByName(done)
-        pending = cut_lineage(
-            marked.where("sequence > at").select(
-                *IDENTITY, "observation_id", "sequence", "source_version", F.lit(True).alias("has_order"),
-                F.col("new_version").alias("current_version"),
-            )
-        )
-        if pending.isEmpty():
-            return settled
+    schema = cases.schema
+    verdict_of = dict(_VERDICT_OF)
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        identity, current, has_order = None, None, False
+        for batch in batches:
+            verdicts = []
+            for *key, version, held, projected in zip(
+                *(batch[name] for name in (*IDENTITY, "source_version", "has_order", "projected_version")), strict=True
+            ):
+                if key != identity:
+                    identity, has_order, current = key, bool(held), None if pd.isna(projected) else projected
+                version = None if pd.isna(version) else version
+                verdict = verdict_of[compare(current, version)] if has_order else "ACCEPT"
+                if verdict == "ACCEPT":
+                    current, has_order = version, True
+                verdicts.append(verdict)
+            yield batch.assign(verdict=verdicts)
+
+    dealt = cases.repartition(*IDENTITY).sortWithinPartitions(*IDENTITY, "sequence")
+    return dealt.mapInPandas(walk, StructType([*schema.fields, StructField("verdict", StringType())]))
 
 
 def _apply(decided: DataFrame, judged: DataFrame, orders: DataFrame) -> Promotion:

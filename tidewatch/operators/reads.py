@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.text import (
@@ -19,15 +19,13 @@ from tidewatch.functions.text import (
     timestamp_label,
 )
 from tidewatch.schema import EXCEPTION_STATUSES, EXCEPTION_TYPES, SEVERITIES
-from tidewatch.settings import instant_lit, utc_instant
+from tidewatch.settings import cut_lineage, instant_lit, utc_instant
 
 Tables = Mapping[str, DataFrame]
 PAGE_SIZE_LIMIT = 100
 DEFAULT_PAGE_SIZE = 25
-#: Rows a numbered page may reach; further on, pages continue after a key instead.
-NUMBERED_DEPTH = 100_000
-#: Child rows up to which an order is nested into one row; larger orders stay in the child frames.
-NEST_LIMIT = 1_000
+#: Rows up to which Spark's top-k holds what comes before a page; it has to fit in a task.
+TOP_ROWS = 10_000
 
 # Columns and headings of the exported tables.
 QUEUE_COLUMNS = {
@@ -125,10 +123,11 @@ def page(
     *,
     after: tuple | None = None,
 ) -> DataFrame:
-    """One page in stable key order.
+    """One page in stable key order, however deep.
 
-    A numbered page is a top-k over the rows before it. Deep pages continue from the last key of
-    the page before (`after`), which reads no earlier row at all.
+    A page near the start is a top-k. A deeper one is found by counting: rows are dealt out by key
+    ranges, the ranges' row counts add up to where each range starts, and only the ranges that overlap
+    the page are numbered. `after`, the last key of the page before, needs no counting at all.
     """
     if number < 1 or not 1 <= size <= PAGE_SIZE_LIMIT:
         raise ValueError(f"page starts at 1 and holds 1 to {PAGE_SIZE_LIMIT} rows")
@@ -137,9 +136,15 @@ def page(
         there = F.struct(*[F.lit(value).alias(key) for key, value in zip(keys, after, strict=True)])
         return rows.where(here > there).orderBy(*keys).limit(size)
     skipped = (number - 1) * size
-    if skipped + size > NUMBERED_DEPTH:
-        raise ValueError("continue deep pages with `after` and the last key of the page before")
-    return rows.orderBy(*keys).offset(skipped).limit(size)
+    if skipped + size <= TOP_ROWS:
+        return rows.orderBy(*keys).offset(skipped).limit(size)
+    dealt = cut_lineage(rows.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    counts = dealt.groupBy("_range").count().withColumn("_start", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
+    near = counts.where((F.col("_start") < skipped + size) & (F.col("_start") + F.col("count") > skipped))
+    place = F.col("_start") + F.row_number().over(Window.partitionBy("_range").orderBy(*keys))
+    numbered = dealt.join(near.select("_range", "_start"), "_range").withColumn("_place", place)
+    return numbered.where((F.col("_place") > skipped) & (F.col("_place") <= skipped + size)).orderBy(*keys).select(*rows.columns)
 
 
 def page_total(rows: DataFrame) -> DataFrame:
@@ -198,39 +203,6 @@ def order_shipments_wire(chosen: DataFrame, shipments: DataFrame) -> DataFrame:
     )
 
 
-def nested_orders(page_rows: DataFrame, lines: DataFrame, shipments: DataFrame, limit: int = NEST_LIMIT) -> DataFrame:
-    """One row per order of a page with its lines and shipments as arrays.
-
-    An order with more children than `limit` keeps null arrays and `nested = false`; its rows are
-    all in the child frames, so no single row has to hold them.
-    """
-
-    def gathered(children: DataFrame, name: str, order: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
-        sizes = children.groupBy("source_order_id").agg(F.count(F.lit(1)).alias(f"{name}_count"))
-        small = sizes.where(F.col(f"{name}_count") <= limit).select("source_order_id")
-        fields = [c for c in children.columns if c not in ("source_order_id", *order)]
-        entry = F.struct(*order, *fields)
-        return sizes, (
-            children.join(small, "source_order_id", "left_semi")
-            .groupBy("source_order_id")
-            .agg(F.sort_array(F.collect_list(entry)).alias(name))
-        )
-
-    result = page_rows
-    for children, name, order in (
-        (lines, "items", ("line_number", "source_product_id")),
-        (shipments, "shipments", ("source_shipment_id",)),
-    ):
-        sizes, arrays = gathered(children, name, order)
-        result = result.join(sizes, "source_order_id", "left").join(arrays, "source_order_id", "left")
-        count = F.coalesce(f"{name}_count", F.lit(0))
-        kind = arrays.schema[name].dataType.simpleString()
-        result = result.withColumn(f"{name}_count", count).withColumn(
-            name, F.when(F.col(f"{name}_count") == 0, F.array().cast(kind)).otherwise(F.col(name))
-        )
-    return result.withColumn("nested", F.col("items").isNotNull() & F.col("shipments").isNotNull())
-
-
 def order_detail(tables: Tables, source_order_id: str) -> dict[str, DataFrame]:
     """One order as three frames: the order, its lines and its shipments."""
     chosen = tables["orders"].where(F.col("source_order_id") == source_order_id)

@@ -44,6 +44,23 @@ def raw_observations(spark: SparkSession, folder: str) -> DataFrame:
     return result
 
 
+def number_claims(spark: SparkSession, folder: str) -> DataFrame:
+    """For every order four observations: a second revision, an older one under another number, another
+    order that takes that number, and one that claims the number the first holds."""
+    base = starmap.orders(spark, folder).selectExpr("CAST(substr(source_order_id, 2) AS BIGINT) AS k", "*")
+
+    def rows(kind: int, order: str, version: str, number: str) -> DataFrame:
+        return base.selectExpr(
+            f"k * 10 + {kind} AS sequence", "'b1' AS batch_id", "'numbers' AS source_namespace", f"'{version}' AS source_version",
+            f"concat('{order}', k) AS order_id", f"concat('{number}', k) AS order_number", "'open' AS order_status", "region",
+            "source_warehouse_id AS warehouse_id", f"{iso_offset('ordered_at')} AS ordered_at", f"{iso_offset('promised_at')} AS promised_at",
+            "CAST(NULL AS STRING) AS fulfilled_at", "CAST(total_amount AS STRING) AS total_amount", "'usd' AS currency",
+        )
+
+    parts = rows(1, "A", "2", "N"), rows(2, "A", "1", "X"), rows(3, "B", "1", "X"), rows(4, "C", "1", "N")
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 def no_orders(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         [],

@@ -264,19 +264,25 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def order_detail(spark: SparkSession, folder: str) -> DataFrame:
-    """Page of orders nested with lines and shipments; the arrays are shown by their sizes and ids."""
+    """A page of orders, their lines and their shipments, one flat row for each."""
     tables = starmap.tables(spark, folder)
-    chosen = reads.page(
-        reads.orders_where(tables["orders"], statuses=["OPEN"], warehouse_id="W4"), ("source_order_id",), size=100
-    )
-    nested = reads.nested_orders(
-        reads.order_wire(chosen),
-        reads.order_lines_wire(chosen, tables["order_items"], tables["products"]),
-        reads.order_shipments_wire(chosen, tables["shipments"]),
+    matching = reads.orders_where(tables["orders"], statuses=["OPEN"], warehouse_id="W4")
+    chosen = cut_lineage(reads.page(matching, ("source_order_id",), size=100))
+    lines = reads.order_lines_wire(chosen, tables["order_items"], tables["products"])
+    sent = reads.order_shipments_wire(chosen, tables["shipments"])
+    return (
+        reads.order_wire(chosen)
+        .selectExpr("source_order_id", "'order' AS part", "order_number AS child", "concat(status, '/', total_amount) AS content")
+        .unionByName(lines.selectExpr("source_order_id", "'item' AS part", "concat(line_number, '/', sku) AS child", "ordered_quantity AS content"))
+        .unionByName(sent.selectExpr("source_order_id", "'shipment' AS part", "source_shipment_id AS child", "concat(carrier, '/', status) AS content"))
     )
-    skus = F.array_join(F.transform("items", lambda i: F.concat_ws("/", i["line_number"], i["sku"], i["ordered_quantity"])), ",")
-    sent = F.array_join(F.transform("shipments", lambda s: s["source_shipment_id"]), ",")
-    return nested.select("source_order_id", "items_count", "shipments_count", "nested", skus.alias("lines"), sent.alias("sent"))
+
+
+@query
+def order_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """One order with its lines."""
+    found = reads.order_detail(starmap.tables(spark, folder), "O7")
+    return found["order"].join(found["items"], "source_order_id").select("source_order_id", "order_number", "status", "line_number", "sku", "ordered_quantity")
 
 
 @query
@@ -346,7 +352,25 @@ def validate_rejections(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def validate_summary(spark: SparkSession, folder: str) -> DataFrame:
     raw = intake.raw_bundle(spark, folder)
-    return validate.summarise(raw, *validate.validate_bundle(spark, raw))
+    return validate.summarise(*validate.validate_bundle(spark, raw))
+
+
+@query
+def duplicate_conflicts(spark: SparkSession, folder: str) -> DataFrame:
+    """Movements with one id that differ by less than a millisecond."""
+    return validate.validate_rows(intake.raw_receipts(spark, folder), "wms/inventory_movements.csv").rejections
+
+
+@query
+def duplicate_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return validate.validate_rows(intake.raw_receipts(spark, folder), "wms/inventory_movements.csv").counts
+
+
+@query
+def header_differences(spark: SparkSession, folder: str) -> DataFrame:
+    """Headers of files that hold the test tables, against the contracts of the artifacts they stand for."""
+    names = {"oms/orders.csv": "orders", "wms/warehouses.csv": "nation"}
+    return validate.header_faults(spark, {artifact: tuple(starmap.read(spark, folder, table).columns) for artifact, table in names.items()})
 
 
 @query
@@ -493,6 +517,14 @@ def observation_promote_compared(spark: SparkSession, folder: str) -> DataFrame:
     return _promoted(_promotion(spark, folder, comparator=newer).observations)
 
 
+@query
+def promotion_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """A revision that never becomes an order takes no order number away; one that does, does."""
+    evidence = observations.stage(observations.assess(feeds.number_claims(spark, folder))).observations
+    after = promotion.promote(evidence, feeds.no_orders(spark), starmap.warehouses(spark, folder), version_rank=VERSION_RANK)
+    return after.observations.selectExpr("source_order_id", "sequence", "status", "array_join(reasons, ',') AS reasons", "promoted")
+
+
 @query
 def promoted_orders(spark: SparkSession, folder: str) -> DataFrame:
     orders = _promotion(spark, folder, version_rank=VERSION_RANK).orders

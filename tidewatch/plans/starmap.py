@@ -159,10 +159,9 @@ def purchase_order_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shipments(spark: SparkSession, folder: str) -> DataFrame:
-    """One shipment per order with an even key."""
+    """One shipment per order."""
     return (
         read(spark, folder, "orders")
-        .where("o_orderkey % 2 = 0")
         .selectExpr(
             "concat('S', o_orderkey) AS source_shipment_id",
             "concat('O', o_orderkey) AS source_order_id",
