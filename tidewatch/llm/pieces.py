@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewatch.settings import cut_lineage
 
@@ -254,16 +255,18 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = 16_384) -> Data
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """`rows` has doc_id and ids, and maybe text; adds `decoded`. Null ids decode to null."""
+    """Add `decoded` to rows that have `ids`. Null ids decode to null; other columns pass through."""
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+    names, place = rows.columns, rows.columns.index("ids")
 
-    @F.arrow_udf("string")
-    def udf(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for ids in parts:
-            flat = ids.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(np.asarray(ids.value_lengths().fill_null(0)))
-            found = [None if one is None else own.decode(one) for one in np.split(flat, ends[:-1])] if len(ends) else []
-            yield pa.array([x if ok else None for x, ok in zip(found, ids.is_valid().to_pylist())], pa.string())
-
-    return rows.withColumn("decoded", udf("ids"))
+        for part in parts:
+            column = part.column(place)
+            flat = column.flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(np.asarray(column.value_lengths().fill_null(0)), dtype=np.int64).tolist()
+            starts = [0, *ends[:-1]]
+            found = [own.decode(flat[a:b]) if ok else None for a, b, ok in zip(starts, ends, column.is_valid().to_pylist())]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string())], [*names, "decoded"])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("decoded", StringType())]))
