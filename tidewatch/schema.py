@@ -111,6 +111,7 @@ def _ref(parent: str) -> Rule:
 
 
 #: Artifacts in dependency order: parents always come before their children.
+# The contract of the artifacts (columns, kinds, enums, relations).
 ARTIFACTS: tuple[Artifact, ...] = (
     Artifact(
         "oms/products.csv", "products", "source_product_id",
