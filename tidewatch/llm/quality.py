@@ -19,6 +19,12 @@ BOILERPLATE = (
 )
 
 
+#: Columns that `measure` adds.
+MEASURES = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept_text", "kept",
+)
+
+
 @dataclass(frozen=True)
 class LineRules:
     """Limits of the rules. A line of a few words needs no full stop; a long one may name a policy."""
@@ -70,7 +76,7 @@ def measure(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
         )
     )
     judged = "filter(_lines, l -> " + bind(count, "n", passes) + ")"
-    return (
+    found = (
         docs.withColumn("_words", F.expr(words))
         .withColumn("_lines", F.expr(f"filter(split(coalesce(text, ''), '\\n'), l -> l RLIKE {literal(WORD)})"))
         .withColumn("windows", F.expr(f"CASE WHEN size(_words) >= 5 THEN transform(sequence(0, size(_words) - 5), i -> {window}) ELSE CAST(array() AS ARRAY<BIGINT>) END"))
@@ -85,6 +91,9 @@ def measure(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
         .withColumn("kept", F.expr(f"NOT base_failed AND length(kept_text) >= (1 - {rules.max_loss}) * length(array_join(_lines, '\\n'))"))
         .drop("_lines")
     )
+    # A generated row is a column of its own, so a filter on `kept` is not computed once more below.
+    rest = [name for name in found.columns if name not in MEASURES]
+    return found.select(*rest, F.explode_outer(F.array(F.struct(*MEASURES))).alias("_measures")).select(*rest, "_measures.*")
 
 
 def clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
