@@ -102,6 +102,43 @@ def test_near_copies_go_and_others_stay(spark):
     assert kept >= {*texts[1:20], "few words"} and len(kept) == 22
 
 
+def brute_similarity(a, b, words=5):
+    x, y = ({tuple(w[i : i + words]) for i in range(max(len(w) - words + 1, 1))} for w in (a.lower().split(), b.lower().split()))
+    return len(x & y) / len(x | y)
+
+
+def test_copies_of_similarity_are_all_found(spark):
+    draw = random.Random(11)
+    texts = []
+    for i in range(90):  # an original and its copy with a part appended, a block replaced, or words scattered
+        words = prose(1000 + i, draw.randrange(60, 500)).split()
+        other = prose(5000 + i, 200).split()
+        part = round(len(words) * draw.uniform(0.02, 0.3))
+        copy = list(words)
+        if i % 3 == 0:
+            copy += other[:part]
+        elif i % 3 == 1:
+            copy[10 : 10 + part // 2] = other[: part // 2]
+        else:
+            for at in draw.sample(range(len(copy)), max(part // 10, 1)):
+                copy[at] = "other"
+        texts += [" ".join(words), " ".join(copy)]
+    same = [brute_similarity(texts[i], texts[i + 1]) >= 0.8 for i in range(0, len(texts), 2)]
+    for kind in range(3):
+        assert 5 < sum(same[kind::3]) < 30
+    kept = {r["doc_id"] for r in simhash.deduplicate(documents(spark, texts, extra=CLASHING)).collect()}
+    assert kept == {i for i in range(len(texts)) if i % 2 == 0 or not same[i // 2]}
+
+
+def test_members_far_from_the_centre_of_a_band_are_linked(spark):
+    base = prose(77, 200).split()
+    texts = []
+    for i in range(12):  # a chain: each text is close to the next ones only
+        texts.append(" ".join(base[6 * i :] + prose(900, 200).split()[: 6 * i]))
+    assert brute_similarity(texts[0], texts[1]) >= 0.8 > brute_similarity(texts[0], texts[11])
+    assert [r["doc_id"] for r in simhash.deduplicate(documents(spark, texts)).collect()] == [0]
+
+
 def test_the_index_loses_no_link(monkeypatch):
     draw = np.random.default_rng(3)
     base = draw.integers(0, 2**63, 40, dtype=np.uint64)
