@@ -221,6 +221,20 @@ def test_leaks_are_found_and_clean_texts_left(spark):
     assert leaks.find(docs.limit(0), bench).count() == 0 and leaks.decontaminate(docs, bench.limit(0)).count() == n
 
 
+def test_edited_copies_in_numbers_are_found(spark):
+    item = prose(321, 40)
+    edited = item.split()
+    for i in range(4, 40, 7):
+        edited[i] = "other"
+    texts = [f"{prose(600, 50)} {item} {prose(601, 50)}"]
+    texts += [f"{prose(610 + i, 50)} {' '.join(edited)} {prose(620 + i, 50)}" for i in range(9)]
+    texts += [prose(630 + i, 150) for i in range(4)]
+    docs = documents(spark, texts)
+    bench = spark.createDataFrame([(1, item), (2, prose(322, 40))], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in leaks.find(docs, bench).collect()} == {(i, 1) for i in range(10)}
+    assert {r["doc_id"] for r in leaks.decontaminate(docs, bench).collect()} == {10, 11, 12, 13}
+
+
 # Toxicity -------------------------------------------------------------------------
 
 

@@ -1,16 +1,18 @@
-"""Benchmark decontamination: rare n-gram seeds join training passages to test items, and a Smith-Waterman
+"""Benchmark decontamination: n-gram seeds join training passages to test items, and a Smith-Waterman
 alignment over words scores each pair.
 
 The texts are read once. A bit map of the items' n-grams, of at most `MAP_BITS` bits whatever the number
 of items, lets through the n-grams that may be seeds; runs of them become passages with the longest
-item's length of words around. All that follows handles passages only: equal ones are combined, their
-n-grams are joined to the items exactly, and of those an item's rare ones propose pairs to align.
+item's length of words around. All that follows handles passages only: equal ones are combined, and their
+n-grams are joined to the items exactly. A passage that shares any n-gram with an item, however frequent, is
+aligned with it once; only pairs with too few words in common to reach the score are passed over.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,13 +33,11 @@ REMEMBERED = 1 << 19
 
 @dataclass(frozen=True)
 class Seeds:
-    """`words` per n-gram. An item's n-gram is rare if it is in at most `rare` times as many passages as the
-    median of those of its n-grams that occur at all. A pair is a leak from a score of `least`:
-    alignment score (1 a match, -1 a mismatch or gap) by the item's number of words.
+    """`words` per n-gram. A pair is a leak from a score of `least`: alignment score (1 a match, -1 a mismatch
+    or gap) by the item's number of words.
     """
 
     words: int = 4
-    rare: float = 4.0
     least: float = 0.5
 
 
@@ -171,13 +171,9 @@ def find(docs: DataFrame, items: DataFrame, seeds: Seeds = Seeds()) -> DataFrame
     grams = cut_lineage(item_grams(items, seeds))
     longest = grams.agg(F.max("n")).first()[0] or 0
     found = cut_lineage(passages(docs, bit_map(grams), longest, seeds))
-    distinct = found.groupBy("key").agg(F.first("words").alias("words"), F.first("grams").alias("grams"), F.count("*").alias("copies"))
-    distinct = cut_lineage(distinct)
-    counts = distinct.select(F.explode("grams").alias("gram"), "copies").groupBy("gram").agg(F.sum("copies").alias("freq"))
-    occurring = grams.join(counts, "gram")
-    median = occurring.groupBy("item_id").agg(F.expr("percentile(freq, 0.5)").alias("median"))
-    rare = occurring.join(median, "item_id").where(F.expr(f"freq <= {seeds.rare} * median")).select("gram", "item_id")
-    pairs = distinct.select("key", F.explode("grams").alias("gram")).join(rare, "gram").select("key", "item_id").distinct()
+    distinct = cut_lineage(found.groupBy("key").agg(F.first("words").alias("words"), F.first("grams").alias("grams")))
+    seeds_of = distinct.select("key", F.explode("grams").alias("gram"))
+    pairs = seeds_of.join(grams.select("gram", "item_id"), "gram").select("key", "item_id").distinct()
     both = pairs.join(distinct.select("key", "words"), "key").join(items.select("item_id", F.col("text").alias("item")), "item_id")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +181,10 @@ def find(docs: DataFrame, items: DataFrame, seeds: Seeds = Seeds()) -> DataFrame
             rows = []
             for key, item_id, words, item in zip(*(part.column(i).to_pylist() for i in range(4))):
                 own = WORDS.findall((item or "").lower())
-                score, a, b = align(own, words.split(" "))
+                held = words.split(" ")
+                if (Counter(own) & Counter(held)).total() < seeds.least * len(own):
+                    continue  # a score is at most the number of matches
+                score, a, b = align(own, held)
                 if score >= seeds.least * len(own):
                     rows.append((key, item_id, score / len(own), a, b))
             if rows:
