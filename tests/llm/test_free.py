@@ -299,6 +299,21 @@ def score_of(vocabulary, ids):
     return sum(by_id.get(i, 0) for i in ids)
 
 
+def test_ids_are_those_of_the_library(spark, vocabulary):
+    library = sentencepiece.SentencePieceProcessor(model_file=corpus_pipeline.MODEL)
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").limit(300).collect()
+    draw = random.Random(8)
+    texts = [r["text"] for r in rows] + [t for t in EDGES if t] + ["the quick brown fox", "日本語 テキスト😀 " * 30, "aaab" * 700, " " * 70 + "x" + "\n \n" * 9]
+    texts += ["".join(draw.choice("aabbe  \n\t.é😀") for _ in range(200)) for _ in range(100)]
+    for chunk in (16_384, 64):
+        for text in texts:
+            if text:
+                ids = np.frombuffer(vocabulary.encode("▁" + text.replace(" ", "▁"), chunk), np.int32).tolist()
+                assert ids == library.encode(text), text[:80]
+    docs = documents(spark, texts)
+    assert all(r["ids"] == library.encode(r["text"] or "") for r in pieces.encode(docs, vocabulary, chunk=100).collect())
+
+
 def test_round_trip_and_chunks(spark, vocabulary):
     texts = [*EDGES, "x" * 5000, "  gaps  " * 200, "日本語のテキスト😀" * 40, prose(3, 700)]
     docs = documents(spark, texts, extra=CLASHING)

@@ -1,36 +1,30 @@
-"""SentencePiece encoding and decoding: the best segmentation of a text into the pieces of a vocabulary.
+"""SentencePiece encoding and decoding with a model that was trained for merges (BPE).
 
-A segmentation's score is the sum of its pieces' scores, and the best one is a max-plus product: a stretch
-of text is a matrix from the state at its start to the state at its end, where a state is the number of
-characters a piece reaches past the boundary. Texts up to `chunk` characters are one stretch. Giant ones
-are cut into chunks whose matrices are made independently, multiplied by blocks, and scanned; then every
-chunk knows where its own first piece starts and its last one ends, and is traced back on its own.
+A text is cut into units, which no piece crosses, so units are encoded on their own and joined exactly, a
+stretch of a text at a time. In a unit the neighbouring symbols whose joint piece has the highest score are
+merged, the leftmost of equals, until no two neighbours form a piece. Candidates lie in a heap, so a
+long unit costs its length times a logarithm. Characters no piece has are spelled in bytes.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
+from heapq import heapify, heappop, heappush
 from collections.abc import Iterator
 from functools import cached_property
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidewatch.settings import cut_lineage
-
 GAP = "▁"
 #: Stretches that every segmentation begins and ends at: pieces have gaps at their start only, and no line feeds.
 UNITS = re.compile(f"{GAP}+[^{GAP}\n]*|[^{GAP}\n]+|\n")
 #: Units a worker remembers; only its speed depends on it.
 REMEMBERED = 400_000
-#: Chunks whose matrices are multiplied in one go.
-BLOCK = 32
 
 
 class Vocabulary:
@@ -95,7 +89,9 @@ class Vocabulary:
         return found
 
     def best(self, text: str) -> tuple[float, bytes]:
-        """Score and ids (as 32-bit bytes) of the best segmentation. Of equal ones, the longer last piece."""
+        """Score and ids (as 32-bit bytes) of the segmentation with the highest sum of scores, the longer last piece
+        of equals: not what merges give, but the bound that tests hold their scores against.
+        """
         size = len(text)
         score = [0.0] + [-np.inf] * size
         back: list[tuple[int, int]] = [(0, 0)] * (size + 1)
@@ -118,123 +114,76 @@ class Vocabulary:
             at = start
         return score[size], array("i", ids[::-1]).tobytes()
 
+    def merged(self, text: str) -> bytes:
+        """Ids (as 32-bit bytes) of a unit by merges."""
+        ids = self.ids
+        symbols: list[str] = list(text)
+        size = len(symbols)
+        before, after = list(range(-1, size - 1)), list(range(1, size + 1))
+
+        def candidate(i: int, j: int) -> tuple[float, int, int, str] | None:
+            piece = symbols[i] + symbols[j]
+            return (-ids[piece][1], i, j, piece) if piece in ids else None
+
+        heap = [x for i in range(size - 1) if (x := candidate(i, i + 1))]
+        heapify(heap)
+        while heap:
+            _, i, j, piece = heappop(heap)
+            if not symbols[i] or not symbols[j] or after[i] != j or len(symbols[i]) + len(symbols[j]) != len(piece):
+                continue  # one of the two has been merged since
+            symbols[i], symbols[j] = piece, ""
+            after[i] = after[j]
+            if after[i] < size:
+                before[after[i]] = i
+                if x := candidate(i, after[i]):
+                    heappush(heap, x)
+            if before[i] >= 0 and (x := candidate(before[i], i)):
+                heappush(heap, x)
+        found: list[int] = []
+        for symbol in symbols:
+            if symbol:
+                found += (ids[symbol][0],) if symbol in ids else [self.byte_ids[b] for b in symbol.encode()]
+        return array("i", found).tobytes()
+
     def unit(self, text: str) -> bytes:
         found = self.known.get(text)
         if found is None:
-            found = self.best(text)[1]
+            found = self.merged(text)
             if len(text) <= 64:
                 if len(self.known) >= REMEMBERED:
                     self.known.clear()
                 self.known[text] = found
         return found
 
-    def encode(self, stream: str) -> bytes:
-        """Ids of a stream whose spaces are gaps, as 32-bit bytes."""
+    def encode(self, stream: str, chunk: int = 16_384) -> bytes:
+        """Ids of a stream whose spaces are gaps, as 32-bit bytes; about `chunk` characters are cut into units at a time."""
         get, unit = self.known.get, self.unit
-        return b"".join([get(x) or unit(x) for x in UNITS.findall(stream)])
+        found, at = [], 0
+        while at < len(stream):
+            end = min(at + chunk, len(stream))
+            while end < len(stream) and not cut_at(stream, end):
+                end += 1
+            found.append(b"".join([get(x) or unit(x) for x in UNITS.findall(stream, at, end)]))
+            at = end
+        return b"".join(found)
 
     def decode(self, ids: np.ndarray) -> str:
         raw = self.raw
         return b"".join([raw[i] for i in ids.tolist()]).decode("utf-8", "replace").replace(GAP, " ").removeprefix(" ")
 
-    def matrix(self, text: str, size: int) -> np.ndarray:
-        """Transfer matrix of the first `size` characters; `text` goes on for as long as a piece may reach."""
-        reach = self.longest
-        score = np.full((len(text) + 1, reach), -np.inf)
-        score[np.arange(min(reach, len(text) + 1)), np.arange(min(reach, len(text) + 1))] = 0
-        cuts = [m.start() for m in UNITS.finditer(text) if reach <= m.start() <= size]
-        at, stop = 0, cuts[0] if cuts else size
-        while at < size:
-            for end, value, _ in self.matches(text, at):
-                score[end] = np.maximum(score[end], score[at] + value)
-            at += 1
-            if at == stop and cuts and cuts[-1] > at:
-                middle = sum(self.best(x)[0] for x in UNITS.findall(text[at : cuts[-1]]))
-                score[cuts[-1]] = score[at] + middle
-                at = cuts[-1]
-        out = np.full((reach, reach), -np.inf)
-        ends = score[size : size + reach]
-        out[:, : len(ends)] = ends.T
-        return out
-
-
-def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a[:, :, None] + b[None]).max(axis=1)
-
-
-def boundaries(matrices: list[np.ndarray], first: int, last: int) -> list[int]:
-    """States at all boundaries of consecutive stretches on the best way from one state to another."""
-    ahead = [np.where(np.arange(len(matrices[0])) == first, 0.0, -np.inf)]
-    for m in matrices:
-        ahead.append((ahead[-1][:, None] + m).max(axis=0))
-    states = [last]
-    for vector, m in zip(reversed(ahead[:-1]), reversed(matrices)):
-        states.append(int((vector + m[:, states[-1]]).argmax()))
-    return states[::-1]
-
-
-def _square(flat: pd.Series) -> list[np.ndarray]:
-    return [np.asarray(x, float).reshape(int(len(x) ** 0.5), -1) for x in flat]
-
-
-def encode_giant(texts: DataFrame, vocabulary: Vocabulary, chunk: int) -> DataFrame:
-    """key -> ids of long texts, each there once."""
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(vocabulary)
-    reach = vocabulary.longest
-    size = f"(length(text) + 1 + {chunk} - 1) DIV {chunk}"
-    stream = f"concat('{GAP}', replace(text, ' ', '{GAP}'))"
-    chunks = texts.select("key", F.expr(stream).alias("s"), F.expr(f"explode(sequence(0, CAST({size} AS INT) - 1)) AS no")).select(
-        "key", "no", F.expr(f"substr(s, no * {chunk} + 1, {chunk + reach})").alias("s"), F.expr(f"least({chunk}, length(s) - no * {chunk}) AS size")
-    )
-    chunks = cut_lineage(chunks.repartition("key", "no"))
-
-    def matrices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for part in parts:
-            flat = [own.matrix(s, n).ravel() for s, n in zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
-            yield pa.record_batch([part.column(0), part.column(1), pa.array(flat, pa.list_(pa.float64()))], ["key", "no", "m"])
-
-    made = cut_lineage(chunks.mapInArrow(matrices, "key binary, no int, m array<double>").withColumn("block", F.expr(f"no DIV {BLOCK}")))
-
-    def multiply(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("no")
-        whole, *rest = _square(rows["m"])
-        for m in rest:
-            whole = product(whole, m)
-        return pd.DataFrame({"key": rows["key"].iloc[:1].values, "block": rows["block"].iloc[:1].values, "m": [whole.ravel().tolist()]})
-
-    def ways(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("block")
-        at = boundaries(_square(rows["m"]), 0, 0)
-        return pd.DataFrame({"key": rows["key"].values, "block": rows["block"].values, "a": at[:-1], "b": at[1:]})
-
-    def inside(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("no")
-        at = boundaries(_square(rows["m"]), int(rows["a"].iloc[0]), int(rows["b"].iloc[0]))
-        return pd.DataFrame({"key": rows["key"].values, "no": rows["no"].values, "a": at[:-1], "b": at[1:]})
-
-    blocks = made.groupBy("key", "block").applyInPandas(multiply, "key binary, block long, m array<double>")
-    ends = blocks.groupBy("key").applyInPandas(ways, "key binary, block long, a int, b int")
-    states = made.join(ends, ["key", "block"]).groupBy("key", "block").applyInPandas(inside, "key binary, no int, a int, b int")
-
-    def trace(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for part in parts:
-            found = [np.frombuffer(own.encode(s), np.int32) for s in part.column(2).to_pylist()]
-            yield pa.record_batch([part.column(0), part.column(1), pa.array(found, pa.list_(pa.int32()))], ["key", "no", "ids"])
 
-    pieces = chunks.join(states, ["key", "no"]).select("key", "no", F.expr("substr(s, a + 1, size + b - a)").alias("s"))
-    traced = pieces.mapInArrow(trace, "key binary, no int, ids array<int>")
-    return traced.groupBy("key").agg(F.expr("flatten(transform(sort_array(collect_list(struct(no, ids))), x -> x.ids)) AS ids"))
+def cut_at(stream: str, at: int) -> bool:
+    """Whether a unit begins at this place of a stream, whatever lies further away."""
+    here, last = stream[at], stream[at - 1]
+    return "\n" in (here, last) or (here == GAP and last != GAP)
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = 16_384) -> DataFrame:
     """doc_id, text and ids of every document.
 
     A gap is put before the text and for every space; nothing else is normalised. Empty and null texts
-    have no ids. Repeated rows stay; equal giant texts are encoded once. At a chunk's edge either of two
-    equally good segmentations may come out, the same one for the same text.
+    have no ids. Repeated rows stay. Texts are dealt with `chunk` characters at a time, or a whole unit if
+    it is longer; the ids are the same for any size.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     docs = docs.select("doc_id", "text")
@@ -242,16 +191,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = 16_384) -> Data
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for part in parts:
-            rows = [own.encode(GAP + t.replace(" ", GAP)) if t else b"" for t in part.column(1).to_pylist()]
+            rows = [own.encode(GAP + t.replace(" ", GAP), chunk) if t else b"" for t in part.column(1).to_pylist()]
             ends = np.cumsum([0, *(len(r) // 4 for r in rows)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), np.int32)))
             yield pa.record_batch([part.column(0), part.column(1), ids], ["doc_id", "text", "ids"])
 
-    giant = F.expr(f"coalesce(length(text), 0) > {chunk}")
-    short = docs.where(~giant).mapInArrow(run, "doc_id long, text string, ids array<int>")
-    long = docs.where(giant).withColumn("key", F.expr("unhex(md5(text))"))
-    encoded = encode_giant(long.select("key", "text").dropDuplicates(["key"]), vocabulary, chunk)
-    return short.unionByName(long.join(encoded, "key").select("doc_id", "text", "ids"))
+    return docs.mapInArrow(run, "doc_id long, text string, ids array<int>")
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
