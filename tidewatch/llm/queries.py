@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewatch.llm import leaks, licenses, pages, pieces, privacy, quality, sharding, simhash, toxicity, urls
-from tidewatch.llm.common import table, text_settings
+from tidewatch.llm import leaks, licenses, packing, pages, pieces, privacy, quality, runs, sharding, simhash, toxicity, urls, whitening
+from tidewatch.llm.common import SPACE, bind, literal, table, text_settings
 from tidewatch.llm.oracles import ORACLES
 from tidewatch.settings import configure
 
@@ -17,6 +17,22 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 
+#: Vocabulary file of the packed sequences.
+TOKENS = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+def _repeating() -> str:
+    """The text; for a tenth of the ids, its n words with those from place a on repeating with period p."""
+    word = "IF(i < s.a, w[i], w[s.a + (i - s.a) % p])"
+    joined = bind("CAST(1 + (s.n - s.a) DIV (3 + s.g % 8) AS INT)", "p", f"array_join(transform(sequence(0, s.n - 1), i -> {word}), ' ')")
+    shaped = bind("struct(CAST(g % size(w) AS INT) AS a, g, size(w) AS n)", "s", joined)
+    planted = bind(f"filter(split(coalesce(text, ''), {literal(SPACE + '+')}), w -> w <> '')", "w", f"IF(size(w) = 0, '', {shaped})")
+    return bind("crc32(CAST(CAST(doc_id AS STRING) AS BINARY))", "h", f"IF(h % 10 = 0, {bind('h DIV 10', 'g', planted)}, text)")
+
+
+REPEATING = _repeating()
+
+
 def query(build: Query) -> Query:
     _QUERIES[build.__name__] = lambda spark, folder: build(text_settings(configure(spark)), folder)
     return build
@@ -93,6 +109,40 @@ def op10_max_plus(spark: SparkSession, folder: str) -> DataFrame:
     return back.select("doc_id", "ids", F.expr("CAST(size(ids) AS BIGINT) AS n_ids"), F.expr("decoded = coalesce(text, '') AS same"))
 
 
+@query
+def op11_suffix_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of every document; in a tenth of them, told by the id, the words from a place on repeat with a period."""
+    docs = table(spark, folder, "documents")
+    return runs.digest(runs.find(docs.select("doc_id", F.expr(REPEATING).alias("text"))))
+
+
+@query
+def op12_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2,048 tokens."""
+    found = packing.pieces(table(spark, folder, "documents"), packing.Tokens.load(TOKENS), capacity=2048)
+    return packing.pack(found.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), packing.Packing(capacity=2048))
+
+
+@query
+def op13_refined_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """32 whitened components of every embedding, one row each."""
+    rows = table(spark, folder, "embeddings")
+    found = whitening.fit(rows, "embedding", most=32)
+    if found is None:
+        return spark.createDataFrame([], "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double")
+    wide = whitening.whiten(rows, found, "embedding").select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    shares = F.array(*(F.lit(float(x)) for x in found.explained)).cast("array<double>")
+    return wide.select(
+        "vec_id",
+        F.expr("at + 1 AS component"),
+        F.lit(found.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, F.col("at")).alias("explained"),
+        F.lit(found.error).alias("identity_error"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
