@@ -8,15 +8,11 @@ form the node above. Two nodes whose shared patterns already differ in more than
 with all below them, and so are two below which all is in one component by now; so a dense group costs
 less than all its pairs. Links are joined to stars inside the task, which leave as many rows as a group has
 members.
-
-Copies in the pipeline are decided by similarity itself, see `Copies`: texts that agree in a band of minima
-of their shingles' hashes are candidates, and their shingles are compared. A band proposes its members with
-its smallest one first, and after that only members that these pairs have not joined yet.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -30,31 +26,22 @@ from pyspark.sql import functions as F
 from tidewatch.settings import cut_lineage
 
 FANOUT = 16
-#: Members up to which a group needs no index.
-LEAF = 128
 #: Node pairs that are compared at a time; only memory depends on it.
 STEP = 1 << 17
 #: Shingles whose bits are unpacked at a time.
 BITS_STEP = 1 << 15
-#: Homes of a node while components are found.
-SALTS = 8
-#: Hashes whose minima are taken at a time.
-MINIMA_STEP = 1 << 11
+#: Links of a node that share a home while components are found, about.
+HOME = 512
 
 
 @dataclass(frozen=True)
 class Sketch:
-    """`words` per shingle, the hash seed, and the bits linked fingerprints may differ in.
-
-    With `confirm`, the fingerprints of another sketch must also agree within its radius; so an index of
-    short shingles, which copies change in few bits, can serve a test on long ones.
-    """
+    """`words` per shingle, the hash seed, and the bits linked fingerprints may differ in."""
 
     words: int = 3
     seed: int = 42
     radius: int = 2
     blocks: int = 6
-    confirm: Sketch | None = None
 
     def masks(self) -> list[int]:
         """A mask of shared bits for every choice of blocks, as signed 64-bit numbers."""
@@ -64,45 +51,6 @@ class Sketch:
         return [mask - (1 << 64) if mask >> 63 else mask for mask in found]
 
 
-@dataclass(frozen=True)
-class Copies:
-    """Texts are linked if the sets of their `words`-word shingles have a Jaccard similarity of `least`.
-
-    Candidates agree in one of `bands` groups of `rows` minima: at 0.8 a pair of texts is missed 7 times in
-    a million, at 0.85 fewer than once in ten million.
-    """
-
-    words: int = 5
-    least: float = 0.8
-    bands: int = 30
-    rows: int = 5
-    seed: int = 42
-
-    def same(self, a: np.ndarray, b: np.ndarray) -> bool:
-        """Whether two sets of distinct hashes are similar enough; sets without members are only alike to each other."""
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        return both >= self.least * (len(a) + len(b) - both) - 1e-9
-
-    def bands_of(self, hashes: np.ndarray) -> list[int]:
-        """One signed number for each band; equal ones have, but for collisions of 64 bits, the same minima."""
-        if not len(hashes):
-            return []
-        draw = np.random.default_rng(self.seed)
-        turn, factor = draw.integers(0, 1 << 63, (2, self.bands * self.rows, 1), dtype=np.uint64)
-        factor = factor << np.uint64(1) | np.uint64(1)
-        low = np.full(len(turn), ~np.uint64(0))
-        for i in range(0, len(hashes), MINIMA_STEP):
-            np.minimum(low, ((hashes[None, i : i + MINIMA_STEP] ^ turn) * factor).min(axis=1), out=low)
-        raw = low.tobytes()
-        size = 8 * self.rows
-        found = [xxhash.xxh64_intdigest(raw[i * size : (i + 1) * size], seed=i) for i in range(self.bands)]
-        return np.array(found, np.uint64).view(np.int64).tolist()
-
-
-#: Links of fingerprints of five-word shingles alone, found through those of two words.
-NEAR_COPIES = Sketch(words=2, radius=8, blocks=10, confirm=Sketch(words=5, radius=12))
-
-
 def shingle_hashes(text: bytes | None, size: int, seed: int) -> bytes:
     """64-bit hashes of all shingles, one after the other; a text of fewer words is one shingle."""
     words = (text or b"").lower().split()
@@ -119,10 +67,6 @@ def shingle_hashes(text: bytes | None, size: int, seed: int) -> bytes:
     return b"".join([digest(joined[a:b], seed) for a, b in zip(starts[:n].tolist(), ends[size - 1 :].tolist())])
 
 
-def shingle_set(text: bytes | None, copies: Copies) -> np.ndarray:
-    return np.unique(np.frombuffer(shingle_hashes(text, copies.words, copies.seed), np.uint64))
-
-
 def fingerprint_of(text: bytes | None, sketch: Sketch) -> int:
     """The fingerprint as a signed number: bits set in over half of the shingles' hashes; 0 without words."""
     hashes = shingle_hashes(text, sketch.words, sketch.seed)
@@ -151,10 +95,6 @@ def gray_rank(fp: str) -> Column:
     return F.expr(f"({rank}) ^ (-9223372036854775807L - 1L)")
 
 
-#: Whether members at two lists of places differ too much in what the index does not hold.
-Far = Callable[[np.ndarray, np.ndarray], np.ndarray]
-
-
 def bits(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)
 
@@ -178,96 +118,90 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[far], nodes[label[far]]
 
 
-def index_links(fp: np.ndarray, radius: int, far: Far) -> tuple[np.ndarray, np.ndarray]:
-    """Places of linked members of one group, distinct fingerprints in Gray order, by the hierarchical index."""
-    levels = [(fp, np.full(len(fp), ~np.uint64(0)))]
-    while len(levels[-1][0]) > 1:
-        pattern, mask = levels[-1]
-        cuts = np.arange(0, len(pattern), FANOUT)
-        first = np.repeat(pattern[cuts], np.diff(np.append(cuts, len(pattern))))
-        shared = np.bitwise_and.reduceat(mask & ~(pattern ^ first), cuts)
-        levels.append((pattern[cuts] & shared, shared))
-    left, right = [], []
-    low, high = _ranges(len(fp), np.zeros(0, np.int64), np.zeros(0, np.int64))
-    open_pairs = [(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
-    while open_pairs:
-        level, i, j = open_pairs.pop()
-        pattern, mask = levels[level]
-        joined = (low[level][i] == high[level][i]) & (low[level][j] == high[level][j]) & (low[level][i] == low[level][j])
-        near = ~joined & (bits((pattern[i] ^ pattern[j]) & mask[i] & mask[j]) <= radius)
-        i, j = i[near], j[near]
-        if level == 0:
-            some = (i < j) & ~far(i, j)
-            left.append(i[some])
-            right.append(j[some])
-            if sum(map(len, left)) > STEP:
-                a, b = stars(np.concatenate(left), np.concatenate(right))
-                left, right = [a], [b]
-                low, high = _ranges(len(fp), a, b)
-            continue
-        some = STEP // FANOUT**2
-        if len(i) > some:
-            open_pairs.append((level, i[some:], j[some:]))
-        x, y = (k[:some, None] * FANOUT for k in (i, j))
-        kids = np.arange(FANOUT)
-        x, y = (x + np.repeat(kids, FANOUT)).ravel(), (y + np.tile(kids, FANOUT)).ravel()
-        there = (x <= y) & (y < len(levels[level - 1][0]))
-        open_pairs.append((level - 1, x[there], y[there]))
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-    return a, b
-
-
-def _ranges(size: int, a: np.ndarray, b: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Smallest and largest component under every node, where `a` are the members whose components are `b`."""
-    label = np.arange(size)
-    label[a] = b
-    low, high = [label], [label]
-    while len(low[-1]) > 1:
-        cuts = np.arange(0, len(low[-1]), FANOUT)
-        low.append(np.minimum.reduceat(low[-1], cuts))
-        high.append(np.maximum.reduceat(high[-1], cuts))
-    return low, high
-
-
-def group_links(
-    table: np.ndarray, group: np.ndarray, fp: np.ndarray, wide: np.ndarray, node: np.ndarray, sketch: Sketch
-) -> tuple[np.ndarray, np.ndarray]:
-    """Star edges of the groups in sorted rows. Groups of at most LEAF members are compared neighbour by
-    neighbour, all such groups at once; larger ones through their indexes.
+class Index:
+    """All groups of sorted rows, each a tree of its own.
+
+    `first[level]` is where a node's FANOUT children or fewer start on the level below, and `pattern[level]`
+    has the bits, those of `mask[level]`, that all fingerprints below a node share.
     """
-    confirm = sketch.confirm.radius if sketch.confirm else 64
-    cuts = np.flatnonzero(np.append(True, (table[1:] != table[:-1]) | (group[1:] != group[:-1])))
-    sizes = np.diff(np.append(cuts, len(fp)))
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    ends = np.repeat(np.where(sizes <= LEAF, cuts + sizes, 0), sizes)
-    here = np.flatnonzero(ends > np.arange(len(fp)) + 1)
-    d = 1
-    while len(here):
-        near = here[bits(fp[here + d] ^ fp[here]) <= sketch.radius]
-        near = near[bits(wide[near + d] ^ wide[near]) <= confirm]
-        left.append(near)
-        right.append(near + d)
-        d += 1
-        here = here[ends[here] > here + d]
-    for start, size in zip(cuts[sizes > LEAF].tolist(), sizes[sizes > LEAF].tolist()):
-        own = wide[start : start + size]
-        a, b = index_links(fp[start : start + size], sketch.radius, lambda i, j: bits(own[i] ^ own[j]) > confirm)  # noqa: B023
-        left.append(a + start)
-        right.append(b + start)
-    a, b = np.concatenate(left), np.concatenate(right)
+
+    def __init__(self, fp: np.ndarray, starts: np.ndarray) -> None:
+        self.pattern, self.mask = [fp], [np.full(len(fp), ~np.uint64(0))]
+        self.first: list[np.ndarray] = [np.zeros(0, np.int64)]
+        sizes = np.diff(np.append(starts, len(fp)))
+        while len(self.pattern[-1]) > len(sizes):
+            pattern, mask = self.pattern[-1], self.mask[-1]
+            place = np.arange(len(pattern)) - np.repeat(np.cumsum(sizes) - sizes, sizes)  # in the group
+            cuts = np.flatnonzero(place % FANOUT == 0)
+            lead = np.repeat(pattern[cuts], np.diff(np.append(cuts, len(pattern))))
+            shared = np.bitwise_and.reduceat(mask & ~(pattern ^ lead), cuts)
+            self.first.append(np.append(cuts, len(pattern)))
+            self.pattern.append(pattern[cuts] & shared)
+            self.mask.append(shared)
+            sizes = -(-sizes // FANOUT)
+
+    def ranges(self, a: np.ndarray, b: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Smallest and largest component under every node, where `a` are the rows whose components are `b`."""
+        label = np.arange(len(self.pattern[0]))
+        label[a] = b
+        low, high = [label], [label]
+        for first in self.first[1:]:
+            low.append(np.minimum.reduceat(low[-1], first[:-1]))
+            high.append(np.maximum.reduceat(high[-1], first[:-1]))
+        return low, high
+
+    def links(self, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of one group within `radius` bits of each other, all pairs or a chain between them."""
+        if len(self.first) == 1:
+            return self.first[0], self.first[0]
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        low, high = self.ranges(left[0], right[0])
+        roots = np.arange(len(self.pattern[-1]))
+        open_pairs = [(len(self.first) - 1, roots, roots)]
+        kids = np.arange(FANOUT)
+        while open_pairs:
+            level, i, j = open_pairs.pop()
+            pattern, mask = self.pattern[level], self.mask[level]
+            joined = (low[level][i] == high[level][i]) & (low[level][j] == high[level][j]) & (low[level][i] == low[level][j])
+            near = ~joined & (bits((pattern[i] ^ pattern[j]) & mask[i] & mask[j]) <= radius)
+            i, j = i[near], j[near]
+            if level == 0:
+                left.append(i)
+                right.append(j)
+                if sum(map(len, left)) > STEP:
+                    a, b = stars(np.concatenate(left), np.concatenate(right))
+                    left, right = [a], [b]
+                    low, high = self.ranges(a, b)
+                continue
+            some = STEP // FANOUT**2
+            if len(i) > some:
+                open_pairs.append((level, i[some:], j[some:]))
+            i, j, first = i[:some], j[:some], self.first[level]
+            x, y = first[i, None] + np.repeat(kids, FANOUT), first[j, None] + np.tile(kids, FANOUT)
+            there = (x < first[i + 1, None]) & (y < first[j + 1, None]) & ((x < y) | ((level > 1) & (x == y)))
+            open_pairs.append((level - 1, x[there], y[there]))
+        return np.concatenate(left), np.concatenate(right)
+
+
+def group_links(table: np.ndarray, group: np.ndarray, fp: np.ndarray, sketch: Sketch) -> tuple[np.ndarray, np.ndarray]:
+    """Star edges of fingerprints, as signed numbers, for the groups in sorted rows; a group of one has none."""
+    starts = np.flatnonzero(np.append(True, (table[1:] != table[:-1]) | (group[1:] != group[:-1])))
+    sizes = np.diff(np.append(starts, len(fp)))
+    fp, sizes = fp[np.repeat(sizes > 1, sizes)], sizes[sizes > 1]
+    a, b = Index(fp, np.cumsum(sizes) - sizes).links(sketch.radius)
+    node = fp.view(np.int64)
     return stars(node[a], node[b])
 
 
 def links(prints: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
-    """Edges (a, b) of nodes that connect exactly the fingerprints linked within the radius.
+    """Edges (a, b) that connect exactly the fingerprints linked within the radius.
 
-    `prints` has distinct rows of `node`, `fp` and `wide` (the confirming fingerprint, or 0). A group of a
-    sketch that deals by k bits has at most 2 ** (64 - k) members with different `fp`.
+    `prints` has distinct `fp`. A group of a sketch that deals by k bits has at most 2 ** (64 - k) of them.
     """
     masks = ", ".join(f"{mask}L" if mask > -(1 << 63) else "(-9223372036854775807L - 1L)" for mask in sketch.masks())
     dealt = (
-        prints.select("node", "fp", "wide", F.posexplode(F.expr(f"array({masks})")).alias("t", "mask"))
-        .select("t", F.expr("fp & mask AS k"), "fp", "wide", "node")
+        prints.select("fp", F.posexplode(F.expr(f"array({masks})")).alias("t", "mask"))
+        .select("t", F.expr("fp & mask AS k"), "fp")
         .repartition("t", "k")
         .withColumn("rank", gray_rank("fp"))
         .sortWithinPartitions("t", "k", "rank")
@@ -275,7 +209,7 @@ def links(prints: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
     )
 
     def find(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (np.int32, np.int64, np.uint64, np.uint64, np.int64)
+        kinds = (np.int32, np.int64, np.uint64)
         held: list[list[np.ndarray]] = []
 
         def edges(cut: int | None = None) -> pa.RecordBatch:
@@ -300,12 +234,12 @@ def links(prints: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node -> root, the smallest node of its component, for nodes with an edge.
+    """fp -> root, the smallest fingerprint of its component, for those with an edge.
 
     Every round links each node to the smallest node it knows of, that node's other links to it, and
     whatever hangs on a node to that node's parent; it ends when no root hangs on another node. An edge
     goes to the homes of its ends, sorted so that a home meets its parents first and then what hangs on
-    it, and needs only the smallest parent in memory. A hub is spread over SALTS homes.
+    it, and needs only the smallest parent in memory. A hub has as many homes as its links need.
     """
 
     def relink(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,32 +264,31 @@ def components(edges: DataFrame) -> DataFrame:
             if rows:
                 yield pa.record_batch([pa.array(x) for x in zip(*rows)], ["a", "b", "open"])
 
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
+    homes = F.expr(
+        "concat(transform(sequence(0, coalesce(own, 1) - 1), s -> struct(a AS v, s AS salt, false AS hangs, b AS other)), "
+        "array(struct(b AS v, CAST(pmod(xxhash64(a), coalesce(far, 1)) AS INT) AS salt, true AS hangs, a AS other)))"
+    )
+    edges = cut_lineage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b"))
     while True:
-        homes = F.expr(
-            f"concat(transform(sequence(0, {SALTS - 1}), s -> struct(a AS v, s AS salt, false AS hangs, b AS other)), "
-            f"array(struct(b AS v, CAST(pmod(xxhash64(a), {SALTS}) AS INT) AS salt, true AS hangs, a AS other)))"
-        )
-        sent = edges.select(F.explode(homes).alias("e")).select("e.*")
+        hubs = edges.groupBy("b").agg(F.count("*").alias("n")).where(f"n > {HOME}")
+        hubs = hubs.select("b", F.expr(f"CAST(n DIV {HOME} + 1 AS INT) AS far"))
+        known = edges.join(hubs.select(F.col("b").alias("a"), F.col("far").alias("own")), "a", "left").join(hubs, "b", "left")
+        sent = known.select(F.explode(homes).alias("e")).select("e.*")
         dealt = sent.repartition("v", "salt").sortWithinPartitions("v", "salt", "hangs", "other")
         edges = cut_lineage(dealt.mapInArrow(relink, "a long, b long, open boolean"))
         if not edges.agg(F.max("open")).first()[0]:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            return edges.select(F.col("a").alias("fp"), F.col("b").alias("root"))
 
 
 def prints_of(docs: DataFrame, sketch: Sketch, *more: Column) -> DataFrame:
-    """`more` columns with node, fp and wide of every text; checkpointed, as it costs one pass over the texts."""
-    text = F.col("text")
-    wide = fingerprint(text, sketch.confirm) if sketch.confirm else F.lit(0).cast("long")
-    node = F.xxhash64("fp", "wide") if sketch.confirm else F.col("fp")
-    rows = docs.select(*more, fingerprint(text, sketch).alias("fp"), wide.alias("wide"))
-    return cut_lineage(rows.withColumn("node", node))
+    """`more` columns with fp of every text; checkpointed, as it costs one pass over the texts."""
+    return cut_lineage(docs.select(*more, fingerprint(F.col("text"), sketch).alias("fp")))
 
 
 def grouped(distinct: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
-    """`distinct` nodes with `root`, the same for all that are linked directly or by a chain."""
-    roots = components(links(distinct.select("node", "fp", "wide"), sketch))
-    return distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    """`distinct` fingerprints with `root`, the same for all that are linked directly or by a chain."""
+    roots = components(links(distinct.select("fp"), sketch))
+    return distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
 def near_duplicates(docs: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
@@ -365,97 +298,24 @@ def near_duplicates(docs: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
     stay. A null doc_id is never a component's id, unless the group has no other.
     """
     prints = prints_of(docs, sketch, F.col("doc_id"))
-    found = grouped(cut_lineage(prints.groupBy("node", "fp", "wide").agg(F.min("doc_id").alias("low"))), sketch)
+    found = grouped(cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("low"))), sketch)
     least = found.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = found.join(least, "root").select("node", "component_id")
-    return prints.join(classes, "node").select("doc_id", "fp", "component_id")
-
-
-def copy_prints(docs: DataFrame, copies: Copies, *more: Column) -> DataFrame:
-    """`more` columns with node (a hash of the text's set of shingles), n (their number) and bands of every text."""
-
-    @F.arrow_udf("struct<node long, n long, bands array<long>>")
-    def udf(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in parts:
-            sets = [shingle_set(t, copies) for t in pc.cast(texts, pa.binary()).to_pylist()]
-            nodes = np.array([xxhash.xxh64_intdigest(x.tobytes()) if len(x) else 0 for x in sets], np.uint64).view(np.int64)
-            columns = [pa.array(nodes), pa.array([len(x) for x in sets], pa.int64()), pa.array([copies.bands_of(x) for x in sets], pa.list_(pa.int64()))]
-            yield pa.StructArray.from_arrays(columns, ["node", "n", "bands"])
-
-    return cut_lineage(docs.select(*more, udf("text").alias("p")).select(*(c for c in docs.select(*more).columns), "p.*"))
-
-
-def copy_roots(distinct: DataFrame, texts_of: Callable[[DataFrame], DataFrame], copies: Copies) -> DataFrame:
-    """node -> root for nodes with a link. `distinct` has node, n and bands; `texts_of` gives node and text of nodes.
-
-    First every node is compared with the smallest one of each of its bands. Of the pairs left over, those
-    that are in one component by then need no look; all others that share a band are compared as well. So
-    the components are those of all candidate pairs.
-    """
-    homes = cut_lineage(distinct.select("node", "n", F.explode("bands").alias("band")))
-    fits = F.expr(f"least(n, m) >= {copies.least} * greatest(n, m) - 1e-9")
-    centres = homes.groupBy("band").agg(F.min(F.struct("node", "n")).alias("c"), F.count("*").alias("size")).where("size > 1")
-    met = homes.join(centres.selectExpr("band", "c.node AS a", "c.n AS m"), "band").where("node <> a")
-    first = cut_lineage(met.where(fits).select("a", F.col("node").alias("b")).distinct())
-    edges = cut_lineage(similar(first, texts_of, copies))
-    roots = components(edges)
-    rooted = homes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
-    mixed = cut_lineage(rooted.join(mixed, "band"))
-    other = mixed.selectExpr("band", "node AS b", "n AS m", "root AS other")
-    rest = mixed.join(other, "band").where("node < b AND root <> other").where(fits).select(F.col("node").alias("a"), "b").distinct()
-    rest = cut_lineage(rest.join(first, ["a", "b"], "left_anti"))
-    return components(edges.union(similar(rest, texts_of, copies)))
-
-
-def similar(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], copies: Copies) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts have shingles similar enough."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = cut_lineage(texts_of(nodes))
-    both = pairs.join(texts.selectExpr("node AS a", "text AS x"), "a").join(texts.selectExpr("node AS b", "text AS y"), "b")
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for part in parts:
-            rows = []
-            a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
-            for i, pair in enumerate(zip(a, b)):
-                new = {}
-                for place, node in enumerate(pair):
-                    own = held.get(node)
-                    new[node] = shingle_set(part.column(2 + place)[i].as_py().encode(), copies) if own is None else own
-                held = new
-                if copies.same(*(held[node] for node in pair)):
-                    rows.append(pair)
-            if rows:
-                yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*rows)], ["a", "b"])
-
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    classes = found.join(least, "root").select("fp", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicate(docs: DataFrame, sketch: Sketch | Copies = Copies()) -> DataFrame:
-    """One row of every group, in the columns of `docs`: the smallest doc_id (nulls last), of equals the row
-    with the smallest hash. Texts without words are one group. With `Copies` the texts of candidate pairs are
-    shuffled to be compared; then all meet the rows that stay.
+def deduplicate(docs: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
+    """One row of every group of `near_duplicates`, in the columns of `docs`: the smallest doc_id (nulls last),
+    of equals the row with the smallest hash. Texts without words are one group, with those of fingerprints
+    close to 0. Columns may have any name; the hash leaves out those of types that cannot be hashed.
     """
-    row_hash = F.xxhash64(*docs.columns)
-    packed = docs.select(F.struct("*").alias("_row"), F.expr("coalesce(doc_id, 0L) AS _id"), row_hash.alias("_hash"))
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    row_hash = F.xxhash64(*hashed)
+    prints = prints_of(docs, sketch, F.col("doc_id"), row_hash.alias("_hash"))
     best = F.expr("min(struct(doc_id IS NULL AS late, doc_id, _hash)) AS best")
-    if isinstance(sketch, Copies):
-        prints = copy_prints(docs, sketch, F.col("doc_id"), row_hash.alias("_hash"))
-        distinct = cut_lineage(prints.groupBy("node").agg(best, F.first("n").alias("n"), F.first("bands").alias("bands")))
-        places = distinct.select("node", F.expr("coalesce(best.doc_id, 0L) AS _id"), F.expr("best._hash AS _hash"))
-
-        def texts_of(nodes: DataFrame) -> DataFrame:
-            wanted = places.join(nodes, "node")
-            return packed.select("_id", "_hash", "_row.text").join(wanted, ["_id", "_hash"]).dropDuplicates(["node"]).select("node", "text")
-
-        roots = copy_roots(distinct.select("node", "n", "bands"), texts_of, sketch)
-        groups = distinct.select("node", "best").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    else:
-        prints = prints_of(docs, sketch, F.col("doc_id"), row_hash.alias("_hash"))
-        groups = grouped(cut_lineage(prints.groupBy("node", "fp", "wide").agg(best)), sketch)
+    groups = grouped(cut_lineage(prints.groupBy("fp").agg(best)), sketch)
     stay = groups.groupBy("root").agg(F.min("best").alias("best"))
     stay = stay.select(F.expr("coalesce(best.doc_id, 0L) AS _id"), F.expr("best._hash AS _hash")).distinct()
+    packed = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("_row"), F.expr("coalesce(doc_id, 0L) AS _id"), row_hash.alias("_hash"))
     kept = packed.join(stay, ["_id", "_hash"]).dropDuplicates(["_id", "_hash"])
     return kept.select(*(F.col("_row")[name].alias(name) for name in docs.columns))
