@@ -125,6 +125,21 @@ FINALS = {
         SELECT source || o_orderkey AS source_order_id, o_orderkey * 10 + kind AS sequence, status, reasons, status = 'PROMOTED' AS promoted
         FROM orders, (VALUES ('A', 1, 'PROMOTED', ''), ('A', 2, 'CONFLICT_BLOCKED', 'STALE_SOURCE_VERSION'), ('B', 3, 'PROMOTED', ''),
                              ('C', 4, 'REJECTED_INVALID', 'OPERATIONAL_ORDER_CONFLICT')) AS v(source, kind, status, reasons)""",
+    "observation_promote_held": """
+        SELECT source || o_orderkey AS source_order_id, o_orderkey * 10 + kind AS sequence, number || o_orderkey AS order_number, status, reasons,
+               status = 'PROMOTED' AS promoted
+        FROM orders JOIN (VALUES (0, 1, 'H', 'N', 'PROMOTED', ''), (1, 2, 'H', 'N', 'CONFLICT_BLOCKED', 'SOURCE_VERSION_CONTENT_CONFLICT'),
+                                 (2, 3, 'E', 'N', 'REJECTED_INVALID', 'OPERATIONAL_ORDER_CONFLICT'), (2, 4, 'H', 'M', 'PROMOTED', ''),
+                                 (2, 5, 'T', 'N', 'PROMOTED', ''), (3, 6, 'H', 'N', 'CONFLICT_BLOCKED', 'STALE_SOURCE_VERSION'),
+                                 (4, 7, 'H', 'N', 'PROMOTED', ''), (4, 8, 'H', 'N', 'CONFLICT_BLOCKED', 'STALE_SOURCE_VERSION'),
+                                 (4, 9, 'H', 'N', 'CONFLICT_BLOCKED', 'SOURCE_VERSION_ORDER_UNPROVEN'))
+             AS v(remainder, kind, source, number, status, reasons) ON o_orderkey % 5 = remainder""",
+    "promoted_held_orders": """
+        SELECT source || o_orderkey AS source_order_id, number || o_orderkey AS order_number, version AS projected_version,
+               CAST(total_amount + more AS DECIMAL(14,2)) AS total_amount, untouched
+        FROM t_orders JOIN (VALUES (0, 'H', 'N', '4', 0, false), (1, 'H', 'N', '4', 0, true), (2, 'H', 'M', '5', 5, false), (2, 'T', 'N', '1', 0, false),
+                                   (3, 'H', 'N', '4', 0, true), (4, 'H', 'N', '5', 5, false))
+             AS v(remainder, source, number, version, more, untouched) ON o_orderkey % 5 = remainder""",
     "promoted_orders": f"""
         SELECT source_namespace, source_order_id, order_number, status AS order_status, {iso('ordered_at', 'Z')} AS ordered_at, total_amount,
                source_version AS projected_version, digest AS current_observation

@@ -1,10 +1,12 @@
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import observations, promotion
+from tidewatch.operators.connected import connected
 from tidewatch.plans.feeds import no_orders
 
 ROW = {
@@ -120,7 +122,12 @@ def test_later_batch_meets_the_stored_order(spark):
     )
     more = staged(spark, {"source_version": "5", "total_amount": "15"}, {"source_version": "2", "total_amount": "9"}, {"source_version": "4"})
     done = promotion.promote(more, held, warehouses(spark, "W1"), version_rank="CAST(source_version AS INT)")
-    assert {n: s for n, (s, _) in statuses(done.observations).items()} == {1: "PROMOTED", 2: "CONFLICT_BLOCKED", 3: "PROMOTED"}
+    # Once version 5 is the order's, version 4 is old; before that it confirms what there is.
+    assert {n: r for n, (_, r) in statuses(done.observations).items()} == {1: [], 2: ["STALE_SOURCE_VERSION"], 3: ["STALE_SOURCE_VERSION"]}
+    first = staged(spark, {"source_version": "4"}, {"source_version": "5", "total_amount": "15"})
+    done = promotion.promote(first, held, warehouses(spark, "W1"), version_rank="CAST(source_version AS INT)")
+    rows = {r["sequence"]: r for r in done.observations.collect()}
+    assert [rows[n]["status"] for n in (1, 2)] == ["PROMOTED"] * 2 and rows[1]["superseded_by"] == rows[2]["observation_id"]
 
 
 def test_conflicts_block_both_sides_and_unordered_versions_stay_unproven(spark):
@@ -145,6 +152,94 @@ def test_conflicts_block_both_sides_and_unordered_versions_stay_unproven(spark):
     assert statuses(retry.observations)[7][0] == "REJECTED_INVALID"
 
 
+def serial(cases, held, newer):
+    """Statuses when observations are promoted one after the other."""
+    orders = dict(held)  # order -> (version, number, amount)
+    owner = {number: order for order, (_, number, _) in held.items()}
+    clashing = {}
+    for _, order, version, number, amount in cases:
+        clashing.setdefault((order, version), set()).add((number, amount))
+    out = {}
+    for sequence, order, version, number, amount in cases:
+        if len(clashing[order, version]) > 1:
+            out[sequence] = "SOURCE_VERSION_CONTENT_CONFLICT"
+            continue
+        current = orders.get(order)
+        if current is not None and current[0] == version:
+            out[sequence] = "" if current == (version, number, amount) else "SOURCE_VERSION_CONTENT_CONFLICT"
+            continue
+        if current is not None and newer(current[0], version) is not True:
+            out[sequence] = "STALE_SOURCE_VERSION" if newer(current[0], version) is False else "SOURCE_VERSION_ORDER_UNPROVEN"
+            continue
+        if owner.get(number, order) != order:
+            out[sequence] = "OPERATIONAL_ORDER_CONFLICT"
+            continue
+        if current is not None:
+            owner.pop(current[1])
+        owner[number] = order
+        orders[order] = (version, number, amount)
+        out[sequence] = ""
+    return out, orders
+
+
+def stored_orders(spark, held):
+    rows = [{"source_order_id": order, "source_version": version, "order_number": number, "total_amount": amount} for order, (version, number, amount) in held.items()]
+    if not rows:
+        return no_orders(spark)
+    return observations.assess(feed(spark, *rows)).selectExpr(
+        "source_namespace", "source_order_id", "order_number", "status AS order_status", "region", "source_warehouse_id", "ordered_at",
+        "promised_at", "fulfilled_at", "CAST(total_amount AS DECIMAL(14,2)) AS total_amount", "currency",
+        "source_version AS projected_version", "concat('before', source_order_id) AS current_observation",
+    )
+
+
+@pytest.mark.parametrize("how", ["rank", "comparator"])
+def test_numbers_change_hands_as_in_a_serial_pass(spark, how):
+    def newer(current, incoming):
+        if "x" in (current, incoming) or int(current) == int(incoming):
+            return "UNORDERED"
+        return int(incoming) > int(current)
+
+    draw = random.Random(how)
+    cases, held = [], {}
+    for group in range(40):  # orders of a group contend for its few numbers
+        orders = [f"O{group}-{k}" for k in range(draw.randrange(1, 5))]
+        numbers = [f"N{group}-{k}" for k in range(draw.randrange(2, 5))]
+        free = list(numbers)
+        for order in orders:
+            if draw.random() < 0.5 and free:
+                held[order] = (str(draw.randrange(1, 4)), free.pop(draw.randrange(len(free))), "10.00")
+        for _ in range(draw.randrange(1, 9)):
+            order = draw.choice(orders)
+            same = order in held and draw.random() < 0.3
+            cases.append((order, *(held[order] if same else (draw.choice("12345x"), draw.choice(numbers), draw.choice(["10.00", "11.00"])))))
+    cases = list(dict.fromkeys(cases))  # a replay is the same observation
+    draw.shuffle(cases)
+    cases = [(n, *case) for n, case in enumerate(cases, 1)]
+    want, after = serial(cases, held, newer)
+    rows = staged(spark, *({"source_order_id": o, "source_version": v, "order_number": n, "total_amount": a} for _, o, v, n, a in cases))
+    ordering = {"version_rank": "try_cast(source_version AS INT)"} if how == "rank" else {"comparator": newer}
+    done = promotion.promote(rows, stored_orders(spark, held), warehouses(spark, "W1"), **ordering)
+    got = {r["sequence"]: ",".join(r["reasons"]) for r in done.observations.collect()}
+    assert got == want and len(set(want.values())) == 5
+    orders = {r["source_order_id"]: (r["projected_version"], r["order_number"], str(r["total_amount"])) for r in done.orders.collect()}
+    assert orders == after
+    owners = [r["order_number"] for r in done.orders.collect()]
+    assert len(owners) == len(set(owners))
+
+
+def test_connected_sets(spark):
+    draw = random.Random(2)
+    edges = [(f"c{i:03}", f"c{i + 1:03}") for i in range(70)] + [("hub", f"s{i}") for i in range(40)]
+    edges += [(f"r{draw.randrange(60)}", f"r{draw.randrange(60)}") for _ in range(45)] + [("same", "same")]
+    root = {node: node for edge in edges for node in edge}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {r["node"]: r["root"] for r in connected(spark.createDataFrame(edges, "a string, b string")).collect()}
+    assert got == {node: low for node, low in root.items() if any(node in edge and edge[0] != edge[1] for edge in edges)}
+
+
 def test_running_maximum_over_buckets(spark):
     rows = spark.range(0, 40).selectExpr("'k' AS k", "id AS sequence", "(id * 7) % 40 AS v")
     got = {r["sequence"]: r["before"] for r in promotion.running_max(rows, ("k",), "sequence", "v", bucket=5).collect()}

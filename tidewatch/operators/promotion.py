@@ -4,19 +4,22 @@ Without a way to order versions, one identity has at most one observation that c
 order, so every decision is a join. With a declared rank, the revisions accepted in sequence order
 are the running maxima of that rank. An arbitrary comparator goes once over each identity's rows in
 sequence order, with the current version as its only state.
+
+An order number belongs to one order at a time, and a revision may give it up. Identities that claim
+or hold a number in common depend on each other; each connected set of them is gone over once in
+sequence order, with the owners of its numbers as further state. All others need no such pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
+from tidewatch.operators.connected import connected
 from tidewatch.settings import cut_lineage
 
 IDENTITY = ("source_namespace", "source_order_id")
@@ -125,9 +128,9 @@ _DECIDE = """CASE
     WHEN place_known IS NULL AND source_warehouse_id IS NULL THEN 'MISSING_WAREHOUSE'
     WHEN place_known IS NULL THEN 'UNKNOWN_WAREHOUSE'
     WHEN status <> 'NORMALIZED' AND size(array_except(reasons, array('MISSING_WAREHOUSE', 'UNKNOWN_WAREHOUSE'))) > 0 THEN 'INCOMPLETE'
-    WHEN held IS NOT NULL AND projected_version <=> source_version AND {matches} THEN 'CONFIRM'
-    WHEN held IS NOT NULL AND projected_version <=> source_version THEN 'SOURCE_VERSION_CONTENT_CONFLICT'
     ELSE 'COMPARE' END"""
+#: Of an observation in the version its order has: whether it says the same.
+_SAME_VERSION = "CASE WHEN fits THEN 'ACCEPT' ELSE 'SOURCE_VERSION_CONTENT_CONFLICT' END"
 
 
 def promote(
@@ -144,73 +147,45 @@ def promote(
     be ordered); `comparator(current, incoming)` is the general form. Without either, revisions
     are never ordered. Sequence numbers are unique and say only in which order rows are presented.
 
-    An order number belongs to one identity per namespace: to the order that has it, else to the
-    first presented observation that becomes an order or its revision. A number that an order gives
-    up within the batch is free from the next batch on.
+    An order number belongs to one order per namespace at a time: from the observation that takes it on to
+    the revision that gives it up. An observation that claims a number while another order has it is
+    refused, and counts as no revision.
     """
     matches = " AND ".join(f"held.{name} <=> {name}" for name in PROJECTED)
-    decided = cut_lineage(
-        _with_context(observations, warehouses, orders).withColumn("decision", F.expr(_DECIDE.format(matches=matches)))
-    )
+    decided = cut_lineage(_with_context(observations, warehouses, orders).withColumn("decision", F.expr(_DECIDE)))
     open_cases = decided.where("decision = 'COMPARE'").select(
         "observation_id", "sequence", *IDENTITY, "order_number", "source_version", "projected_version",
-        "several_versions", F.expr("held IS NOT NULL AS has_order"),
+        "several_versions", F.expr("held IS NOT NULL AS has_order"), F.expr(f"{matches} AS fits"),
     )
-    comparing = version_rank is not None or comparator is not None
-    if not comparing:
-        judged = open_cases.withColumn(
-            "verdict",
-            F.expr(
-                "CASE WHEN has_order OR (source_version IS NOT NULL AND several_versions) "
-                "THEN 'SOURCE_VERSION_ORDER_UNPROVEN' ELSE 'ACCEPT' END"
-            ),
-        )
-        judged = _settle_numbers(judged, orders, "verdict = 'ACCEPT'")
+    if comparator is not None and version_rank is None:
+        judged = _in_sequence(open_cases, orders, _by_comparator(comparator))
+    elif version_rank is not None:
+        judged = _by_rank(open_cases, orders, version_rank)
     else:
-        order = (lambda cases: _by_rank(cases, version_rank)) if version_rank is not None else (lambda cases: _in_sequence(cases, comparator))
-        judged = _claimed(open_cases, orders, order)
+        judged = _unordered(open_cases, orders)
     return _apply(decided, judged.select("observation_id", "verdict"), orders)
 
 
-def _settle_numbers(cases: DataFrame, orders: DataFrame, claiming: str) -> DataFrame:
-    """Refuse observations whose order number another identity owns."""
-    taken = orders.where("order_number IS NOT NULL").selectExpr(
-        "source_namespace", "order_number", "source_order_id AS owner", "-1L AS sequence"
-    )
-    claims = cases.where(claiming).selectExpr("source_namespace", "order_number", "source_order_id AS owner", "sequence")
-    owners = (
-        taken.unionByName(claims)
-        .groupBy("source_namespace", "order_number")
-        .agg(F.expr("min_by(owner, sequence) AS owner"))
-    )
-    return cases.join(owners, ["source_namespace", "order_number"], "left").withColumn(
-        "verdict",
-        F.expr(f"CASE WHEN {claiming} AND owner <> source_order_id THEN 'OPERATIONAL_ORDER_CONFLICT' ELSE verdict END"),
-    ).drop("owner")
-
+def _unordered(cases: DataFrame, orders: DataFrame) -> DataFrame:
+    """Verdicts when versions cannot be ordered: an identity gets at most one order, and no order changes.
 
-def _claimed(cases: DataFrame, orders: DataFrame, order: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Verdicts of versions and order numbers together.
-
-    Versions are ordered first, and what they accept claims its number. A refused claim is no revision,
-    so the other rows of its identity are ordered again without it. Rows accepted before stay accepted, so claims only grow, and
-    this ends; only identities with a refused claim take part in another pass.
+    So a number is its order's, or else goes to the first observation that makes an order of it.
     """
-    names = cases.columns
-    judged = cut_lineage(order(cases))
-    while True:
-        settled = cut_lineage(_settle_numbers(judged, orders, "verdict = 'ACCEPT'"))
-        lost = settled.where("verdict = 'OPERATIONAL_ORDER_CONFLICT'").join(
-            judged.where("verdict = 'ACCEPT'").select("observation_id"), "observation_id", "left_semi"
-        )
-        if lost.isEmpty():
-            return settled
-        again = lost.select(*IDENTITY).distinct()
-        touched = settled.join(again, list(IDENTITY), "left_semi")
-        refused = touched.where("verdict = 'OPERATIONAL_ORDER_CONFLICT'")
-        redone = order(touched.where("verdict <> 'OPERATIONAL_ORDER_CONFLICT'").select(*names))
-        parts = (settled.join(again, list(IDENTITY), "left_anti"), refused, redone)
-        judged = cut_lineage(reduce(DataFrame.unionByName, [part.select(*names, "verdict") for part in parts]))
+    judged = cases.withColumn(
+        "verdict",
+        F.expr(
+            f"CASE WHEN has_order AND projected_version <=> source_version THEN {_SAME_VERSION} "
+            "WHEN has_order OR (source_version IS NOT NULL AND several_versions) "
+            "THEN 'SOURCE_VERSION_ORDER_UNPROVEN' ELSE 'ACCEPT' END"
+        ),
+    )
+    claiming = "verdict = 'ACCEPT' AND NOT has_order"
+    numbers = ["source_namespace", "order_number"]
+    taken = orders.where("order_number IS NOT NULL").select(*numbers, F.col("source_order_id").alias("owner"), F.lit(-1).cast("long").alias("sequence"))
+    claims = judged.where(claiming).select(*numbers, F.col("source_order_id").alias("owner"), "sequence")
+    owners = taken.unionByName(claims).groupBy(*numbers).agg(F.expr("min_by(owner, sequence) AS owner"))
+    refused = f"CASE WHEN {claiming} AND owner <> source_order_id THEN 'OPERATIONAL_ORDER_CONFLICT' ELSE verdict END"
+    return judged.join(owners, numbers, "left").withColumn("verdict", F.expr(refused)).drop("owner")
 
 
 _VERDICT_OF = {
@@ -221,59 +196,150 @@ _VERDICT_OF = {
 }
 
 
-def _by_rank(cases: DataFrame, version_rank: str) -> DataFrame:
+#: Outcome of comparing two (version, rank) pairs: the current one and the incoming one.
+Compare = Callable[[tuple, tuple], str]
+
+
+def _by_comparator(comparator: Comparator) -> Compare:
+    compare = version_outcome(comparator)
+    return lambda current, incoming: compare(current[0], incoming[0])
+
+
+def _of_ranks(current: tuple, incoming: tuple) -> str:
+    if current[1] is None or incoming[1] is None or current[1] == incoming[1]:
+        return "UNORDERED"
+    return "INCOMING_NEWER" if incoming[1] > current[1] else "CURRENT_NEWER"
+
+
+def _by_rank(cases: DataFrame, orders: DataFrame, version_rank: str) -> DataFrame:
     """Accept the first observation of an identity without an order, and each one ranked above
-    everything before it. Nothing follows an unranked first one."""
+    everything before it. Nothing follows an unranked first one. Where numbers are contested, the
+    observations are gone over in sequence instead."""
     # The same expression over the stored version: a lambda's variable hides the column of its name.
     held_rank = f"transform(array(projected_version), source_version -> {version_rank})[0]"
     ranked = cases.selectExpr("*", f"CAST({version_rank} AS DECIMAL(38,10)) AS rank", f"CAST({held_rank} AS DECIMAL(38,10)) AS held_rank")
+    sets = _contested(ranked, orders)
+    if sets is None:
+        return _running_ranks(ranked)
+    ranked = cut_lineage(ranked.join(sets, list(IDENTITY), "left"))
+    alone = _running_ranks(ranked.where("contest IS NULL").drop("contest"))
+    return alone.select("observation_id", "verdict").unionByName(_walk(ranked.where("contest IS NOT NULL"), _holders(sets, orders), _of_ranks))
+
+
+def _running_ranks(ranked: DataFrame) -> DataFrame:
     first = ranked.groupBy(*IDENTITY).agg(
         F.expr("min(sequence) AS first_sequence"), F.expr("min_by(rank, sequence) AS first_rank")
     )
-    ranked = running_max(ranked.join(first, list(IDENTITY)), IDENTITY, "sequence", "rank")
+    known = running_max(ranked.join(first, list(IDENTITY)), IDENTITY, "sequence", "rank")
     opening = "NOT has_order AND sequence = first_sequence"
     start = "CASE WHEN has_order THEN held_rank ELSE first_rank END"
     current = "greatest(before, start)"
-    return ranked.selectExpr("*", f"{start} AS start").selectExpr(
-        *cases.columns,
-        f"CASE WHEN {opening} THEN 'ACCEPT' WHEN start IS NULL OR rank IS NULL OR rank = {current} "
+    # Until a revision is accepted, the order has the version it had.
+    same = "has_order AND projected_version <=> source_version AND coalesce(before <= start, true)"
+    return known.selectExpr("*", f"{start} AS start").selectExpr(
+        *ranked.columns,
+        f"CASE WHEN {opening} THEN 'ACCEPT' WHEN {same} THEN {_SAME_VERSION} WHEN start IS NULL OR rank IS NULL OR rank = {current} "
         f"THEN 'SOURCE_VERSION_ORDER_UNPROVEN' WHEN rank > {current} THEN 'ACCEPT' ELSE 'STALE_SOURCE_VERSION' END AS verdict",
     )
 
 
-def _in_sequence(cases: DataFrame, comparator: Comparator) -> DataFrame:
-    """Accept revisions with a user comparator: one pass over the rows, dealt out by identity and in
-    sequence order; a task holds one batch and the current version.
+def _node(namespace: str = "source_namespace", order: str = "source_order_id") -> str:
+    """One text for an identity; the length keeps namespaces apart."""
+    return f"concat(length({namespace}), ':', {namespace}, {order})"
+
+
+def _contested(cases: DataFrame, orders: DataFrame) -> DataFrame | None:
+    """Identities that claim or hold a number another one claims or holds, and their connected set; None if there are none."""
+    numbers = ["source_namespace", "order_number"]
+    claims = cases.select(*numbers, "source_order_id").unionByName(orders.select(*numbers, "source_order_id")).where("order_number IS NOT NULL")
+    shared = claims.groupBy(*numbers).agg(F.min("source_order_id").alias("low"), F.max("source_order_id").alias("high")).where("low <> high")
+    shared = cut_lineage(shared.drop("high"))
+    if shared.isEmpty():
+        return None
+    edges = claims.join(shared, numbers).selectExpr(*IDENTITY, f"{_node()} AS a", f"{_node(order='low')} AS b").distinct()
+    edges = cut_lineage(edges)
+    sets = connected(edges.select("a", "b"))
+    names = edges.select(*IDENTITY, F.col("a").alias("node")).distinct()
+    return cut_lineage(names.join(sets, "node").select(*IDENTITY, F.col("root").alias("contest")))
+
+
+def _holders(sets: DataFrame, orders: DataFrame) -> DataFrame:
+    """The order numbers that contesting identities have at the start."""
+    return orders.select(*IDENTITY, "order_number").where("order_number IS NOT NULL").join(sets, list(IDENTITY))
+
+
+def _in_sequence(cases: DataFrame, orders: DataFrame, compare: Compare) -> DataFrame:
+    """Verdicts one after the other: by identity, and by connected set where numbers are contested."""
+    cases = cases.selectExpr("*", "CAST(NULL AS DECIMAL(38,10)) AS rank", "CAST(NULL AS DECIMAL(38,10)) AS held_rank")
+    sets = _contested(cases, orders)
+    if sets is None:
+        return _walk(cases.withColumn("contest", F.expr(_node())), None, compare)
+    dealt = cases.join(sets, list(IDENTITY), "left").withColumn("contest", F.expr(f"coalesce(contest, {_node()})"))
+    return _walk(dealt, _holders(sets, orders), compare)
+
+
+_WALKED = (
+    "contest", "sequence", *IDENTITY, "order_number", "observation_id", "source_version", "rank", "projected_version", "held_rank",
+    "has_order", "fits",
+)
+
+
+def _walk(cases: DataFrame, holders: DataFrame | None, compare: Compare) -> DataFrame:
+    """observation_id and verdict: one pass over the rows, dealt out by `contest` and in sequence order.
+
+    A task holds one batch and, of one contest, the version and number of every order and who owns each number.
     """
-    compare = version_outcome(comparator)
-    schema = cases.schema
+    rows = cases.select(*_WALKED)
+    if holders is not None:
+        filled = {"sequence": "-1L", **{name: name for name in ("contest", *IDENTITY, "order_number")}}
+        kinds = dict(rows.dtypes)
+        rows = rows.unionByName(holders.selectExpr(*(f"CAST({filled.get(name, 'NULL')} AS {kinds[name]}) AS {name}" for name in _WALKED)))
     verdict_of = dict(_VERDICT_OF)
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        identity, current, has_order = None, None, False
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contest = None
+        owner: dict[str, tuple] = {}
+        orders: dict[tuple, tuple] = {}  # identity -> (version, rank), number, and whether it is the one stored before
         for batch in batches:
-            verdicts = []
-            for *key, version, held, projected in zip(
-                *(batch[name] for name in (*IDENTITY, "source_version", "has_order", "projected_version")), strict=True
+            out = []
+            for at, _, namespace, order, number, observation, version, rank, held, held_rank, has_order, fits in zip(
+                *(column.to_pylist() for column in batch.columns)
             ):
-                if key != identity:
-                    identity, has_order, current = key, bool(held), None if pd.isna(projected) else projected
-                version = None if pd.isna(version) else version
-                verdict = verdict_of[compare(current, version)] if has_order else "ACCEPT"
+                if at != contest:
+                    contest, owner, orders = at, {}, {}
+                identity, incoming = (namespace, order), (version, rank)
+                if observation is None:  # an order there was before
+                    owner[number] = identity
+                    orders[identity] = (None, number, True)
+                    continue
+                if has_order and (identity not in orders or orders[identity][0] is None):
+                    orders[identity] = ((held, held_rank), orders[identity][1] if identity in orders else None, True)
+                current, own, stored = orders.get(identity, (None, None, False))
+                if current is not None and stored and current[0] == version:
+                    out.append((observation, "ACCEPT" if fits else "SOURCE_VERSION_CONTENT_CONFLICT"))
+                    continue
+                verdict = "ACCEPT" if current is None else verdict_of[compare(current, incoming)]
                 if verdict == "ACCEPT":
-                    current, has_order = version, True
-                verdicts.append(verdict)
-            yield batch.assign(verdict=verdicts)
+                    if owner.get(number, identity) != identity:
+                        verdict = "OPERATIONAL_ORDER_CONFLICT"
+                    else:
+                        if own is not None and own != number and owner.get(own) == identity:
+                            del owner[own]
+                        owner[number] = identity
+                        orders[identity] = (incoming, number, False)
+                out.append((observation, verdict))
+            if out:
+                yield pa.record_batch([pa.array(column, pa.string()) for column in zip(*out)], ["observation_id", "verdict"])
 
-    dealt = cases.repartition(*IDENTITY).sortWithinPartitions(*IDENTITY, "sequence")
-    return dealt.mapInPandas(walk, StructType([*schema.fields, StructField("verdict", StringType())]))
+    dealt = rows.repartition("contest").sortWithinPartitions("contest", "sequence")
+    return dealt.mapInArrow(judge, "observation_id string, verdict string")
 
 
 def _apply(decided: DataFrame, judged: DataFrame, orders: DataFrame) -> Promotion:
     """Observations and orders after the batch."""
     rows = cut_lineage(
         decided.join(judged, "observation_id", "left").selectExpr(
-            "*", "coalesce(verdict, CASE WHEN decision = 'CONFIRM' THEN 'ACCEPT' ELSE decision END) AS result"
+            "*", "coalesce(verdict, decision) AS result"
         )
     )
     accepted = next_in_sequence(

@@ -61,6 +61,41 @@ def number_claims(spark: SparkSession, folder: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
+#: kind -> remainder of the order's key by 5, whose observation it is, its version, its number, what is added to the amount.
+HELD_KINDS = {
+    1: (0, "H", "4", "N", 0), 2: (1, "H", "4", "N", 5), 3: (2, "E", "1", "N", 0), 4: (2, "H", "5", "M", 5), 5: (2, "T", "1", "N", 0),
+    6: (3, "H", "3", "N", 5), 7: (4, "H", "5", "N", 5), 8: (4, "H", "4", "N", 0), 9: (4, "H", "x", "N", 7),
+}
+
+
+def held_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order as version 4 under its number, as an earlier batch left it."""
+    return starmap.orders(spark, folder).selectExpr(
+        "'held' AS source_namespace", "concat('H', substr(source_order_id, 2)) AS source_order_id", "concat('N', substr(source_order_id, 2)) AS order_number",
+        "'OPEN' AS order_status", "region", "source_warehouse_id", "ordered_at", "promised_at", "CAST(NULL AS TIMESTAMP) AS fulfilled_at",
+        "CAST(total_amount AS DECIMAL(14,2)) AS total_amount", "'USD' AS currency", "'4' AS projected_version",
+        "concat('before-', substr(source_order_id, 2)) AS current_observation",
+    )
+
+
+def meeting_held_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Observations of the held orders: the same again, the same version with other content, a newer one that gives
+    up its number between one order that claims it too early and one that claims it later, an older one, a newer
+    one before the held version again and a version that has no order.
+    """
+    base = starmap.orders(spark, folder).selectExpr("CAST(substr(source_order_id, 2) AS BIGINT) AS k", "*")
+    result = None
+    for kind, (remainder, order, version, number, more) in HELD_KINDS.items():
+        rows = base.where(f"k % 5 = {remainder}").selectExpr(
+            f"k * 10 + {kind} AS sequence", "'b2' AS batch_id", "'held' AS source_namespace", f"'{version}' AS source_version",
+            f"concat('{order}', k) AS order_id", f"concat('{number}', k) AS order_number", "'open' AS order_status", "region",
+            "source_warehouse_id AS warehouse_id", f"{iso_offset('ordered_at')} AS ordered_at", f"{iso_offset('promised_at')} AS promised_at",
+            "CAST(NULL AS STRING) AS fulfilled_at", f"CAST(total_amount + {more} AS STRING) AS total_amount", "'usd' AS currency",
+        )
+        result = rows if result is None else result.unionByName(rows)
+    return result
+
+
 def no_orders(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         [],

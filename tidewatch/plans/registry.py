@@ -525,6 +525,28 @@ def promotion_numbers(spark: SparkSession, folder: str) -> DataFrame:
     return after.observations.selectExpr("source_order_id", "sequence", "status", "array_join(reasons, ',') AS reasons", "promoted")
 
 
+def _promoted_held(spark: SparkSession, folder: str) -> promotion.Promotion:
+    evidence = observations.stage(observations.assess(feeds.meeting_held_orders(spark, folder))).observations
+    rank = "try_cast(source_version AS INT)"
+    return promotion.promote(evidence, feeds.held_orders(spark, folder), starmap.warehouses(spark, folder), version_rank=rank)
+
+
+@query
+def observation_promote_held(spark: SparkSession, folder: str) -> DataFrame:
+    """Observations that meet stored orders: confirmed, in conflict, newer, stale, unproven, and numbers that change hands."""
+    return _promoted_held(spark, folder).observations.selectExpr(
+        "source_order_id", "sequence", "order_number", "status", "array_join(reasons, ',') AS reasons", "promoted"
+    )
+
+
+@query
+def promoted_held_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders after that batch, and whether an observation of it changed or confirmed them."""
+    return _promoted_held(spark, folder).orders.selectExpr(
+        "source_order_id", "order_number", "projected_version", "total_amount", "startswith(current_observation, 'before-') AS untouched"
+    )
+
+
 @query
 def promoted_orders(spark: SparkSession, folder: str) -> DataFrame:
     orders = _promotion(spark, folder, version_rank=VERSION_RANK).orders
