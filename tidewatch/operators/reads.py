@@ -356,14 +356,12 @@ def _queue_base(
     detected_from: datetime | str | None = None,
     detected_to: datetime | str | None = None,
 ) -> DataFrame:
-    return state.where(
-        equals("entity_type", entity)
-        & equals("entity_type", entity_type)
-        & equals("entity_id", entity_id)
-        & equals("source_product_id", product_id)
-        & equals("source_warehouse_id", warehouse_id)
-        & within("detected_at", detected_from, detected_to)
-    )
+    named = {"entity_id": entity_id, "source_product_id": product_id, "source_warehouse_id": warehouse_id}
+    rows = state.where(within("detected_at", detected_from, detected_to))
+    for name, value in [("entity_type", entity), ("entity_type", entity_type), *named.items()]:
+        if value is not None:
+            rows = rows.where(equals(name, value))
+    return rows
 
 
 def exceptions_where(
@@ -440,8 +438,10 @@ def facet_counts(
 ) -> DataFrame:
     """Counts per facet value, each dimension ignoring its own filter; all values appear.
 
-    One aggregate over one scan computes every value.
+    One aggregate over one scan computes every value. `state` may be exceptions that are counted already
+    (`kpi.count_cube`); of the other filters, these know the range of detection only.
     """
+    each = F.col("exceptions") if "exceptions" in state.columns else F.lit(1)
     chosen = {"status": statuses, "exception_type": exception_types, "severity": severities}
     sums, cells = [], []
     for dimension, values in FACETS.items():
@@ -451,7 +451,7 @@ def facet_counts(
                 keep = keep & one_of(other, picked)
         for value in values:
             name = f"{dimension}__{value}"
-            sums.append(F.count(F.when(keep & (F.col(dimension) == value), 1)).alias(name))
+            sums.append(F.coalesce(F.sum(F.when(keep & (F.col(dimension) == value), each)), F.lit(0)).cast("long").alias(name))
             cells.append(
                 f"struct('{dimension}' AS dimension, '{value}' AS value, {name} AS count)"
             )

@@ -27,11 +27,12 @@ DETECTION_ACTOR = "exception-engine"
 
 @dataclass(frozen=True)
 class Merge:
-    """Result of one detection run."""
+    """Result of one detection run; `touched` are the issues whose exceptions are new or say something else now."""
 
     state: DataFrame
     new_history: DataFrame
     outcomes: DataFrame
+    touched: DataFrame
 
     def counters(self) -> DataFrame:
         """One row: findings seen, created, updated, skipped and persisted."""
@@ -61,7 +62,7 @@ def _issues(findings: DataFrame, state: DataFrame) -> DataFrame:
     """
     suppressing = state.where(f"NOT {IS_ACTIVE}").select("deduplication_key").distinct()
     active = state.where(IS_ACTIVE).selectExpr(
-        *ISSUE, "exception_id AS active_id", "deduplication_key AS active_key"
+        *ISSUE, "exception_id AS active_id", "deduplication_key AS active_key", f"struct({', '.join(REFRESHED)}) AS before"
     )
     judged = findings.join(suppressing.selectExpr("deduplication_key", "true AS held"), "deduplication_key", "left")
     stored = judged.selectExpr(
@@ -77,6 +78,7 @@ def _issues(findings: DataFrame, state: DataFrame) -> DataFrame:
         F.expr("min(free_key) AS first_free"),
         F.expr("max(free_key) AS last_free"),
     )
+    same = " AND ".join(["kept_key <=> active_key", *(f"latest.{name} <=> before.{name}" for name in REFRESHED)])
     return (
         per_issue.join(active, list(ISSUE), "left")
         .selectExpr(
@@ -85,7 +87,8 @@ def _issues(findings: DataFrame, state: DataFrame) -> DataFrame:
             "CAST(active_id IS NULL AND first_free IS NOT NULL AS INT) AS created",
             "CASE WHEN active_id IS NULL AND first_free IS NULL THEN findings ELSE 0L END AS skipped",
         )
-        .selectExpr("*", "findings - created - skipped AS updated")
+        .selectExpr("*", "findings - created - skipped AS updated", f"active_id IS NOT NULL AND NOT ({same}) AS altered")
+        .drop("before")
     )
 
 
@@ -102,8 +105,9 @@ def merge_findings(
 
     An active exception of the same issue is refreshed and keeps status and detection time; a
     finding whose key a resolved or dismissed exception holds is skipped; any other is created.
-    Exceptions that are not found again stay untouched. `durable` checkpoints the per-issue frame,
-    because state, history and counters all read it.
+    Exceptions that are not found again stay untouched. `state` may be only a part that has all exceptions
+    of the findings' issues. `durable` checkpoints the per-issue frame, because state, history and counters
+    all read it.
     """
     issues = _issues(findings, state)
     if durable:
@@ -144,4 +148,4 @@ def merge_findings(
         "0L AS entry",
     )
     outcomes = issues.select(*ISSUE, "findings", "created", "updated", "skipped")
-    return Merge(kept.unionByName(fresh), opened, outcomes)
+    return Merge(kept.unionByName(fresh), opened, outcomes, issues.where("created = 1 OR altered").select(*ISSUE))

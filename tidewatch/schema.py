@@ -231,6 +231,17 @@ EXCEPTION_STATE = T.StructType(
         T.StructField("rule_ordinal", T.IntegerType()),
     ]
 )
+#: Exceptions counted by what the summary and the facets ask for.
+COUNT_CUBE = T.StructType(
+    [
+        T.StructField("status", T.StringType()),
+        T.StructField("exception_type", T.StringType()),
+        T.StructField("severity", T.StringType()),
+        T.StructField("detected_at", T.TimestampType()),
+        T.StructField("exceptions", T.LongType()),
+        T.StructField("revenue_at_risk", T.DecimalType(24, 2)),
+    ]
+)
 EXCEPTION_HISTORY = T.StructType(
     [
         T.StructField("exception_id", T.StringType()),
