@@ -217,7 +217,7 @@ class Tokens:
 
     def ids(self, text: str) -> np.ndarray:
         """The ids the tokenizers library gives without adding special ones; strings of special tokens count as these."""
-        return np.asarray(self.encoding().encode(text, allowed_special="all"), np.uint32)
+        return self.encoding().encode_to_numpy(text, allowed_special="all")
 
 
 @functools.lru_cache(maxsize=2)
