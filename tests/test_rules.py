@@ -5,7 +5,7 @@ import pytest
 
 from tests import world
 from tidewatch.operators import rules
-from tidewatch.settings import Ladder, RuleSettings
+from tidewatch.settings import Ladder, RuleSettings, cut_lineage
 
 SETTINGS = RuleSettings(inventory_mismatch_tolerance=Decimal("1"), as_of=world.AS_OF)
 
@@ -134,3 +134,38 @@ def test_settings_are_checked():
         RuleSettings(sla_risk_window_hours=0)
     with pytest.raises(ValueError):
         RuleSettings(as_of=world.AS_OF.replace(tzinfo=None))
+
+
+def test_all_rules_read_each_table_once(spark, tmp_path, monkeypatch):
+    """Scans of every plan a detection runs, those of its written frames included; and the same findings as rule by rule."""
+    for name, table in world.tables(spark).items():
+        table.write.parquet(f"{tmp_path}/{name}")
+    tables = {name: spark.read.schema(table.schema).parquet(f"{tmp_path}/{name}") for name, table in world.tables(spark).items()}
+    plans = []
+
+    def scans(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString().count("FileScan parquet"))
+        return frame
+
+    monkeypatch.setattr(rules, "cut_lineage", lambda frame: cut_lineage(scans(frame)))
+    together = scans(rules.all_findings(tables, world.AS_OF, SETTINGS))
+    assert sum(plans) == 7
+    alone = [rule(tables, world.AS_OF, SETTINGS) for rule in (rules.sla_breach_risk, rules.demand_risks, rules.inventory_mismatch, rules.supplier_delay, rules.shipment_delay)]
+    want = sorted(str(r) for frame in alone for r in frame.collect())
+    assert sorted(str(r) for r in together.collect()) == want and len(want) == 6
+
+
+def test_facts_of_orders_with_open_closed_and_no_lines(spark):
+    d = Decimal
+    order, line = world.rows()["orders"][0], world.rows()["order_items"][0]
+    orders = [order | {"source_order_id": f"O{n}", "order_number": f"N{n}"} for n in range(4)] + [order | {"source_order_id": "O9", "order_number": "N9", "status": "CANCELLED"}]
+    lines = [(0, "P1", 10, 0), (0, "P1", 4, 1), (0, "P2", 5, 5), (1, "P2", 3, 3), (2, "P1", 7, 2), (9, "P1", 8, 0), (3, "P2", 2, 4)]
+    items = [
+        line | {"source_order_item_id": f"I{n}", "source_order_id": f"O{o}", "source_product_id": p, "line_number": n, "ordered_quantity": d(a), "fulfilled_quantity": d(b)}
+        for n, (o, p, a, b) in enumerate(lines)
+    ]
+    rows = rules.order_facts(world.tables(spark, orders=orders, order_items=items), world.AS_OF).collect()
+    found = {r["source_order_id"]: (r["quantity"], r["revenue"], r["value"]) for r in rows if r["fact"] == "ORDER"}
+    assert found == {"O0": (13, 130, 130), "O1": (None, None, 0), "O2": (5, 50, 50), "O3": (None, None, -20), "O9": (8, 80, 80)}
+    places = {(r["source_product_id"], r["source_warehouse_id"]): (r["quantity"], r["revenue"], r["orders"]) for r in rows if r["fact"] == "PLACE"}
+    assert places == {("P1", "W1"): (18, 180, 2)}

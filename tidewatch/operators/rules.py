@@ -3,6 +3,10 @@
 Every rule takes the operational tables (a mapping of table name to DataFrame on source keys) and
 returns findings. Foreign keys are proven at load time, so a rule joins a dimension only when it
 needs one of its columns; product and warehouse ids already travel on the fact rows.
+
+A rule by itself reads the tables it needs. All rules together share two frames that are written once:
+sums per order and per product and warehouse from one pass over orders and their lines, and the stock.
+So a detection reads each of the seven tables once.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.severity import severity
 from tidewatch.functions.text import ascii_json, fact_text, iso_offset, json_object, quoted, sha256
 from tidewatch.schema import EXCEPTION_TYPES, INBOUND_MOVEMENTS, OUTBOUND_MOVEMENTS
-from tidewatch.settings import RuleSettings, instant_sql
+from tidewatch.settings import RuleSettings, cut_lineage, instant_sql
 
 Tables = Mapping[str, DataFrame]
 PLACE = ("source_product_id", "source_warehouse_id")
@@ -139,17 +143,51 @@ def open_demand(tables: Tables, as_of: datetime) -> DataFrame:
     )
 
 
+def order_facts(tables: Tables, as_of: datetime) -> DataFrame:
+    """Tagged rows from one pass over orders and lines.
+
+    `ORDER` rows: every order with the quantity and revenue of its open lines (null without one) and the value
+    of all its lines. `PLACE` rows: the open demand per product and warehouse. Lines are combined per order
+    and product first; a row of the join then counts for its order and, if that is open, for its place, and
+    both sums are one aggregation.
+    """
+    is_open = f"{REMAINING} > 0"
+    lines = tables["order_items"].groupBy("source_order_id", "source_product_id").agg(
+        F.expr(f"sum({REMAINING}) FILTER (WHERE {is_open}) AS quantity"),
+        F.expr(f"sum({REMAINING} * unit_price) FILTER (WHERE {is_open}) AS revenue"),
+        F.expr(f"sum({REMAINING} * unit_price) AS value"),
+    )
+    columns = ("source_order_id", "source_warehouse_id", "status", "ordered_at", "promised_at")
+    met = tables["orders"].select(*columns).join(lines, "source_order_id", "left")
+    demanded = f"status = 'OPEN' AND ordered_at <= {instant_sql(as_of)} AND quantity IS NOT NULL"
+    keys = ("fact", "source_order_id", "source_product_id", "source_warehouse_id", "status", "ordered_at", "promised_at")
+    sums = ("quantity", "revenue", "value")
+    order_row = ", ".join([
+        "'ORDER' AS fact", "source_order_id", "CAST(NULL AS STRING) AS source_product_id", "source_warehouse_id", "status", "ordered_at", "promised_at", *sums,
+    ])
+    place_row = ", ".join([
+        "'PLACE' AS fact", "CAST(NULL AS STRING) AS source_order_id", "source_product_id", "source_warehouse_id", "CAST(NULL AS STRING) AS status",
+        "CAST(NULL AS TIMESTAMP) AS ordered_at", "CAST(NULL AS TIMESTAMP) AS promised_at", "quantity", "revenue", "CAST(NULL AS DECIMAL(38,5)) AS value",
+    ])
+    tagged = met.selectExpr(f"inline(array_compact(array(struct({order_row}), IF({demanded}, struct({place_row}), NULL))))")
+    return tagged.groupBy(*keys).agg(*(F.sum(name).alias(name) for name in sums), F.count("*").alias("orders"))
+
+
+def stock_rows(inventory: DataFrame, as_of: datetime) -> DataFrame:
+    """Snapshots up to the instant; `tie` tells two of one time apart, see `latest_snapshots`."""
+    tie = "snapshot_sequence" if "snapshot_sequence" in inventory.columns else "0"
+    return inventory.where(f"observed_at <= {instant_sql(as_of)}").selectExpr(*PLACE, "observed_at", "on_hand", "reserved", f"{tie} AS tie")
+
+
 def latest_snapshots(inventory: DataFrame, as_of: datetime) -> DataFrame:
     """Newest snapshot per product and warehouse at or before the instant; of two at the same
     time the later row (`snapshot_sequence`, when the table has one) wins."""
-    tie = "snapshot_sequence" if "snapshot_sequence" in inventory.columns else "0"
-    newest = f"max_by(struct(observed_at, on_hand, reserved), struct(observed_at, {tie} AS tie)) AS snapshot"
-    return (
-        inventory.where(f"observed_at <= {instant_sql(as_of)}")
-        .groupBy(*PLACE)
-        .agg(F.expr(newest))
-        .select(*PLACE, "snapshot.*")
-    )
+    return _latest(stock_rows(inventory, as_of))
+
+
+def _latest(stock: DataFrame) -> DataFrame:
+    newest = "max_by(struct(observed_at, on_hand, reserved), struct(observed_at, tie)) AS snapshot"
+    return stock.groupBy(*PLACE).agg(F.expr(newest)).select(*PLACE, "snapshot.*")
 
 
 def _names(values: tuple[str, ...]) -> str:
@@ -185,11 +223,18 @@ def reconstructed_on_hand(snapshots: DataFrame, movements: DataFrame) -> DataFra
 
 def sla_breach_risk(tables: Tables, as_of: datetime, settings: RuleSettings) -> DataFrame:
     """Open orders with unfulfilled lines, due now or within the risk window (inclusive)."""
+    due = open_orders(tables["orders"], as_of).where(_due_soon(as_of, settings))
+    return _sla_findings(due.join(open_lines_per_order(tables["order_items"]), "source_order_id"), as_of, settings)
+
+
+def _due_soon(as_of: datetime, settings: RuleSettings) -> str:
+    return f"promised_at <= {instant_sql(as_of)} + make_dt_interval(0, {settings.sla_risk_window_hours})"
+
+
+def _sla_findings(rows: DataFrame, as_of: datetime, settings: RuleSettings) -> DataFrame:
     now = instant_sql(as_of)
-    window = f"make_dt_interval(0, {settings.sla_risk_window_hours})"
-    due = open_orders(tables["orders"], as_of).where(f"promised_at <= {now} + {window}")
     return _finding(
-        due.join(open_lines_per_order(tables["order_items"]), "source_order_id"),
+        rows,
         settings,
         kind="'SLA_BREACH_RISK'",
         issue_key="concat('ORDER:', source_order_id)",
@@ -218,29 +263,32 @@ def sla_breach_risk(tables: Tables, as_of: datetime, settings: RuleSettings) ->
     )
 
 
+DEMAND_KINDS = ("INVENTORY_SHORTAGE", "STOCKOUT_RISK")
+
+
 def demand_risks(
     tables: Tables,
     as_of: datetime,
     settings: RuleSettings,
-    kinds: tuple[str, ...] = ("INVENTORY_SHORTAGE", "STOCKOUT_RISK"),
+    kinds: tuple[str, ...] = DEMAND_KINDS,
 ) -> DataFrame:
     """Shortage and stockout findings from one pass over demand and stock.
 
     A place fires as a shortage when demand exceeds what is available, and as a stockout risk when
     what would be left falls below the safety stock. A place without a snapshot never fires.
     """
-    stock = (
-        tables["inventory"]
-        .where(f"observed_at <= {instant_sql(as_of)}")
-        .selectExpr(*PLACE, "on_hand - reserved AS available")
-    )
+    return _demand_findings(open_demand(tables, as_of), stock_rows(tables["inventory"], as_of), settings, kinds)
+
+
+def _demand_findings(demands: DataFrame, stock: DataFrame, settings: RuleSettings, kinds: tuple[str, ...]) -> DataFrame:
+    stock = stock.selectExpr(*PLACE, "on_hand - reserved AS available")
     buffer = "0" if settings.safety_stock == 0 else str(settings.safety_stock)
     tests = {
         "INVENTORY_SHORTAGE": "demand > available",
         "STOCKOUT_RISK": f"available - demand < CAST('{buffer}' AS DECIMAL(38,3))",
     }
     fired = ", ".join(f"CASE WHEN {tests[kind]} THEN '{kind}' END" for kind in kinds)
-    rows = open_demand(tables, as_of).join(stock, list(PLACE)).selectExpr(
+    rows = demands.join(stock, list(PLACE)).selectExpr(
         "*", f"explode(array_compact(array({fired}))) AS kind"
     )
     demand, available = fact_text("demand"), fact_text("available")
@@ -291,11 +339,13 @@ def stockout_risk(tables: Tables, as_of: datetime, settings: RuleSettings) -> Da
 def inventory_mismatch(tables: Tables, as_of: datetime, settings: RuleSettings) -> DataFrame:
     """Latest snapshots whose on-hand quantity differs from the movement history by more than the
     tolerance."""
+    return _mismatch_findings(stock_rows(tables["inventory"], as_of), tables["inventory_movements"], settings)
+
+
+def _mismatch_findings(stock: DataFrame, movements: DataFrame, settings: RuleSettings) -> DataFrame:
     tolerance = settings.inventory_mismatch_tolerance
     shown = "0" if tolerance == 0 else str(tolerance)
-    rebuilt = reconstructed_on_hand(
-        latest_snapshots(tables["inventory"], as_of), tables["inventory_movements"]
-    )
+    rebuilt = reconstructed_on_hand(_latest(stock), movements)
     rows = rebuilt.selectExpr("*", "abs(on_hand - reconstructed) AS difference").where(
         f"difference > CAST('{shown}' AS DECIMAL(38,3))"
     )
@@ -367,18 +417,18 @@ def supplier_delay(tables: Tables, as_of: datetime, settings: RuleSettings) -> D
 def shipment_delay(tables: Tables, as_of: datetime, settings: RuleSettings) -> DataFrame:
     """Undelivered shipments past their ETA. Revenue counts every line of the order, also lines
     that are fulfilled; lateness is not a severity metric of this rule."""
-    late = tables["shipments"].where(f"status <> 'DELIVERED' AND eta < {instant_sql(as_of)}")
     value = (
         tables["order_items"]
         .groupBy("source_order_id")
         .agg(F.expr(f"sum({REMAINING} * unit_price) AS value"))
     )
     homes = tables["orders"].select("source_order_id", "source_warehouse_id")
-    rows = (
-        late.join(homes, "source_order_id")
-        .join(value, "source_order_id", "left")
-        .selectExpr("*", "coalesce(value, CAST(0 AS DECIMAL(38,5))) AS revenue")
-    )
+    return _shipment_findings(tables["shipments"], homes.join(value, "source_order_id", "left"), as_of, settings)
+
+
+def _shipment_findings(shipments: DataFrame, orders: DataFrame, as_of: datetime, settings: RuleSettings) -> DataFrame:
+    late = shipments.where(f"status <> 'DELIVERED' AND eta < {instant_sql(as_of)}")
+    rows = late.join(orders, "source_order_id").selectExpr("*", "coalesce(value, CAST(0 AS DECIMAL(38,5))) AS revenue")
     return _finding(
         rows, settings,
         kind="'SHIPMENT_DELAY'",
@@ -404,9 +454,25 @@ def shipment_delay(tables: Tables, as_of: datetime, settings: RuleSettings) -> D
 
 
 def all_findings(tables: Tables, as_of: datetime, settings: RuleSettings) -> DataFrame:
-    """Findings of all six rules; `rule_ordinal` keeps their fixed order."""
-    rules = (sla_breach_risk, demand_risks, inventory_mismatch, supplier_delay, shipment_delay)
-    return reduce(DataFrame.unionByName, [rule(tables, as_of, settings) for rule in rules])
+    """Findings of all six rules; `rule_ordinal` keeps their fixed order.
+
+    The frames several rules read are checkpointed, so every table is read once.
+    """
+    facts = cut_lineage(order_facts(tables, as_of))
+    stock = cut_lineage(stock_rows(tables["inventory"], as_of))
+    orders = facts.where("fact = 'ORDER'")
+    due = open_orders(orders, as_of).where(f"quantity IS NOT NULL AND {_due_soon(as_of, settings)}")
+    demands = facts.where("fact = 'PLACE'").selectExpr(
+        *PLACE, "CAST(quantity AS DECIMAL(38,3)) AS demand", "CAST(revenue AS DECIMAL(38,5)) AS revenue", "orders"
+    )
+    found = [
+        _sla_findings(due.withColumnRenamed("quantity", "remaining"), as_of, settings),
+        _demand_findings(demands, stock, settings, DEMAND_KINDS),
+        _mismatch_findings(stock, tables["inventory_movements"], settings),
+        supplier_delay(tables, as_of, settings),
+        _shipment_findings(tables["shipments"], orders.select("source_order_id", "source_warehouse_id", "value"), as_of, settings),
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 def in_rule_order(findings: DataFrame) -> DataFrame:
