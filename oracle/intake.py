@@ -145,6 +145,29 @@ FINALS = {
                {iso('CASE WHEN k % 4 = 0 THEN observed_at + INTERVAL 1 DAY ELSE observed_at END', 'Z')} AS observed_at
         FROM numbered_stock""",
     "constraint_audit": AUDIT,
+    "constraint_audit_state": """
+        SELECT * FROM (WITH s AS (SELECT *, substr(deduplication_key, 1, 1) AS digit FROM first_state)
+        SELECT 'exceptions' AS table_name, 'CHECK' AS kind, 'orders_affected >= 0' AS violated, id AS row_key, CAST(1 AS BIGINT) AS rows FROM s WHERE digit = '1'
+        UNION ALL SELECT 'exceptions', 'CHECK', 'status IN (''OPEN'', ''ACKNOWLEDGED'', ''IN_PROGRESS'', ''RESOLVED'', ''DISMISSED'')', id, 1 FROM s WHERE digit = '2'
+        UNION ALL SELECT 'exceptions', 'UNIQUE', 'deduplication_key', deduplication_key, 2 FROM s WHERE digit = '0'
+        UNION ALL SELECT 'exceptions', 'UNIQUE', 'exception_type, issue_key while active', exception_type || ':' || issue_key, 2 FROM s WHERE digit = '0'
+        UNION ALL SELECT 'exceptions', 'REFERENCE', 'source_warehouse_id -> warehouses', 'gone-' || source_warehouse_id, count(*) FROM s
+                  WHERE digit = '4' AND source_warehouse_id IS NOT NULL GROUP BY source_warehouse_id
+        UNION ALL SELECT 'exceptions', 'REFERENCE', 'source_product_id -> products', source_product_id, count(*) + count(*) FILTER (digit = '0') FROM s
+                  WHERE source_product_id NOT IN (SELECT 'P' || p_partkey FROM part) GROUP BY source_product_id
+        UNION ALL SELECT 'exception_history', 'REFERENCE', 'exception_id -> exceptions', 'gone-' || id, 1 FROM s WHERE id LIKE '3%'
+        UNION ALL SELECT 'order_observations', 'CHECK', 'total_amount >= 0', '', 1 FROM orders, (VALUES (1), (2), (3), (4)) AS v(kind)
+                  WHERE (o_orderkey * 10 + kind) % 70 = 1 AND o_totalprice > 0
+        UNION ALL SELECT 'order_observations', 'UNIQUE', 'observation_id', '', 2 FROM orders, (VALUES (1), (2), (3), (4)) AS v(kind) WHERE (o_orderkey * 10 + kind) % 110 = 2
+        UNION ALL SELECT 'order_observations', 'REFERENCE', 'superseded_by -> order_observations', 'nothing', count(*)
+                  FROM orders, (VALUES (1), (2), (3), (4)) AS v(kind) WHERE (o_orderkey * 10 + kind) % 130 = 3 HAVING count(*) > 0
+        UNION ALL SELECT 'order_observations', 'REFERENCE', 'source_namespace, source_order_id -> source_order_identities', 'numbers:A' || o_orderkey,
+                  2 + CAST((o_orderkey * 10 + 2) % 110 = 2 AS BIGINT) FROM orders WHERE o_orderkey % 100 = 0 AND o_orderkey > 0
+        UNION ALL SELECT 'promoted_orders', 'UNIQUE', 'source_namespace, order_number', 'held:same', count(*) FROM orders WHERE o_orderkey % 10 = 7 HAVING count(*) > 1
+        UNION ALL SELECT DISTINCT 'dataset_versions', 'CHECK', 'status IN (''STAGED'', ''READY'', ''ACTIVE'', ''RETIRED'')', strftime(o_orderdate, '%Y%m'), CAST(1 AS BIGINT)
+                  FROM orders WHERE month(o_orderdate) = 5
+        UNION ALL SELECT 'promoted_orders', 'REFERENCE', 'current_observation -> order_observations', 'before-' || o_orderkey, 1 FROM orders
+        UNION ALL SELECT 'promoted_orders', 'REFERENCE', 'source_namespace, source_order_id -> source_order_identities', 'held:H' || o_orderkey, 1 FROM orders)""",
     "append_only_audit": """
         SELECT exception_id, to_status, actor FROM history WHERE entry = 0 AND (exception_id LIKE 'a%' OR exception_id LIKE 'b%')""",
 }

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from tests import world
 from tidewatch.operators import rules
-from tidewatch.operators.audit import active_issue_violations, append_only_violations
+from tidewatch.operators.audit import active_issue_violations, append_only_violations, audit_tables
 from tidewatch.operators.lifecycle import apply_transitions, sample_requests
 from tidewatch.operators.state import empty_state, merge_findings
 from tidewatch.settings import RuleSettings
@@ -136,3 +136,36 @@ def test_history_audit_notices_changes(spark):
     columns = ["exception_id", "to_status", "actor"]
     assert append_only_violations(history, history.unionByName(history), columns).count() == 0
     assert append_only_violations(history, history.where("exception_id > '8'"), columns).count() == history.where("exception_id <= '8'").count()
+
+
+def test_audit_of_keys_references_and_checks(spark):
+    rows = {
+        "products": [("P1", "S1", 1), ("P1", "S2", 2), ("P2", None, -3), ("P2", None, -3), ("P3", "S1", 4)],
+        "order_observations": [("a", "ns", "O1", None, 5), ("b", "ns", "O2", "a", -1), ("b", "ns", "O2", "zz", -1), ("c", "n", "sO1", "a", 0), ("d", None, "O9", None, 0)],
+        "source_order_identities": [("ns", "O1"), ("ns", "O2"), ("ns", "O2")],
+        "order_observation_receipts": [("a", "b1"), ("a", "b1"), ("gone", "b1"), ("gone", "b2")],
+    }
+    shapes = {
+        "products": "source_product_id string, sku string, unit_price int",
+        "order_observations": "observation_id string, source_namespace string, source_order_id string, superseded_by string, total_amount int",
+        "source_order_identities": "source_namespace string, source_order_id string", "order_observation_receipts": "observation_id string, batch_id string",
+    }
+    tables = {name: spark.createDataFrame(content, shapes[name]) for name, content in rows.items()}
+    dated = tables["order_observations"].selectExpr("*", "timestamp'2025-01-01' AS ordered_at", "CAST(NULL AS TIMESTAMP) AS fulfilled_at")
+    tables["order_observations"] = dated
+    names = ("products", "order_observations", "order_observation_receipts")
+    found = sorted((r["table_name"], r["kind"], r["violated"], r["row_key"], r["rows"]) for r in audit_tables(tables, names).collect())
+    assert found == sorted([
+        ("products", "UNIQUE", "source_product_id", "P1", 2), ("products", "UNIQUE", "source_product_id", "P2", 2), ("products", "UNIQUE", "sku", "S1", 2),
+        ("products", "CHECK", "unit_price >= 0", "P2", 1), ("products", "CHECK", "unit_price >= 0", "P2", 1),
+        ("order_observations", "UNIQUE", "observation_id", "b", 2),
+        ("order_observations", "CHECK", "total_amount >= 0", "b", 1), ("order_observations", "CHECK", "total_amount >= 0", "b", 1),
+        ("order_observations", "REFERENCE", "superseded_by -> order_observations", "zz", 1),
+        ("order_observations", "REFERENCE", "source_namespace, source_order_id -> source_order_identities", "n:sO1", 1),
+        ("order_observation_receipts", "UNIQUE", "observation_id, batch_id", "a:b1", 2),
+        ("order_observation_receipts", "REFERENCE", "observation_id -> order_observations", "gone", 2),
+    ])
+    empty = {name: table.limit(0) for name, table in tables.items()}
+    assert audit_tables(empty, names).isEmpty()
+    plan = audit_tables(tables, names)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1

@@ -1,4 +1,10 @@
-"""Constraint and append-only audits: frames that are empty when all is well."""
+"""Constraint and append-only audits: frames that are empty when all is well.
+
+Every table is read once. A row tells for each constraint it takes part in which key it holds, and whether
+as the row that owns the key or as one that refers to it; rows that break a check tell that. One aggregation
+over these tagged rows of all tables then finds keys with several owners, keys that are referred to and have
+no owner, and broken checks.
+"""
 
 from __future__ import annotations
 
@@ -24,6 +30,17 @@ UNIQUE = {
     "purchase_orders": (("source_purchase_order_id",), ("po_number",)),
     "purchase_order_items": (("source_purchase_order_item_id",),),
     "shipments": (("source_shipment_id",), ("tracking_id",)),
+    "exceptions": (("exception_id",), ("deduplication_key",)),
+    "exception_history": (("exception_id", "entry"),),
+    "source_order_identities": (("source_namespace", "source_order_id"),),
+    "order_observations": (("observation_id",),),
+    "order_observation_receipts": (("observation_id", "batch_id"),),
+    "promoted_orders": (("source_namespace", "source_order_id"), ("source_namespace", "order_number")),
+    "dataset_versions": (("dataset_version_id",), ("identity_hash",), ("dataset_key", "manifest_identity", "seed", "as_of", "generator_revision")),
+}
+#: Keys that are unique among some rows only: columns, the condition, and how it is told.
+UNIQUE_WHILE = {
+    "exceptions": ((("exception_type", "issue_key"), "status IN ('OPEN', 'ACKNOWLEDGED', 'IN_PROGRESS')", "while active"),),
 }
 CHECKS = {
     "products": ("unit_price >= 0",),
@@ -42,6 +59,9 @@ CHECKS = {
         "revenue_at_risk >= 0", "orders_affected >= 0", "confidence >= 0 AND confidence <= 1",
         "status IN ('OPEN', 'ACKNOWLEDGED', 'IN_PROGRESS', 'RESOLVED', 'DISMISSED')",
     ),
+    "order_observations": ("total_amount >= 0", "fulfilled_at >= ordered_at"),
+    "promoted_orders": ("total_amount >= 0", "fulfilled_at >= ordered_at"),
+    "dataset_versions": ("status IN ('STAGED', 'READY', 'ACTIVE', 'RETIRED')",),
 }
 REFERENCES = {
     "inventory": {"source_product_id": "products", "source_warehouse_id": "warehouses"},
@@ -51,88 +71,80 @@ REFERENCES = {
     "purchase_orders": {"source_supplier_id": "suppliers", "source_warehouse_id": "warehouses"},
     "purchase_order_items": {"source_purchase_order_id": "purchase_orders", "source_product_id": "products"},
     "shipments": {"source_order_id": "orders"},
+    "exceptions": {"source_warehouse_id": "warehouses", "source_product_id": "products"},
+    "exception_history": {"exception_id": "exceptions"},
+    "order_observations": {"source_namespace, source_order_id": "source_order_identities", "superseded_by": "order_observations"},
+    "order_observation_receipts": {"observation_id": "order_observations"},
+    "promoted_orders": {"source_namespace, source_order_id": "source_order_identities", "current_observation": "order_observations"},
 }
+#: The ten operational tables, and those of exceptions, observations and versions.
+OPERATIONAL = (
+    "products", "warehouses", "suppliers", "inventory", "inventory_movements", "orders", "order_items", "purchase_orders",
+    "purchase_order_items", "shipments",
+)
+RECORDED = tuple(name for name in UNIQUE if name not in OPERATIONAL)
+
+
+def _cell(kind: str, owner: str, told: str, columns: tuple[str, ...], relation: int) -> str:
+    """A tagged row: a key, and who speaks of it. Null parts make no key."""
+    key = ", ".join(f"CAST({column} AS STRING)" for column in columns)
+    here = " AND ".join(f"{column} IS NOT NULL" for column in columns)
+    cell = f"struct({quoted(owner)} AS table_name, {quoted(kind)} AS kind, {quoted(told)} AS violated, array({key}) AS key, {relation} AS relation)"
+    return f"IF({here}, {cell}, NULL)"
+
+
+#: The relation of rows that own a key.
+OWN = -1
+
+
+def _tagged(rows: DataFrame, table: str, relations: list[tuple[str, tuple[str, ...], str]], audited: bool) -> DataFrame:
+    """What the rows of one table say about keys and checks, from one scan."""
+    cells = []
+    referred = any(parent == table for _, _, parent in relations)
+    for place, columns in enumerate(UNIQUE[table]):
+        if audited or (referred and place == 0):
+            cells.append(_cell("UNIQUE", table, ", ".join(columns), columns, OWN))
+    if audited:
+        for columns, condition, when in UNIQUE_WHILE.get(table, ()):
+            cells.append(f"IF({condition}, {_cell('UNIQUE', table, f'{", ".join(columns)} {when}', columns, OWN)}, NULL)")
+        for check in CHECKS.get(table, ()):
+            cells.append(f"IF(NOT ({check}), {_cell('CHECK', table, check, UNIQUE[table][0], OWN)}, NULL)")
+        for number, (child, columns, parent) in enumerate(relations):
+            if child == table:
+                cells.append(_cell("UNIQUE", parent, ", ".join(UNIQUE[parent][0]), columns, number))
+    return rows.selectExpr(f"inline(array_compact(array({', '.join(cells)})))")
+
+
+def audit_tables(tables: Tables, names: tuple[str, ...] = OPERATIONAL) -> DataFrame:
+    """Every constraint violation of the named tables: table_name, kind, violated, row_key, rows.
+
+    A value that many rows hold is one partial count per task. References are checked where the parent is
+    among `tables`. A check that several rows of one key break is told once for each.
+    """
+    relations = [
+        (name, tuple(columns.split(", ")), parent) for name in names for columns, parent in REFERENCES.get(name, {}).items() if parent in tables
+    ]
+    needed = {*names, *(parent for _, _, parent in relations)}
+    tagged = reduce(DataFrame.unionByName, [_tagged(tables[name], name, relations, name in names) for name in UNIQUE if name in needed])
+    counted = tagged.groupBy("table_name", "kind", "violated", "key").agg(
+        F.expr(f"count_if(relation = {OWN}) AS own"), *(F.expr(f"count_if(relation = {n}) AS r{n}") for n in range(len(relations)))
+    )
 
+    def fault(table: str, kind: str, told: str, rows: str) -> str:
+        return f"struct({table} AS table_name, {kind} AS kind, {told} AS violated, array_join(key, ':') AS row_key, {rows} AS rows)"
 
-def _row_key(table: str) -> str:
-    first = UNIQUE[table][0] if table in UNIQUE else ("exception_id",)
-    return f"concat_ws(':', {', '.join(first)})"
-
-
-def check_violations(rows: DataFrame, table: str) -> DataFrame:
-    """Rows that break a check, one row per broken check, in one pass."""
-    broken = ", ".join(f"CASE WHEN NOT ({check}) THEN {quoted(check)} END" for check in CHECKS[table])
-    return rows.selectExpr(
-        f"{quoted(table)} AS table_name", f"{_row_key(table)} AS row_key", f"explode(array_compact(array({broken}))) AS violated"
-    ).selectExpr("table_name", "'CHECK' AS kind", "violated", "row_key", "1L AS rows")
-
-
-def unique_violations(rows: DataFrame, table: str) -> DataFrame:
-    """Key values held by more than one row."""
-    frames = []
-    for columns in UNIQUE[table]:
-        frames.append(
-            rows.groupBy(*columns)
-            .agg(F.expr("count(1) AS rows"))
-            .where("rows > 1")
-            .selectExpr(
-                f"{quoted(table)} AS table_name", "'UNIQUE' AS kind", f"{quoted(', '.join(columns))} AS violated",
-                f"concat_ws(':', {', '.join(columns)}) AS row_key", "rows",
-            )
-        )
-    return reduce(DataFrame.unionByName, frames)
-
-
-def reference_violations(tables: Tables, table: str) -> DataFrame:
-    """Referring values without a parent row. Values are reduced to distinct ones first, so a hot
-    value costs one row in the join."""
-    frames = []
-    for column, parent in REFERENCES[table].items():
-        used = tables[table].where(f"{column} IS NOT NULL").groupBy(column).agg(F.expr("count(1) AS rows"))
-        known = tables[parent].select(F.col(UNIQUE[parent][0][0]).alias(column))
-        frames.append(
-            used.join(known, column, "left_anti").selectExpr(
-                f"{quoted(table)} AS table_name", "'REFERENCE' AS kind", f"{quoted(f'{column} -> {parent}')} AS violated",
-                f"{column} AS row_key", "rows",
-            )
-        )
-    return reduce(DataFrame.unionByName, frames)
+    audited = ", ".join(quoted(name) for name in names)
+    checks = f"IF(kind = 'CHECK', transform(sequence(1L, own), i -> {fault('table_name', 'kind', 'violated', '1L')}), NULL)"
+    faults = [f"IF(kind = 'UNIQUE' AND own > 1 AND table_name IN ({audited}), {fault('table_name', 'kind', 'violated', 'own')}, NULL)"]
+    for number, (child, columns, parent) in enumerate(relations):
+        told = fault(quoted(child), "'REFERENCE'", quoted(f"{', '.join(columns)} -> {parent}"), f"r{number}")
+        faults.append(f"IF(own = 0 AND r{number} > 0, {told}, NULL)")
+    return counted.selectExpr(f"inline(coalesce({checks}, array_compact(array({', '.join(faults)}))))")
 
 
 def active_issue_violations(state: DataFrame) -> DataFrame:
     """Issues with more than one active exception, and keys held twice."""
-    twice = (
-        state.where("status IN ('OPEN', 'ACKNOWLEDGED', 'IN_PROGRESS')")
-        .groupBy("exception_type", "issue_key")
-        .agg(F.expr("count(1) AS rows"))
-        .where("rows > 1")
-        .selectExpr(
-            "'exceptions' AS table_name", "'UNIQUE' AS kind", "'exception_type, issue_key while active' AS violated",
-            "concat_ws(':', exception_type, issue_key) AS row_key", "rows",
-        )
-    )
-    keys = (
-        state.groupBy("deduplication_key")
-        .agg(F.expr("count(1) AS rows"))
-        .where("rows > 1")
-        .selectExpr(
-            "'exceptions' AS table_name", "'UNIQUE' AS kind", "'deduplication_key' AS violated",
-            "deduplication_key AS row_key", "rows",
-        )
-    )
-    return twice.unionByName(keys)
-
-
-def audit_tables(tables: Tables, names: tuple[str, ...] = tuple(UNIQUE)) -> DataFrame:
-    """Every constraint violation of the named tables."""
-    frames = []
-    for name in names:
-        frames.append(unique_violations(tables[name], name))
-        if name in CHECKS:
-            frames.append(check_violations(tables[name], name))
-        if name in REFERENCES:
-            frames.append(reference_violations(tables, name))
-    return reduce(DataFrame.unionByName, frames)
+    return audit_tables({"exceptions": state}, ("exceptions",)).where("kind = 'UNIQUE'")
 
 
 def append_only_violations(before: DataFrame, after: DataFrame, evidence: list[str]) -> DataFrame:

@@ -439,6 +439,36 @@ def constraint_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit.audit_tables(starmap.tables(spark, folder))
 
 
+@query
+def constraint_audit_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Violations planted among exceptions, their history, observations, identities, receipts, promoted orders and versions."""
+    first = runs.first_run(spark, folder)
+    digit = "substr(deduplication_key, 1, 1)"
+    changed = {
+        "orders_affected": f"CAST(IF({digit} = '1', -1, orders_affected) AS INT)", "status": f"IF({digit} = '2', 'PAUSED', status)",
+        "source_warehouse_id": f"IF({digit} = '4', concat('gone-', source_warehouse_id), source_warehouse_id)",
+    }
+    state = first.state.selectExpr(*(f"{changed.get(name, name)} AS {name}" for name in first.state.columns))
+    twice = state.where(f"{digit} = '0'").withColumn("exception_id", F.concat(F.lit("again-"), "exception_id"))
+    history = first.new_history.withColumn("exception_id", F.expr("IF(exception_id LIKE '3%', concat('gone-', exception_id), exception_id)"))
+    staged = observations.stage(observations.assess(feeds.number_claims(spark, folder)))
+    evidence = staged.observations.withColumn("total_amount", F.expr("IF(sequence % 70 = 1, -total_amount, total_amount)"))
+    evidence = evidence.unionByName(evidence.where("sequence % 110 = 2")).withColumn("superseded_by", F.expr("IF(sequence % 130 = 3, 'nothing', superseded_by)"))
+    control = exports.monthly_versions(spark, folder)
+    tables = {
+        "products": starmap.products(spark, folder), "warehouses": starmap.warehouses(spark, folder),
+        "exceptions": state.unionByName(twice), "exception_history": history, "order_observations": evidence,
+        "source_order_identities": observations.identities(staged.observations).where("NOT source_order_id LIKE 'A%00'"),
+        "order_observation_receipts": staged.receipts,
+        "promoted_orders": feeds.held_orders(spark, folder).withColumn("order_number", F.expr("IF(source_order_id LIKE '%7', 'same', order_number)")),
+        "dataset_versions": control.versions.withColumn("status", F.expr("IF(dataset_version_id % 100 = 5, 'LOST', status)")),
+    }
+    # The ids of observations are digests, which the twin does not spell out.
+    return audit.audit_tables(tables, audit.RECORDED).selectExpr(
+        "table_name", "kind", "violated", "IF(table_name = 'order_observations' AND kind <> 'REFERENCE', '', row_key) AS row_key", "rows"
+    )
+
+
 @query
 def append_only_audit(spark: SparkSession, folder: str) -> DataFrame:
     """History rows that a later version lost or changed: planted ones, so the audit has work."""
