@@ -115,6 +115,11 @@ def nonblank_filters(**values: str | Iterable[str] | None) -> dict[str, object]:
 # Pages -----------------------------------------------------------------------
 
 
+def check_page(number: int, size: int) -> None:
+    if number < 1 or not 1 <= size <= PAGE_SIZE_LIMIT:
+        raise ValueError(f"page starts at 1 and holds 1 to {PAGE_SIZE_LIMIT} rows")
+
+
 def page(
     rows: DataFrame,
     keys: tuple[str, ...],
@@ -129,8 +134,7 @@ def page(
     ranges, the ranges' row counts add up to where each range starts, and only the ranges that overlap
     the page are numbered. `after`, the last key of the page before, needs no counting at all.
     """
-    if number < 1 or not 1 <= size <= PAGE_SIZE_LIMIT:
-        raise ValueError(f"page starts at 1 and holds 1 to {PAGE_SIZE_LIMIT} rows")
+    check_page(number, size)
     if after is not None:
         here = F.struct(*[F.col(key) for key in keys])
         there = F.struct(*[F.lit(value).alias(key) for key, value in zip(keys, after, strict=True)])
