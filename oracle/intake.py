@@ -145,6 +145,31 @@ FINALS = {
                {iso('CASE WHEN k % 4 = 0 THEN observed_at + INTERVAL 1 DAY ELSE observed_at END', 'Z')} AS observed_at
         FROM numbered_stock""",
     "constraint_audit": AUDIT,
+    "ingest_counters": """
+        SELECT attempt, artifact, CAST(42 AS BIGINT) AS seed, '1998-07-01T00:00:00+00:00' AS as_of, attempt <> 'miscounted' AS committed, n AS rows_read, n AS accepted,
+               CAST(attempt = 'miscounted' AND artifact = 'erp/suppliers.csv' AS BIGINT) AS rejected, CASE WHEN attempt = 'loaded' THEN n ELSE 0 END AS inserted,
+               CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS skipped, CAST(0 AS BIGINT) AS conflicted, CASE WHEN attempt <> 'miscounted' THEN n ELSE 0 END AS final_count
+        FROM (VALUES ('miscounted'), ('loaded')) AS a(attempt), (
+            WITH o AS (SELECT * FROM t_orders WHERE (fulfilled_at IS NULL OR fulfilled_at >= ordered_at)
+                                                AND source_warehouse_id IN (SELECT source_warehouse_id FROM t_warehouses)),
+                 po AS (SELECT * FROM t_purchase_orders WHERE source_supplier_id IN (SELECT source_supplier_id FROM t_suppliers)),
+                 p AS (SELECT source_product_id FROM t_products), w AS (SELECT source_warehouse_id FROM t_warehouses)
+            SELECT 'oms/products.csv' AS artifact, count(*) AS n FROM t_products
+            UNION ALL SELECT 'wms/warehouses.csv', count(*) FROM t_warehouses
+            UNION ALL SELECT 'erp/suppliers.csv', count(*) FROM t_suppliers
+            UNION ALL SELECT 'oms/orders.csv', count(*) FROM o
+            UNION ALL SELECT 'oms/order_items.csv', count(*) FROM (SELECT source_order_id, any_value(source_product_id) AS product FROM t_items
+                             GROUP BY source_order_id, line_number HAVING count(*) = 1)
+                      WHERE source_order_id IN (SELECT source_order_id FROM o) AND product IN (FROM p)
+            UNION ALL SELECT 'wms/inventory.csv', count(*) FROM t_inventory WHERE reserved <= on_hand AND source_product_id IN (FROM p) AND source_warehouse_id IN (FROM w)
+            UNION ALL SELECT 'wms/inventory_movements.csv', count(*) FROM (SELECT any_value(source_product_id) AS product, any_value(source_warehouse_id) AS place
+                             FROM t_movements GROUP BY source_movement_id HAVING count(*) = 1) WHERE product IN (FROM p) AND place IN (FROM w)
+            UNION ALL SELECT 'erp/purchase_orders.csv', count(*) FROM po
+            UNION ALL SELECT 'erp/purchase_order_items.csv', count(*) FROM (SELECT any_value(source_product_id) AS product, any_value(source_purchase_order_id) AS parent
+                             FROM t_purchase_order_items GROUP BY source_purchase_order_item_id HAVING count(*) = 1)
+                      WHERE product IN (FROM p) AND parent IN (SELECT source_purchase_order_id FROM po)
+            UNION ALL SELECT 'carrier/shipments.csv', count(*) FROM t_shipments
+                      WHERE (delivered_at IS NULL OR delivered_at >= shipped_at) AND source_order_id IN (SELECT source_order_id FROM o)) AS c""",
     "constraint_audit_state": """
         SELECT * FROM (WITH s AS (SELECT *, substr(deduplication_key, 1, 1) AS digit FROM first_state)
         SELECT 'exceptions' AS table_name, 'CHECK' AS kind, 'orders_affected >= 0' AS violated, id AS row_key, CAST(1 AS BIGINT) AS rows FROM s WHERE digit = '1'

@@ -23,7 +23,7 @@ from tidewatch.operators import (
     validate,
     versions,
 )
-from tidewatch.plans import exports, feeds, intake, runs, starmap
+from tidewatch.plans import exports, feeds, intake, loads, runs, starmap
 from tidewatch.schema import BY_TABLE
 from tidewatch.settings import RuleSettings, configure, cut_lineage
 
@@ -433,6 +433,12 @@ def inventory_after_load(spark: SparkSession, folder: str) -> DataFrame:
     return after.selectExpr("source_product_id", "source_warehouse_id", "on_hand", f"{iso_z('observed_at')} AS observed_at")
 
 
+@query
+def ingest_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """What loads of a whole bundle count: refused for a wrong manifest, and loaded."""
+    return loads.counted_loads(spark, folder)
+
+
 @query
 def constraint_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Violations in all ten tables; the line keys of the source clash."""

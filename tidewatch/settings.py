@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from decimal import Decimal
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+Item = TypeVar("Item")
+Result = TypeVar("Result")
+
+
 def utc_instant(value: datetime | str) -> datetime:
     """Return an aware UTC instant; an instant without an offset is refused."""
     if isinstance(value, str):
@@ -79,6 +86,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def side_by_side(work: Callable[[Item], Result], items: Iterable[Item]) -> list[Result]:
+    """Results of independent pieces of work whose Spark jobs run at the same time, in the order of the items."""
+    items = list(items)
+    with ThreadPoolExecutor(max_workers=min(len(items), 8) or 1) as pool:
+        return list(pool.map(work, items))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as `spark.checkpoint.dir` or `setCheckpointDir` names it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
