@@ -112,7 +112,8 @@ FINALS = {
                     ELSE 'WAREHOUSE_VALIDATED' END AS warehouse_capability,
                total_amount IS NOT NULL AND currency IS NOT NULL AS financial, ordered_at IS NOT NULL AND promised_at IS NOT NULL AS timing,
                source_facts, source_row_hash, digest AS replay_digest,
-               CASE WHEN len(invalid) = 0 AND source_warehouse_id = 'W404' THEN 'CONTEXT_INCOMPLETE' ELSE assessment END AS assessment
+               CASE WHEN len(invalid) = 0 AND source_warehouse_id = 'W404' THEN 'CONTEXT_INCOMPLETE' ELSE assessment END AS assessment,
+               assessment = 'NORMALIZED' AND source_warehouse_id IS DISTINCT FROM 'W404' AS promotion_eligible
         FROM rated""",
     "observation_stage": """
         SELECT digest AS observation_id, sequence, source_row_hash, assessment AS status, total_amount,

@@ -42,7 +42,7 @@ def test_hashes_equal_the_canonical_json(spark):
     replay = json.dumps(["shop", "O1", None, digest], separators=(",", ":"))
     assert row["source_facts"] == text and row["source_row_hash"] == digest
     assert row["replay_digest"] == hashlib.sha256(replay.encode()).hexdigest()
-    assert (row["assessment"], row["warehouse_capability"]) == ("NORMALIZED", "WAREHOUSE_OBSERVED")
+    assert (row["assessment"], row["warehouse_capability"], row["promotion_eligible"]) == ("NORMALIZED", "WAREHOUSE_OBSERVED", True)
 
 
 def test_replay_identity_is_structured(spark):
@@ -76,7 +76,7 @@ def test_reasons(spark):
     assert rows[9]["context_reasons"] == ["MISSING_CURRENCY", "AMOUNT_WITHOUT_CURRENCY"]
     assert rows[10]["context_reasons"] == ["UNKNOWN_WAREHOUSE"] and rows[10]["warehouse_capability"] == "WAREHOUSE_UNKNOWN"
     assert rows[11]["context_reasons"] == ["MISSING_TOTAL_AMOUNT", "MISSING_REGION", "MISSING_PROMISED_AT"]
-    assert rows[0]["warehouse_capability"] == "WAREHOUSE_VALIDATED"
+    assert rows[0]["warehouse_capability"] == "WAREHOUSE_VALIDATED" and not any(r["promotion_eligible"] for r in rows)
 
 
 def test_staging_is_replay_safe(spark):

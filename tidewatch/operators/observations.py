@@ -187,6 +187,7 @@ def assess(raw: DataFrame, known_warehouses: DataFrame | None = None) -> DataFra
         )
         .selectExpr(
             "*",
+            "assessment = 'NORMALIZED' AS promotion_eligible",
             # A missing version stays null inside the array: it is not an empty version.
             f"{sha256('to_json(array(source_namespace, source_order_id, source_version, source_row_hash))')} AS replay_digest",
         )

@@ -497,6 +497,7 @@ def observation_assess(spark: SparkSession, folder: str) -> DataFrame:
         f"{plain_decimal_text('total_amount')} AS total_amount", "currency",
         "array_join(invalid_reasons, ',') AS invalid_reasons", "array_join(context_reasons, ',') AS context_reasons",
         "warehouse_capability", "financial", "timing", "source_facts", "source_row_hash", "replay_digest", "assessment",
+        "promotion_eligible",
     )
 
 
