@@ -393,6 +393,24 @@ def test_host_boilerplate_matches_brute_force(spark):
     assert pages.extract(table.limit(0)).count() == 0
 
 
+def test_every_page_shows_what_its_host_repeats(spark):
+    """Zones of pages with an article tell the boilerplate of pages without one; articles stay whole; teasers are not all."""
+    note, story, quoted = prose(11, 15), prose(12, 30), prose(13, 25)
+    rows = [(i, f"http://h.example/{i}", f"<nav>Go {i}</nav><article><p>{quoted}</p><p>{prose(200 + i, 9)}</p></article><footer>{note}</footer>") for i in range(3)]
+    rows.append((3, "http://h.example/3", f"<p>{note}</p><p>{story} {' '.join(note.split()[2:14])}</p>"))
+    rows.append((4, "http://h.example/4", f'<article class="teaser">Teaser</article><div id="story"><p>{story}</p></div><p>{note}</p>'))
+    rows.append((5, "http://other.example/5", f"<p>{note}</p>"))
+    rows.append((6, "http://h.example/6", f'<main><div class="search-results"><p>{quoted}</p></div></main><div>Posted</div>'))
+    rows.append((7, "http://h.example/7", f"<article><p>{note}</p></article>"))
+    table = spark.createDataFrame([(*r, "x") for r in rows] + [(None, None, None, None), (0, *rows[0][1:], "x")], "page_id long, url string, html string, host string")
+    got = defaultdict(list)
+    for r in pages.extract(table).collect():
+        got[r["page_id"]].append(r["text"])
+    assert [got[i] for i in range(3)] == [[f"{quoted}\n\n{prose(200 + i, 9)}"] * (2 if i == 0 else 1) for i in range(3)]
+    assert got[3] == [story] and got[4] == [f"Teaser\n\n{story}"] and got[5] == got[7] == [note] and got[6] == [quoted] and got[None] == [""]
+    assert pages.streams('<nav><p>a<script>x="</nav>"</script></p>b</nav>c')[-1] == ("c", "open")
+
+
 # Licenses -------------------------------------------------------------------------
 
 
