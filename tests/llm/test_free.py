@@ -246,6 +246,52 @@ def test_restores_disguised_words(spark):
         assert plain in toxicity.words_of(f"and {disguised}, then", model, {})
 
 
+def readings(token, edge):
+    """All readings of a token with the cost of its channel."""
+    found, last = [("", 0.0)], ""
+    for c in token:
+        if c.isalpha():
+            step = [(c, 0.0)] + ([("", -0.5)] if c == last else [])
+        elif c in toxicity.LEET:
+            step = [(x, -0.7) for x in toxicity.LEET[c]] + [("", -1.5)]
+        else:
+            step = [("", 0.0)] + ([(" ", edge)] if edge is not None else [])
+        found = [(word + x, cost + y) for word, cost in found for x, y in step if x != " " or word[-1:] not in ("", " ")]
+        last = c
+    return found
+
+
+def letters_score(word, model):
+    a = b = toxicity.EDGE
+    total = 0.0
+    for c in word if word.endswith(" ") or not word else word + " ":
+        n = toxicity.EDGE if c == " " else toxicity.LETTERS.index(c)
+        total, a, b = total + model[a, b, n], b, n
+    return total
+
+
+@pytest.mark.parametrize("edge", [None, -1.0, 0.0])
+def test_restoring_finds_the_best_of_all_readings(spark, edge):
+    model = toxicity.language_model(toxicity.char_counts(documents(spark, ["the stupid idiot and the other moron are scum"] * 9 + [prose(i, 50) for i in range(9)])))
+    for token in ("1d10t", "1-d.10t", "s.t.u.p.i.d", "a--b", "-", "ssttuu", "3e3e", "t h e m o r o n", "@nd.the"):
+        best = defaultdict(lambda: -np.inf)
+        for word, cost in readings(token, edge):
+            best[word.strip()] = max(best[word.strip()], cost + letters_score(word, model))
+        got = toxicity.restore(token, model, edge)
+        assert best[got] == pytest.approx(max(best.values()))
+
+
+def test_long_runs_are_cut_into_words(spark):
+    texts = ["the stupid idiot and the other moron are scum, said a stupid clown of moron and idiot"] * 30
+    model = toxicity.language_model(toxicity.char_counts(documents(spark, texts)))
+    plain = " ".join(texts[:40])
+    words = {w for w in plain.replace(",", "").split() if len(w) > 2}
+    for sign in " .-_":
+        found = toxicity.words_of(sign.join(plain.replace(" ", "").replace(",", "")), model, {})
+        assert len(words & found) >= 0.7 * len(words) and {"stupid", "idiot", "moron"} <= found
+    assert toxicity.restore("1d10t" * 40, model) == "idiot" * 40
+
+
 def test_scores_every_document(spark):
     docs = documents(spark, SHORT, extra=CLASHING)
     labels = spark.createDataFrame([(i, 1, i % 2) for i in range(6)], "doc_id long, quality int, toxic int")
