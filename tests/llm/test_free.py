@@ -486,6 +486,48 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0)).count() == 0 and licenses.scan(docs, ()).count() == 0
 
 
+def test_edited_licenses():
+    """Words put in, short notices with a word changed, and notices without any one cue are found; others are not."""
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.Scan())
+    found = lambda text: [f[0] for f in scanner.find(text)]
+    mit = licenses.TEMPLATES[0][1]
+    words = mit.split()
+    for extra in (100, 140, 400, 3000):
+        wide = " ".join([*words[:80], prose(extra, extra), *words[80:]])
+        assert found(wide) == ["MIT"]
+        assert found(f"{wide} {prose(7, 500)} {wide}") == ["MIT", "MIT"]
+    assert found(f"{' '.join(words[:80])} Released under the BSD License. {prose(6, 900)} {' '.join(words[80:])}") == ["BSD", "MIT"]
+    for text, name in (
+        ("Released under an MIT License.", "MIT"), ("Distributed under the MIT License.", "MIT"), ("Code licensed under the BSD License", "BSD"),
+        ("This is licensed under a GNU General Public License, version 3", "GPL-3.0"), ("Licensed under an Apache License, version 2.0", "Apache-2.0"),
+    ):
+        assert found(f"{prose(8, 90)} {text} {prose(9, 90)}") == [name]
+    for text in ("Released under the Foo License.", "Licensed under the Apache License, Version 1.1.", "mit der Lizenz under the", "This work is licensed under a license.", "MIT"):
+        assert found(text) == []
+    for name, template in licenses.TEMPLATES:
+        own = licenses.WORDS.findall(template.lower())
+        if len(own) >= licenses.Scan().short:
+            cues = scanner.cues[licenses.TEMPLATES.index((name, template))]
+            assert sum(w not in cues for w in own) < licenses.Scan().least * len(own)
+
+
+def brute_rise(pairs):
+    """The length of the longest run that rises in both, by all earlier ends."""
+    best = []
+    for k, (_, j) in enumerate(pairs):
+        best.append(1 + max((best[m] for m in range(k) if pairs[m][1] < j), default=0))
+    return max(best, default=0)
+
+
+def test_anchors_are_the_longest_rise():
+    draw = random.Random(5)
+    for _ in range(200):
+        a, b = (draw.sample("abcdefghijklmnop", draw.randrange(14)) + ["x", "x"][: draw.randrange(3)] for _ in range(2))
+        once = [(i, b.index(w)) for i, w in enumerate(a) if a.count(w) == 1 == b.count(w)]
+        anchors = licenses.unique_anchors(a, b)
+        assert set(anchors) <= set(once) and len(anchors) == brute_rise(once) == brute_rise(anchors)
+
+
 def test_patience_is_an_alignment():
     draw = random.Random(2)
     for _ in range(100):

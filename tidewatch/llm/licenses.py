@@ -1,8 +1,7 @@
 """License scans by patience alignment.
 
 A text is cut into windows, each overlapping the next by the template's length, wherever there are words
-that give a template away. In a window, words
-that are unique both to the window and to a template are anchors; the longest increasing subsequence of
+that give a template away; where these find nothing, into wider ones, up to the whole text. In a window, words that are unique both to the window and to a template are anchors; the longest increasing subsequence of
 their places is kept, and the gaps between anchors are aligned in the same way. The share of a template's
 words that are aligned is its coverage.
 """
@@ -82,12 +81,14 @@ TEMPLATES = (
 
 @dataclass(frozen=True)
 class Scan:
-    """`least` coverage of a template of at least `short` words; a shorter one must be covered whole, in a
-    stretch of as many words and one more. A window is half as long again as its template, and `slack` words.
+    """`least` coverage of a template. One of less than `short` words must be covered by `least_short`, its telling
+    words and numbers included, in a stretch of as many words and two more. The first windows are half as long
+    again as their template, and `slack` words; they double until they hold the text.
     """
 
     least: float = 0.7
     short: int = 16
+    least_short: float = 0.75
     slack: int = 8
 
 
@@ -140,32 +141,47 @@ def patience(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 
 
 class Scanner:
-    """Templates as words, and for each the words that give it away: those of the fewest templates."""
+    """Templates as words, and for each the words that give it away: those of the fewest licenses.
+
+    A stretch that covers a template as wanted has one of its cues: the places of all other words are too few.
+    """
 
     def __init__(self, templates: tuple[tuple[str, str], ...], scan: Scan) -> None:
         self.scan = scan
         self.templates = [(name, WORDS.findall(text.lower())) for name, text in templates]
-        self.cues = set()
-        spread = Counter(w for _, words in self.templates for w in set(words) if len(w) > 2)
-        for _, words in self.templates:
-            own = sorted((w for w in set(words) if len(w) > 2 or len(words) < scan.short), key=lambda w: (w in _COMMON, spread[w], w))
-            self.cues.update(own[: max(1, round(len(own) * (1 - scan.least)) + 1)])
+        self.templates = [(name, words) for name, words in self.templates if words]
+        licenses: dict[str, set[str]] = {}
+        for name, words in self.templates:
+            for w in words:
+                licenses.setdefault(w, set()).add(name)
+        self.cues = [self._cues(words, licenses) for _, words in self.templates]
+        self.any = set().union(*self.cues)
+
+    def _cues(self, words: list[str], licenses: dict[str, set[str]]) -> set[str]:
+        order = sorted(set(words), key=lambda w: (w in _COMMON, len(licenses[w]), w))
+        if len(words) < self.scan.short:
+            return {w for w in order if (w in _COMMON, len(licenses[w])) == (order[0] in _COMMON, len(licenses[order[0]]))}
+        count, left, cues = Counter(words), len(words), set()
+        while left >= self.scan.least * len(words):
+            cues.add(order[len(cues)])
+            left -= count[order[len(cues) - 1]]
+        return cues
 
     def find(self, text: str) -> list[tuple[str, float, int, int]]:
         """(license, coverage, start, end) in words: the best template of a license at a place, and of licenses
         of which one's stretch lies inside another's, the one with more words aligned."""
         words = WORDS.findall(text.lower())
-        if self.cues.isdisjoint(words):
+        if self.any.isdisjoint(words):
             return []
-        at = [i for i, w in enumerate(words) if w in self.cues]
-        found = []
-        for name, template in self.templates:
-            own, step = set(template), max(len(template) // 2, 1)
-            length, done = len(template) + step + self.scan.slack, -1
-            for i in (i for i in at if words[i] in own):
-                for start in range(max((i - length) // step + 1, done + 1, 0), i // step + 1):
-                    done = start
-                    found += self._window(name, template, words, start * step, min(start * step + length, len(words)))
+        at = [i for i, w in enumerate(words) if w in self.any]
+        counts, found = Counter(words), []
+        for (name, template), cues in zip(self.templates, self.cues):
+            if sum(min(n, counts[w]) for w, n in Counter(template).items()) < min(self.scan.least, self.scan.least_short) * len(template):
+                continue
+            places = [i for i in at if words[i] in cues]
+            if places:
+                look = self._short if len(template) < self.scan.short else self._long
+                found += look(name, template, cues, words, places)
         found.sort(key=lambda f: (f[0], f[2], -f[1]))
         out: list[tuple[str, float, int, int, int]] = []
         for f in found:
@@ -174,28 +190,50 @@ class Scanner:
                     out[-1] = f
             else:
                 out.append(f)
-        inner = lambda f: any(g[2] <= f[2] and f[3] <= g[3] and g[4] > f[4] for g in out if g[0] != f[0])
+        dense = [g for g in out if g[3] - g[2] <= 3 * g[4]]
+        inner = lambda f: any(g[2] <= f[2] and f[3] <= g[3] and g[4] > f[4] for g in dense if g[0] != f[0])
         return [f[:4] for f in out if not inner(f)]
 
-    def _window(self, name: str, template: list[str], words: list[str], start: int, end: int) -> list[tuple[str, float, int, int, int]]:
-        """Alignments of a template in a window; a short template is tried wherever its first word stands."""
-        scan, size, own = self.scan, len(template), set(template)
-        window = words[start:end]
-        hits = [w in own for w in window]
-        if sum(hits) < scan.least * size:
-            return []
-        if size < scan.short:
-            pieces = [(i, i + size + 1) for i, hit in enumerate(hits) if hit and window[i] == template[0]]
-        else:
-            pieces = [(0, len(window))]
+    def _long(self, name: str, template: list[str], cues: set[str], words: list[str], places: list[int]) -> list[tuple[str, float, int, int, int]]:
+        """Alignments in windows around cues. What windows of one width leave is gone over by wider ones, up to
+        the whole text, so words put into a notice do not hide it, however many."""
+        size = len(template)
+        wanted = Counter(template)
+        width, found = size + max(size // 2, 1) + self.scan.slack, []
+        while True:
+            step, done, new = max(width // 3, 1), -1, []
+            for i in places:
+                for start in range(max((i - width) // step + 1, done + 1, 0), i // step + 1):
+                    done = start
+                    first, last = start * step, min(start * step + width, len(words))
+                    window = words[first:last]
+                    if sum((wanted & Counter(w for w in window if w in wanted)).values()) < self.scan.least * size:
+                        continue
+                    pairs = patience(window, template)
+                    if len(pairs) >= self.scan.least * size:
+                        new.append((name, len(pairs) / size, first + pairs[0][0], first + pairs[-1][0] + 1, len(pairs)))
+            found += [f for f in new if not any(f[2] < g[3] and g[2] < f[3] for g in found)]
+            if width >= len(words):
+                return found
+            width *= 2
+            places = [i for i in places if not any(f[2] <= i < f[3] for f in found)]
+
+    def _short(self, name: str, template: list[str], cues: set[str], words: list[str], places: list[int]) -> list[tuple[str, float, int, int, int]]:
+        """Alignments of a short template around its first cue that hold all its cues and numbers."""
+        scan, size = self.scan, len(template)
+        needed = {j for j, w in enumerate(template) if w in cues or w.isdigit()}
+        k = min(j for j, w in enumerate(template) if w in cues)
         out = []
-        for a, b in pieces:
-            pairs = patience(window[a:b], template)
-            coverage = len(pairs) / size
-            if not pairs or coverage < (1 if size < scan.short else scan.least):
+        for i in places:
+            if words[i] != template[k]:
+                continue
+            first = max(i - k - 1, 0)
+            window = words[first : i - k + size + 1]
+            if not needed <= {j for j, w in enumerate(template) if w in window}:
                 continue
-            first, last = a + pairs[0][0], a + pairs[-1][0] + 1
-            out.append((name, coverage, start + first, start + last, len(pairs)))
+            pairs = patience(window, template)
+            if len(pairs) >= scan.least_short * size and needed <= {j for _, j in pairs}:
+                out.append((name, len(pairs) / size, first + pairs[0][0], first + pairs[-1][0] + 1, len(pairs)))
         return out
 
 
