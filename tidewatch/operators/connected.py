@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.settings import cut_lineage
+from tidewatch.settings import parked
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -15,14 +15,14 @@ def connected(edges: DataFrame) -> DataFrame:
     label has come about doubles. Every step is an aggregation or a join on the node, so a hub costs
     partial minima and a split join, no group.
     """
-    both = cut_lineage(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
-    labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("root")))
+    both = parked(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
+    labels = parked(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("root")))
     while True:
         seen = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         spread = labels.join(seen, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
         # The label's label: roots are nodes themselves.
         own = spread.select(F.col("node").alias("root"), F.col("root").alias("further"))
-        labels = cut_lineage(spread.join(own, "root").select("node", "old", F.least("root", "further").alias("root")))
+        labels = parked(spread.join(own, "root").select("node", "old", F.least("root", "further").alias("root")))
         if labels.where("root <> old").isEmpty():
             return labels.select("node", "root")
         labels = labels.drop("old")
