@@ -457,6 +457,22 @@ def test_every_page_shows_what_its_host_repeats(spark):
     assert pages.streams('<nav><p>a<script>x="</nav>"</script></p>b</nav>c')[-1] == ("c", "open")
 
 
+def test_articles_are_weighed_by_what_their_host_repeats(spark, monkeypatch):
+    """All pages go through the names of their host: a notice marked up as an article does not hide the open story."""
+    seen = []
+    lookup = pages.bit_map
+    monkeypatch.setattr(pages, "bit_map", lambda grams: seen.append(grams.count()) or lookup(grams))
+    note, story, other = prose(21, 40), prose(22, 25), prose(23, 60)
+    rows = [(i, f"http://n.example/{i}", f"<article><p>{prose(300 + i, 12)}</p></article><footer>{note}</footer>") for i in range(3)]
+    rows.append((3, "http://n.example/3", f"<article><p>{note}</p></article><div><p>{story}</p></div>"))
+    rows.append((4, "http://n.example/4", f"<article><p>{other} {note}</p></article><div><p>{story}</p></div>"))
+    rows.append((5, "http://m.example/5", f"<article><p>{note}</p></article><div><p>{story}</p></div>"))
+    only = spark.createDataFrame(rows[:3], "page_id long, url string, html string")
+    assert {r["text"] for r in pages.extract(only).collect()} == {prose(300 + i, 12) for i in range(3)} and seen == [34]
+    got = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, only.schema)).collect()}
+    assert got[3] == f"{note}\n\n{story}" and got[4] == f"{other} {note}" and got[5] == note
+
+
 # Licenses -------------------------------------------------------------------------
 
 

@@ -5,9 +5,10 @@ comments), what an article or main element holds, and open blocks of unknown kin
 show with the open blocks what a host repeats: the streams outside articles of every page form a suffix
 array for each host. Every place's suffix is named by its first `least` tokens, by doubling (names of
 1, 2, 4, ... tokens are combined from pairs), and equal names meet in one aggregation by host and name,
-combined in the tasks first, so a large host is spread by its names. Tokens of open blocks covered by a run
-that `pages` distinct pages share are removed; unique runs stay. What an article holds stays whole, also
-where other pages quote or copy it.
+combined in the tasks first, so a large host is spread by its names. Every page's articles and open blocks
+are then looked up among the runs that `pages` distinct pages share: tokens of open blocks covered by one are
+removed, unique runs stay. What an article holds stays whole, also where other pages quote or copy it, but
+covered tokens do not count when an article is told from a teaser.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.settings import cut_lineage
+from tidewatch.llm.leaks import bit_map, probes
+from tidewatch.settings import parked
 
 # Elements that are no text, elements that begin a block, and words of class names, ids and
 # roles that mark a zone as no part of the article.
@@ -146,9 +148,14 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
+@functools.lru_cache(maxsize=1 << 17)
+def _token_name(token: str) -> int:
+    return xxhash.xxh64_intdigest(token.encode())
+
+
 def names(tokens: list[str], least: int) -> np.ndarray:
     """A hash of the next `least` tokens for every place that has as many, by doubling."""
-    name = np.array([xxhash.xxh64_intdigest(t.encode()) for t in tokens], np.uint64)
+    name = np.array([_token_name(t) for t in tokens], np.uint64)
     width = 1
     while width < least and len(name) > width:
         name = (name[:-width] * np.uint64(0x9E3779B97F4A7C15)) ^ (name[width:] + np.uint64(width))
@@ -157,107 +164,113 @@ def names(tokens: list[str], least: int) -> np.ndarray:
     return name if width >= least else np.zeros(0, np.uint64)
 
 
-def suffixes(found: list[tuple[str, bool]], least: int) -> dict[int, list[tuple[int, int]]]:
-    """Name -> the token runs it stands for, in the blocks no article holds: long runs and whole blocks."""
-    places: dict[int, list[tuple[int, int]]] = {}
-    at = 0
-    for text, own in found:
-        tokens = text.split(" ")
-        if not own:
-            for i, name in enumerate(names(tokens, least).tolist()):
-                places.setdefault(name, []).append((at + i, at + i + least))
-            whole = xxhash.xxh64_intdigest(text.encode(), seed=1)
-            places.setdefault(whole, []).append((at, at + len(tokens)))
-        at += len(tokens)
-    return places
-
-
-def without(found: list[tuple[str, bool]], names_gone: set[int], least: int) -> list[tuple[str, bool]]:
-    """The blocks without the tokens that the repeated runs cover."""
-    size = sum(len(text.split(" ")) for text, _ in found)
-    gone = np.zeros(size + 1, np.int64)
-    for name, runs in suffixes(found, least).items():
-        if name in names_gone:
-            for a, b in runs:
-                gone[a] += 1
-                gone[b] -= 1
-    covered = np.cumsum(gone)[:-1] > 0
-    out, at = [], 0
-    for text, own in found:
-        tokens = text.split(" ")
-        kept = [t for t, c in zip(tokens, covered[at : at + len(tokens)]) if not c]
-        at += len(tokens)
-        if kept:
-            out.append((" ".join(kept), own))
-    return out
+def suffixes(texts: list[str], host: str, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names, and first and one past the last token of what each stands for: long runs in a block, and whole blocks."""
+    split = [text.split(" ") for text in texts]
+    ends = np.cumsum([len(tokens) for tokens in split], dtype=np.int64)
+    runs = names([token for tokens in split for token in tokens], least)
+    at = np.arange(len(runs))
+    if len(runs):
+        at = at[at + least <= np.repeat(ends, np.diff(ends, prepend=0))[: len(runs)]]
+    wholes = np.array([xxhash.xxh64_intdigest(text.encode(), seed=1) for text in texts], np.uint64)
+    salt = np.uint64(xxhash.xxh64_intdigest(host.encode(), seed=2))
+    starts = np.concatenate([at, ends - np.diff(ends, prepend=0)])
+    return np.concatenate([runs[at], wholes]) ^ salt, starts, np.concatenate([at + least, ends])
 
 
-def main_text(found: list[tuple[str, bool]]) -> str:
-    """The articles' blocks, if they hold at least as many tokens as the open blocks left; else all of them."""
-    size = [sum(text.count(" ") + 1 for text, own in found if own == held) for held in (False, True)]
-    return "\n\n".join(text for text, own in found if own or size[1] < size[0])
+def weighed(found: list[tuple[str, str]], host: str, gone: np.ndarray, least: int) -> str:
+    """The page's text by its blocks and the names of the runs that its host repeats outside articles.
+
+    Open blocks lose the tokens such runs cover. An article keeps all of its tokens, but only those that no run
+    covers count for it: if they are fewer than the open tokens left, it is taken for a teaser, and the text is
+    both, in page order; else it is the article.
+    """
+    inner = [(text, kind) for text, kind in found if kind != ZONE]
+    edges = np.zeros(sum(text.count(" ") + 1 for text, _ in inner) + 1, np.int64)
+    if len(gone):
+        own, begins, ends = suffixes([text for text, _ in inner], host, least)
+        hit = np.isin(own, gone)
+        np.add.at(edges, begins[hit], 1)
+        np.add.at(edges, ends[hit], -1)
+    covered = np.cumsum(edges)[:-1] > 0
+    size, left, at = {ARTICLE: 0, OPEN: 0}, [], 0
+    for text, kind in inner:
+        tokens = text.split(" ")
+        kept = [t for t, c in zip(tokens, covered[at : at + len(tokens)].tolist()) if not c]
+        at += len(tokens)
+        size[kind] += len(kept)
+        left.append((text if kind == ARTICLE else " ".join(kept), kind))
+    return "\n\n".join(text for text, kind in left if text and (kind == ARTICLE or size[ARTICLE] < size[OPEN]))
 
 
 def extract(pages: DataFrame, repeats: Repeats = Repeats()) -> DataFrame:
     """page_id, url and text of every page: its blocks joined by two line feeds.
 
     A null or empty page has no text; equal pages are distinct if their ids or URLs differ, and repeated
-    rows all stay. The streams outside articles of all pages are named and compared. A page without open
-    blocks has its articles as text, whatever is repeated, so only pages with open blocks are joined with
-    the runs their host repeats. If an article holds fewer tokens than the open blocks keep (a teaser), the
-    text is both, in page order.
+    rows all stay. Every page goes the same way: the streams outside articles are named and counted by host; then
+    the names of all its open blocks and articles are joined with those that the host repeats, and `weighed`
+    decides. A bit map of the repeated names, of fixed size, keeps names that no host repeats out of the join.
     """
-    pages = pages.select("page_id", "url", "html")
+    read = "page_id long, url string, host string, texts array<string>, kinds array<string>, row binary"
 
-    def clear(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parse(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.binary())
         for part in parts:
             rows = []
-            for page, url, source in zip(*(part.column(i) for i in range(3))):
-                found = blocks(source.as_py())
-                if all(own for _, own in found):
-                    rows.append((page.as_py(), url.as_py(), "\n\n".join(text for text, _ in found)))
+            for page, url, source in zip(*(part.column(i).to_pylist() for i in range(3))):
+                found = streams(source)
+                row = xxhash.xxh3_128_digest(repr((page, url, source)).encode())
+                rows.append((page, url, host_of(url), [text for text, _ in found], [kind for _, kind in found], row))
             if rows:
-                yield pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows), (pa.int64(), pa.string(), pa.string()))], ["page_id", "url", "text"])
+                yield pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["page_id", "url", "host", "texts", "kinds", "row"])
+
+    kept = parked(pages.select("page_id", "url", "html").mapInArrow(parse, read))
 
     def outside(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Streams outside articles of every page; with the articles where there are open blocks."""
-        texts = pa.list_(pa.string())
+        """host and name of every run outside articles, once a page."""
+        for part in parts:
+            for host, texts in zip(*(part.column(i).to_pylist() for i in range(2))):
+                own = np.unique(suffixes(texts, host, repeats.least)[0]).view(np.int64)
+                yield pa.record_batch([pa.array([host] * len(own), pa.string()), pa.array(own)], ["host", "name"])
+
+    shown = "transform(filter(arrays_zip(texts, kinds), b -> b.kinds <> '%s'), b -> b.texts) AS texts" % ARTICLE
+    named = kept.selectExpr("host", shown, "md5(to_json(struct(page_id, url))) AS key").where("size(texts) > 0").dropDuplicates(["key"])
+    counted = named.select("host", "texts").mapInArrow(outside, "host string, name long").groupBy("host", "name").agg(F.count("*").alias("n"))
+    common = parked(counted.where(F.col("n") >= repeats.pages).select("host", "name"))
+    shared = pages.sparkSession.sparkContext.broadcast(bit_map(common.select(F.col("name").alias("gram"))))
+
+    def look_up(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Open blocks and articles of every page, with the names the bit map lets through."""
+        marked = np.frombuffer(shared.value, np.uint8)
         for part in parts:
             rows = []
-            for page, url, source in zip(*(part.column(i) for i in range(3))):
-                found = streams(source.as_py())
-                unsure = any(kind == OPEN for _, kind in found)
-                found = [(text, kind) for text, kind in found if unsure or kind != ARTICLE]
-                if found:
-                    rows.append((page.as_py(), url.as_py(), host_of(url.as_py()), *map(list, zip(*found))))
+            for host, texts, kinds in zip(*(part.column(name).to_pylist() for name in ("host", "texts", "kinds"))):
+                inner = [i for i, kind in enumerate(kinds) if kind != ZONE]
+                texts = [texts[i] for i in inner]
+                own = np.unique(suffixes(texts, host, repeats.least)[0])
+                hit = np.ones(len(own), bool)
+                for p in probes(own):
+                    hit &= (marked[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                rows.append((texts, [kinds[i] for i in inner], own[hit].view(np.int64)))
             if rows:
-                kinds = (pa.int64(), pa.string(), pa.string(), texts, texts)
-                yield pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["page_id", "url", "host", "texts", "kinds"])
+                types = (pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64()))
+                found = [pa.array(x, k) for x, k in zip(zip(*rows), types)]
+                kept_as = [part.column(name) for name in ("page_id", "url", "host", "row")]
+                yield pa.record_batch([*kept_as, *found], ["page_id", "url", "host", "row", "texts", "kinds", "hits"])
 
-    kept = pages.mapInArrow(outside, "page_id long, url string, host string, texts array<string>, kinds array<string>")
-    kept = cut_lineage(kept.withColumn("key", F.expr("md5(to_json(struct(page_id, url)))")))
+    looked = kept.mapInArrow(look_up, "page_id long, url string, host string, row binary, texts array<string>, kinds array<string>, hits array<long>")
+    asked = looked.select("row", "host", F.explode("hits").alias("name"))
+    covered = asked.join(common, ["host", "name"]).groupBy("row").agg(F.collect_set("name").alias("names"))
 
-    def name_pages(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for key, host, texts, kinds in zip(*(part.column(i).to_pylist() for i in range(4))):
-                found = list(zip(texts, kinds))
-                unsure = suffixes([(text, kind != OPEN) for text, kind in found], repeats.least)
-                own = list(unsure | suffixes([(text, kind != ZONE) for text, kind in found], repeats.least))
-                columns = [pa.array([host] * len(own), pa.string()), pa.array(np.array(own, np.uint64).view(np.int64)), pa.array([key] * len(own), pa.string()), pa.array([n in unsure for n in own], pa.bool_())]
-                yield pa.record_batch(columns, ["host", "name", "key", "unsure"])
-
-    named = kept.dropDuplicates(["key"]).select("key", "host", "texts", "kinds").mapInArrow(name_pages, "host string, name long, key string, unsure boolean")
-    common = named.groupBy("host", "name").agg(F.count("*").alias("n")).where(F.col("n") >= repeats.pages)
-    covered = named.where("unsure").join(common, ["host", "name"]).groupBy("key").agg(F.collect_set("name").alias("names"))
-
-    def strip(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def weigh(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             done = []
-            for texts, kinds, gone in zip(*(part.column(i).to_pylist() for i in (2, 3, 4))):
-                own = set(np.array(gone or [], np.int64).view(np.uint64).tolist())
-                found = [(text, kind == ARTICLE) for text, kind in zip(texts, kinds) if kind != ZONE]
-                done.append(main_text(without(found, own, repeats.least)))
+            for host, texts, kinds, gone in zip(*(part.column(i).to_pylist() for i in range(2, 6))):
+                own = np.array(gone or [], np.int64).view(np.uint64)
+                done.append(weighed(list(zip(texts, kinds)), host, own, repeats.least))
             yield pa.record_batch([part.column(0), part.column(1), pa.array(done, pa.string())], ["page_id", "url", "text"])
 
-    unsure = kept.where(F.array_contains("kinds", OPEN)).join(covered, "key", "left").select("page_id", "url", "texts", "kinds", "names")
-    return pages.mapInArrow(clear, "page_id long, url string, text string").unionByName(unsure.mapInArrow(strip, "page_id long, url string, text string"))
+    shape = ("page_id", "url", "host", "texts", "kinds", "names")
+    met = looked.where("size(hits) > 0").drop("hits").join(covered, "row", "left").select(*shape)
+    unmet = looked.where("size(hits) = 0").withColumn("names", F.expr("CAST(NULL AS ARRAY<BIGINT>)")).select(*shape)
+    return met.unionByName(unmet).mapInArrow(weigh, "page_id long, url string, text string")
