@@ -148,14 +148,9 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-@functools.lru_cache(maxsize=1 << 17)
-def _token_name(token: str) -> int:
-    return xxhash.xxh64_intdigest(token.encode())
-
-
 def names(tokens: list[str], least: int) -> np.ndarray:
     """A hash of the next `least` tokens for every place that has as many, by doubling."""
-    name = np.array([_token_name(t) for t in tokens], np.uint64)
+    name = np.frombuffer(b"".join([xxhash.xxh64_digest(token.encode()) for token in tokens]), np.uint64)
     width = 1
     while width < least and len(name) > width:
         name = (name[:-width] * np.uint64(0x9E3779B97F4A7C15)) ^ (name[width:] + np.uint64(width))
@@ -166,9 +161,8 @@ def names(tokens: list[str], least: int) -> np.ndarray:
 
 def suffixes(texts: list[str], host: str, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Names, and first and one past the last token of what each stands for: long runs in a block, and whole blocks."""
-    split = [text.split(" ") for text in texts]
-    ends = np.cumsum([len(tokens) for tokens in split], dtype=np.int64)
-    runs = names([token for tokens in split for token in tokens], least)
+    ends = np.cumsum([text.count(" ") + 1 for text in texts], dtype=np.int64)
+    runs = names(" ".join(texts).split(" ") if texts else [], least)
     at = np.arange(len(runs))
     if len(runs):
         at = at[at + least <= np.repeat(ends, np.diff(ends, prepend=0))[: len(runs)]]
