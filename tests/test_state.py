@@ -169,3 +169,13 @@ def test_audit_of_keys_references_and_checks(spark):
     assert audit_tables(empty, names).isEmpty()
     plan = audit_tables(tables, names)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate [") == 1
+
+
+def test_the_first_run_is_not_dealt_to_meet_no_exceptions(spark):
+    from tidewatch.operators.state import empty_history, empty_state
+    from tidewatch.schema import EXCEPTION_HISTORY, EXCEPTION_STATE
+
+    for empty, schema in ((empty_state(spark), EXCEPTION_STATE), (empty_history(spark), EXCEPTION_HISTORY)):
+        assert [(f.name, f.dataType) for f in empty.schema] == [(f.name, f.dataType) for f in schema] and empty.count() == 0
+        met = spark.range(10).selectExpr("CAST(id AS STRING) AS exception_id").join(empty, "exception_id", "left")
+        assert "Join" not in met._jdf.queryExecution().optimizedPlan().toString()
