@@ -2,6 +2,7 @@ from datetime import timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests import world
 from tidewatch.operators import rules
@@ -169,3 +170,14 @@ def test_facts_of_orders_with_open_closed_and_no_lines(spark):
     assert found == {"O0": (13, 130, 130), "O1": (None, None, 0), "O2": (5, 50, 50), "O3": (None, None, -20), "O9": (8, 80, 80)}
     places = {(r["source_product_id"], r["source_warehouse_id"]): (r["quantity"], r["revenue"], r["orders"]) for r in rows if r["fact"] == "PLACE"}
     assert places == {("P1", "W1"): (18, 180, 2)}
+
+
+def test_newest_snapshots_without_a_sequence_are_found_by_hashing(spark):
+    """Without a sequence no rows are sorted for the newest snapshot, and it is the one that a sequence of equal numbers gives."""
+    tables = world.tables(spark)
+    newest = rules.latest_snapshots(tables["inventory"].drop("snapshot_sequence"), world.AS_OF)
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    again = tables["inventory"].drop("snapshot_sequence").withColumn("snapshot_sequence", F.lit(1))
+    want = rules.latest_snapshots(again, world.AS_OF)
+    assert sorted(map(str, newest.select(*want.columns).collect())) == sorted(map(str, want.collect())) and newest.count()
