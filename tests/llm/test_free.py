@@ -473,6 +473,16 @@ def test_articles_are_weighed_by_what_their_host_repeats(spark, monkeypatch):
     assert got[3] == f"{note}\n\n{story}" and got[4] == f"{other} {note}" and got[5] == note
 
 
+def test_pages_with_repeated_runs_are_not_looked_up_again(spark):
+    """The last plan looks up only pages without hits; those with hits are read as they were written."""
+    note, story = prose(24, 40), prose(25, 25)
+    rows = [(i, f"http://k.example/{i}", f"<article><p>{prose(400 + i, 12)}</p></article><footer>{note}</footer>") for i in range(3)]
+    rows.append((3, "http://k.example/3", f"<article><p>{note}</p></article><div><p>{story}</p></div>"))
+    found = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("look_up(") == 1
+    assert {r["page_id"]: r["text"] for r in found.collect()} == {i: prose(400 + i, 12) for i in range(3)} | {3: f"{note}\n\n{story}"}
+
+
 # Licenses -------------------------------------------------------------------------
 
 

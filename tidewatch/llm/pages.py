@@ -161,14 +161,15 @@ def names(tokens: list[str], least: int) -> np.ndarray:
 
 def suffixes(texts: list[str], host: str, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Names, and first and one past the last token of what each stands for: long runs in a block, and whole blocks."""
-    ends = np.cumsum([text.count(" ") + 1 for text in texts], dtype=np.int64)
+    sizes = np.array([text.count(" ") + 1 for text in texts], np.int64)
+    ends = np.cumsum(sizes)
     runs = names(" ".join(texts).split(" ") if texts else [], least)
     at = np.arange(len(runs))
     if len(runs):
-        at = at[at + least <= np.repeat(ends, np.diff(ends, prepend=0))[: len(runs)]]
+        at = at[at + least <= np.repeat(ends, sizes)[: len(runs)]]
     wholes = np.array([xxhash.xxh64_intdigest(text.encode(), seed=1) for text in texts], np.uint64)
     salt = np.uint64(xxhash.xxh64_intdigest(host.encode(), seed=2))
-    starts = np.concatenate([at, ends - np.diff(ends, prepend=0)])
+    starts = np.concatenate([at, ends - sizes])
     return np.concatenate([runs[at], wholes]) ^ salt, starts, np.concatenate([at + least, ends])
 
 
@@ -180,20 +181,27 @@ def weighed(found: list[tuple[str, str]], host: str, gone: np.ndarray, least: in
     both, in page order; else it is the article.
     """
     inner = [(text, kind) for text, kind in found if kind != ZONE]
+    return left_of(inner, suffixes([text for text, _ in inner], host, least) if len(gone) else None, gone)
+
+
+def left_of(inner: list[tuple[str, str]], spans: tuple[np.ndarray, np.ndarray, np.ndarray] | None, gone: np.ndarray) -> str:
+    """The text that `weighed` tells of, by the names and edges of all runs that may be gone."""
     edges = np.zeros(sum(text.count(" ") + 1 for text, _ in inner) + 1, np.int64)
     if len(gone):
-        own, begins, ends = suffixes([text for text, _ in inner], host, least)
+        own, begins, ends = spans
         hit = np.isin(own, gone)
         np.add.at(edges, begins[hit], 1)
         np.add.at(edges, ends[hit], -1)
     covered = np.cumsum(edges)[:-1] > 0
     size, left, at = {ARTICLE: 0, OPEN: 0}, [], 0
     for text, kind in inner:
-        tokens = text.split(" ")
-        kept = [t for t, c in zip(tokens, covered[at : at + len(tokens)].tolist()) if not c]
-        at += len(tokens)
-        size[kind] += len(kept)
-        left.append((text if kind == ARTICLE else " ".join(kept), kind))
+        own = covered[at : at + text.count(" ") + 1]
+        at += len(own)
+        hidden = int(np.count_nonzero(own))
+        size[kind] += len(own) - hidden
+        if hidden and kind == OPEN:
+            text = " ".join([t for t, c in zip(text.split(" "), own.tolist()) if not c])
+        left.append((text, kind))
     return "\n\n".join(text for text, kind in left if text and (kind == ARTICLE or size[ARTICLE] < size[OPEN]))
 
 
@@ -213,7 +221,7 @@ def extract(pages: DataFrame, repeats: Repeats = Repeats()) -> DataFrame:
             rows = []
             for page, url, source in zip(*(part.column(i).to_pylist() for i in range(3))):
                 found = streams(source)
-                row = xxhash.xxh3_128_digest(repr((page, url, source)).encode())
+                row = xxhash.xxh3_128_digest(repr((page, url, source is None)).encode() + (source or "").encode())
                 rows.append((page, url, host_of(url), [text for text, _ in found], [kind for _, kind in found], row))
             if rows:
                 yield pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["page_id", "url", "host", "texts", "kinds", "row"])
@@ -234,37 +242,40 @@ def extract(pages: DataFrame, repeats: Repeats = Repeats()) -> DataFrame:
     shared = pages.sparkSession.sparkContext.broadcast(bit_map(common.select(F.col("name").alias("gram"))))
 
     def look_up(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Open blocks and articles of every page, with the names the bit map lets through."""
+        """Open blocks and articles of every page, with the names the bit map lets through, and with their edges (all names, then all begins, then all ends)."""
         marked = np.frombuffer(shared.value, np.uint8)
         for part in parts:
             rows = []
             for host, texts, kinds in zip(*(part.column(name).to_pylist() for name in ("host", "texts", "kinds"))):
                 inner = [i for i, kind in enumerate(kinds) if kind != ZONE]
                 texts = [texts[i] for i in inner]
-                own = np.unique(suffixes(texts, host, repeats.least)[0])
+                own, begins, ends = suffixes(texts, host, repeats.least)
                 hit = np.ones(len(own), bool)
                 for p in probes(own):
                     hit &= (marked[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-                rows.append((texts, [kinds[i] for i in inner], own[hit].view(np.int64)))
+                places = np.concatenate([own[hit].view(np.int64), begins[hit], ends[hit]])
+                rows.append((texts, [kinds[i] for i in inner], np.unique(own[hit]).view(np.int64), places))
             if rows:
-                types = (pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64()))
+                types = (pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()))
                 found = [pa.array(x, k) for x, k in zip(zip(*rows), types)]
                 kept_as = [part.column(name) for name in ("page_id", "url", "host", "row")]
-                yield pa.record_batch([*kept_as, *found], ["page_id", "url", "host", "row", "texts", "kinds", "hits"])
+                yield pa.record_batch([*kept_as, *found], ["page_id", "url", "host", "row", "texts", "kinds", "hits", "places"])
 
-    looked = kept.mapInArrow(look_up, "page_id long, url string, host string, row binary, texts array<string>, kinds array<string>, hits array<long>")
-    asked = looked.select("row", "host", F.explode("hits").alias("name"))
+    looked = kept.mapInArrow(look_up, "page_id long, url string, host string, row binary, texts array<string>, kinds array<string>, hits array<long>, places array<long>")
+    # Pages with hits are written, so that the others, most of them, are looked up once more and these not twice.
+    hit_pages = parked(looked.where("size(hits) > 0"))
+    asked = hit_pages.select("row", "host", F.explode("hits").alias("name"))
     covered = asked.join(common, ["host", "name"]).groupBy("row").agg(F.collect_set("name").alias("names"))
 
     def weigh(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             done = []
-            for host, texts, kinds, gone in zip(*(part.column(i).to_pylist() for i in range(2, 6))):
-                own = np.array(gone or [], np.int64).view(np.uint64)
-                done.append(weighed(list(zip(texts, kinds)), host, own, repeats.least))
+            for texts, kinds, places, gone in zip(*(part.column(i).to_pylist() for i in range(2, 6))):
+                spans = tuple(np.array(places, np.int64).reshape(3, -1))
+                done.append(left_of(list(zip(texts, kinds)), spans, np.array(gone or [], np.int64)))
             yield pa.record_batch([part.column(0), part.column(1), pa.array(done, pa.string())], ["page_id", "url", "text"])
 
-    shape = ("page_id", "url", "host", "texts", "kinds", "names")
-    met = looked.where("size(hits) > 0").drop("hits").join(covered, "row", "left").select(*shape)
+    shape = ("page_id", "url", "texts", "kinds", "places", "names")
+    met = hit_pages.drop("hits").join(covered, "row", "left").select(*shape)
     unmet = looked.where("size(hits) = 0").withColumn("names", F.expr("CAST(NULL AS ARRAY<BIGINT>)")).select(*shape)
     return met.unionByName(unmet).mapInArrow(weigh, "page_id long, url string, text string")
