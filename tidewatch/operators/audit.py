@@ -85,34 +85,45 @@ OPERATIONAL = (
 RECORDED = tuple(name for name in UNIQUE if name not in OPERATIONAL)
 
 
-def _cell(kind: str, owner: str, told: str, columns: tuple[str, ...], relation: int) -> str:
-    """A tagged row: a key, and who speaks of it. Null parts make no key."""
-    key = ", ".join(f"CAST({column} AS STRING)" for column in columns)
+#: Constraints by their place in the audit: table, kind and how it is told.
+Constraints = dict[tuple[str, str, str], int]
+
+
+def _cell(constraint: int, columns: tuple[str, ...], slot: int) -> str:
+    """A tagged row: a key of a constraint, and who speaks of it. Null parts make no key."""
+    first, *others = (f"CAST({column} AS STRING)" for column in columns)
+    more = f"array({', '.join(others)})" if others else "CAST(NULL AS ARRAY<STRING>)"
     here = " AND ".join(f"{column} IS NOT NULL" for column in columns)
-    cell = f"struct({quoted(owner)} AS table_name, {quoted(kind)} AS kind, {quoted(told)} AS violated, array({key}) AS key, {relation} AS relation)"
-    return f"IF({here}, {cell}, NULL)"
+    return f"IF({here}, struct({constraint} AS constraint, {first} AS key, {more} AS more, {slot} AS slot), NULL)"
 
 
-#: The relation of rows that own a key.
-OWN = -1
+#: The slot of rows that own a key; the references to a table follow.
+OWN = 0
 
 
-def _tagged(rows: DataFrame, table: str, relations: list[tuple[str, tuple[str, ...], str]], audited: bool) -> DataFrame:
+def _tagged(
+    rows: DataFrame, table: str, relations: dict[str, list[tuple[str, tuple[str, ...]]]], audited: bool, numbers: Constraints
+) -> DataFrame:
     """What the rows of one table say about keys and checks, from one scan."""
+
+    def cell(owner: str, kind: str, told: str, columns: tuple[str, ...], slot: int = OWN) -> str:
+        return _cell(numbers.setdefault((owner, kind, told), len(numbers)), columns, slot)
+
     cells = []
-    referred = any(parent == table for _, _, parent in relations)
     for place, columns in enumerate(UNIQUE[table]):
-        if audited or (referred and place == 0):
-            cells.append(_cell("UNIQUE", table, ", ".join(columns), columns, OWN))
+        if audited or (table in relations and place == 0):
+            cells.append(cell(table, "UNIQUE", ", ".join(columns), columns))
     if audited:
         for columns, condition, when in UNIQUE_WHILE.get(table, ()):
-            cells.append(f"IF({condition}, {_cell('UNIQUE', table, f'{", ".join(columns)} {when}', columns, OWN)}, NULL)")
+            cells.append(f"IF({condition}, {cell(table, 'UNIQUE', f'{", ".join(columns)} {when}', columns)}, NULL)")
         for check in CHECKS.get(table, ()):
-            cells.append(f"IF(NOT ({check}), {_cell('CHECK', table, check, UNIQUE[table][0], OWN)}, NULL)")
-        for number, (child, columns, parent) in enumerate(relations):
-            if child == table:
-                cells.append(_cell("UNIQUE", parent, ", ".join(UNIQUE[parent][0]), columns, number))
-    return rows.selectExpr(f"inline(array_compact(array({', '.join(cells)})))")
+            cells.append(f"IF(NOT ({check}), {cell(table, 'CHECK', check, UNIQUE[table][0])}, NULL)")
+        for parent, children in relations.items():
+            for slot, (child, columns) in enumerate(children, OWN + 1):
+                if child == table:
+                    cells.append(cell(parent, "UNIQUE", ", ".join(UNIQUE[parent][0]), columns, slot))
+    # Cells that say nothing are dropped after they are laid out: higher-order functions are not compiled.
+    return rows.selectExpr(f"inline(array({', '.join(cells)}))").where("constraint IS NOT NULL")
 
 
 def audit_tables(tables: Tables, names: tuple[str, ...] = OPERATIONAL) -> DataFrame:
@@ -121,25 +132,40 @@ def audit_tables(tables: Tables, names: tuple[str, ...] = OPERATIONAL) -> DataFr
     A value that many rows hold is one partial count per task. References are checked where the parent is
     among `tables`. A check that several rows of one key break is told once for each.
     """
-    relations = [
-        (name, tuple(columns.split(", ")), parent) for name in names for columns, parent in REFERENCES.get(name, {}).items() if parent in tables
-    ]
-    needed = {*names, *(parent for _, _, parent in relations)}
-    tagged = reduce(DataFrame.unionByName, [_tagged(tables[name], name, relations, name in names) for name in UNIQUE if name in needed])
-    counted = tagged.groupBy("table_name", "kind", "violated", "key").agg(
-        F.expr(f"count_if(relation = {OWN}) AS own"), *(F.expr(f"count_if(relation = {n}) AS r{n}") for n in range(len(relations)))
+    relations: dict[str, list[tuple[str, tuple[str, ...]]]] = {}
+    for name in names:
+        for columns, parent in REFERENCES.get(name, {}).items():
+            if parent in tables:
+                relations.setdefault(parent, []).append((name, tuple(columns.split(", "))))
+    numbers: Constraints = {}
+    tagged = reduce(
+        DataFrame.unionByName,
+        [_tagged(tables[name], name, relations, name in names, numbers) for name in UNIQUE if name in names or name in relations],
     )
+    slots = 1 + max(map(len, relations.values()), default=0)
+    counted = tagged.groupBy("constraint", "key", "more").agg(*(F.expr(f"count_if(slot = {slot}) AS c{slot}") for slot in range(slots)))
 
     def fault(table: str, kind: str, told: str, rows: str) -> str:
-        return f"struct({table} AS table_name, {kind} AS kind, {told} AS violated, array_join(key, ':') AS row_key, {rows} AS rows)"
-
-    audited = ", ".join(quoted(name) for name in names)
-    checks = f"IF(kind = 'CHECK', transform(sequence(1L, own), i -> {fault('table_name', 'kind', 'violated', '1L')}), NULL)"
-    faults = [f"IF(kind = 'UNIQUE' AND own > 1 AND table_name IN ({audited}), {fault('table_name', 'kind', 'violated', 'own')}, NULL)"]
-    for number, (child, columns, parent) in enumerate(relations):
-        told = fault(quoted(child), "'REFERENCE'", quoted(f"{', '.join(columns)} -> {parent}"), f"r{number}")
-        faults.append(f"IF(own = 0 AND r{number} > 0, {told}, NULL)")
-    return counted.selectExpr(f"inline(coalesce({checks}, array_compact(array({', '.join(faults)}))))")
+        return f"struct({quoted(table)} AS table_name, {quoted(kind)} AS kind, {quoted(told)} AS violated, row_key, {rows} AS rows)"
+
+    own = f"c{OWN}"
+    checks, faults = [], []
+    for (table, kind, told), number in numbers.items():
+        here = f"constraint = {number}"
+        if kind == "CHECK":
+            checks.append(f"WHEN {here} THEN transform(sequence(1L, {own}), i -> {fault(table, kind, told, '1L')})")
+        elif table in names:
+            faults.append(f"IF({here} AND {own} > 1, {fault(table, kind, told, own)}, NULL)")
+        if told == ", ".join(UNIQUE[table][0]) and kind == "UNIQUE":
+            for slot, (child, columns) in enumerate(relations.get(table, ()), OWN + 1):
+                told_reference = fault(child, "REFERENCE", f"{', '.join(columns)} -> {table}", f"c{slot}")
+                faults.append(f"IF({here} AND {own} = 0 AND c{slot} > 0, {told_reference}, NULL)")
+    broken = [str(number) for (_, kind, _), number in numbers.items() if kind == "CHECK"]
+    found = counted.where(f"{own} <> 1{f' OR constraint IN ({", ".join(broken)})' if broken else ''}").selectExpr(
+        "*", "IF(more IS NULL, key, concat(key, ':', array_join(more, ':'))) AS row_key"
+    )
+    told_once = f"array_compact(array({', '.join(faults)}))"
+    return found.selectExpr(f"inline({f'CASE {" ".join(checks)} ELSE {told_once} END' if checks else told_once})")
 
 
 def active_issue_violations(state: DataFrame) -> DataFrame:
