@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from tidewatch.functions.text import parse_instant
 from tidewatch.operators.audit import _tagged
+from tidewatch.operators.validate import _judged
+from tidewatch.schema import BY_NAME
 
 
 def plan(frame) -> str:
@@ -15,3 +20,32 @@ def test_audit_lays_out_cells_without_lambdas(spark):
     assert "lambda" not in plan(tagged)
     cells = [tuple(row) for row in tagged.select("constraint", "key").orderBy("constraint", "key").collect()]
     assert cells == [(0, "P1"), (0, "P1"), (1, "S1"), (2, "P1")]
+
+
+def test_faults_are_found_without_lambdas(spark):
+    artifact = BY_NAME["wms/warehouses.csv"]
+    rows = spark.createDataFrame([(2, *["x"] * len(artifact.columns)), (3, *[" "] * len(artifact.columns))], ["row_number", *artifact.columns])
+    judged = _judged(rows, artifact, None)
+    assert "lambda" not in plan(judged)
+    assert [len(row.faults) > 0 for row in judged.orderBy("row_number").collect()] == [False, True]
+
+
+def test_an_instant_takes_few_patterns():
+    assert parse_instant("t", assume_utc=True).count("regexp_") <= 6
+
+
+def test_spellings_of_instants(spark):
+    texts = {
+        "2025-01-15": "2025-01-15 00:00:00.000000", "20250115": "2025-01-15 00:00:00.000000",
+        "2025-01-15T07": "2025-01-15 07:00:00.000000", "2025-01-15 07:08": "2025-01-15 07:08:00.000000",
+        "20250115T070809": "2025-01-15 07:08:09.000000", "2025-01-15 07:08:09,1234567": "2025-01-15 07:08:09.123456",
+        "2025-01-15 07:08:09.5": "2025-01-15 07:08:09.500000", "2025-01-15T07:08:09Z": "2025-01-15 07:08:09.000000",
+        "2025-01-15T07:08+02": "2025-01-15 05:08:00.000000", "2025-01-15T07:08:09.25+0530": "2025-01-15 01:38:09.250000",
+        "2025-01-15T07-01:30": "2025-01-15 08:30:00.000000", "2025-02-30": None, "2025-01-15T25:00:00": None, "soon": None, "": None,
+    }
+    rows = spark.createDataFrame([(text,) for text in texts], "t STRING")
+    shown = "date_format({}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
+    found = rows.select("t", F.expr(shown.format(parse_instant("t", assume_utc=True))).alias("at")).collect()
+    assert {row.t: row["at"] for row in found} == texts
+    strict = rows.select("t", F.expr(parse_instant("t")).isNotNull().alias("given")).collect()
+    assert {row.t for row in strict if row.given} == {text for text, at in texts.items() if at and ("Z" in text or text[13:14] in "+-" and text[13:14] or "+" in text)}
