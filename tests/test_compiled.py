@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.text import parse_instant
 from tidewatch.operators.audit import _tagged
+from tidewatch.operators.external import adapt_olist
 from tidewatch.operators.validate import _judged
 from tidewatch.schema import BY_NAME
 
@@ -49,3 +50,20 @@ def test_spellings_of_instants(spark):
     assert {row.t: row["at"] for row in found} == texts
     strict = rows.select("t", F.expr(parse_instant("t")).isNotNull().alias("given")).collect()
     assert {row.t for row in strict if row.given} == {text for text, at in texts.items() if at and ("Z" in text or text[13:14] in "+-" and text[13:14] or "+" in text)}
+
+
+def test_adapted_instants_are_parsed_once(spark):
+    tables = {
+        "orders": spark.createDataFrame(
+            [(2, "E1", "C1", "Delivered", "1997-03-04 05:06:07", "1997-04-01", " 4/5/1997 6:07 ")],
+            "row_number LONG, order_id STRING, customer_id STRING, order_status STRING, order_purchase_timestamp STRING, "
+            "order_estimated_delivery_date STRING, order_delivered_customer_date STRING",
+        ),
+        "payments": spark.createDataFrame([(2, "E1", "1.5")], "row_number LONG, order_id STRING, payment_value STRING"),
+        "customers": spark.createDataFrame([(2, "C1", "SP")], "row_number LONG, customer_id STRING, customer_state STRING"),
+    }
+    adapted = adapt_olist(tables)
+    assert plan(adapted).count("regexp_") <= 18
+    assert adapted.select("ordered_at", "promised_at", "fulfilled_at").first() == (
+        "1997-03-04T05:06:07+00:00", "1997-04-01T00:00:00+00:00", "1997-04-05T06:07:00+00:00",
+    )
