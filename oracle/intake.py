@@ -97,6 +97,17 @@ AUDIT = " UNION ALL ".join(
         _orphans("order_items", "t_items", "source_order_id", "orders", "t_orders", "source_order_id"),
         _orphans("purchase_orders", "t_purchase_orders", "source_supplier_id", "suppliers", "t_suppliers", "source_supplier_id"),
         _orphans("orders", "t_orders", "source_warehouse_id", "warehouses", "t_warehouses", "source_warehouse_id"),
+        _orphans("inventory", "t_inventory", "source_product_id", "products", "t_products", "source_product_id"),
+        _orphans("inventory", "t_inventory", "source_warehouse_id", "warehouses", "t_warehouses", "source_warehouse_id"),
+        _orphans("inventory_movements", "t_movements", "source_product_id", "products", "t_products", "source_product_id"),
+        _orphans("inventory_movements", "t_movements", "source_warehouse_id", "warehouses", "t_warehouses", "source_warehouse_id"),
+        _orphans("purchase_orders", "t_purchase_orders", "source_warehouse_id", "warehouses", "t_warehouses", "source_warehouse_id"),
+        _orphans(
+            "purchase_order_items", "t_purchase_order_items", "source_purchase_order_id", "purchase_orders", "t_purchase_orders",
+            "source_purchase_order_id",
+        ),
+        _orphans("purchase_order_items", "t_purchase_order_items", "source_product_id", "products", "t_products", "source_product_id"),
+        _orphans("shipments", "t_shipments", "source_order_id", "orders", "t_orders", "source_order_id"),
     ]
 )
 

@@ -179,3 +179,40 @@ def test_the_first_run_is_not_dealt_to_meet_no_exceptions(spark):
         assert [(f.name, f.dataType) for f in empty.schema] == [(f.name, f.dataType) for f in schema] and empty.count() == 0
         met = spark.range(10).selectExpr("CAST(id AS STRING) AS exception_id").join(empty, "exception_id", "left")
         assert "Join" not in met._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_audit_query_checks_references_of_the_source_tables(spark, tmp_path):
+    """Lines name a product, an order, a warehouse and a supplier that no row owns."""
+    from tidewatch.plans.registry import registered
+
+    day = "TIMESTAMP '1997-01-05 00:00:00'"
+    content = {
+        "region": "0L AS r_regionkey, 'R' AS r_name",
+        "nation": "1L AS n_nationkey, 'N' AS n_name, 0L AS n_regionkey",
+        "customer": "1L AS c_custkey",
+        "supplier": "1L AS s_suppkey, 'S' AS s_name, 1L AS s_nationkey, 0.0D AS s_acctbal",
+        "part": "1L AS p_partkey, 'P' AS p_name, 2.5D AS p_retailprice",
+        "orders": f"7L AS o_orderkey, 1L AS o_custkey, 'O' AS o_orderstatus, 10.0D AS o_totalprice, {day} AS o_orderdate",
+        "lineitem": f"explode(array(named_struct('o', 7L, 'p', 9L, 's', 1L, 'n', 1), named_struct('o', 8L, 'p', 1L, 's', 2L, 'n', 2))) AS l, {day} AS l_shipdate",
+    }
+    for name, columns in content.items():
+        rows = spark.range(1).selectExpr(*columns.split(", ")) if name not in ("lineitem", "orders") else spark.sql(f"SELECT {columns}")
+        if name == "lineitem":
+            rows = rows.selectExpr(
+                "l.o AS l_orderkey", "l.p AS l_partkey", "l.s AS l_suppkey", "l.n AS l_linenumber", "3.0D AS l_quantity", "5.0D AS l_extendedprice",
+                "0.0D AS l_discount", "0.0D AS l_tax", "'N' AS l_returnflag", "'O' AS l_linestatus", "l_shipdate",
+            )
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    found = registered()["constraint_audit"](spark, str(tmp_path)).collect()
+    assert {r["kind"] for r in found} == {"REFERENCE"}
+    assert sorted((r["table_name"], r["violated"], r["row_key"], r["rows"]) for r in found) == [
+        ("inventory", "source_product_id -> products", "P9", 1),
+        ("inventory", "source_warehouse_id -> warehouses", "W2", 1),
+        ("inventory_movements", "source_product_id -> products", "P9", 1),
+        ("inventory_movements", "source_warehouse_id -> warehouses", "W2", 1),
+        ("order_items", "source_order_id -> orders", "O8", 1),
+        ("order_items", "source_product_id -> products", "P9", 1),
+        ("purchase_order_items", "source_product_id -> products", "P9", 1),
+        ("purchase_orders", "source_supplier_id -> suppliers", "SUP2", 1),
+        ("purchase_orders", "source_warehouse_id -> warehouses", "W2", 1),
+    ]

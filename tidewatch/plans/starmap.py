@@ -202,6 +202,10 @@ class StarTables(dict[str, DataFrame]):
         self[name] = BUILDERS[name](*self._source)
         return self[name]
 
+    def __contains__(self, name: object) -> bool:
+        """Whether there is such a table, asked for before or not."""
+        return name in BUILDERS or super().__contains__(name)
+
 
 def tables(spark: SparkSession, folder: str) -> StarTables:
     return StarTables(spark, folder)
