@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.settings import parked
+from tidewatch.settings import parked, released
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """node -> root, the smallest node it is connected with, for every node of the edges (a, b).
+    """node -> root, the smallest node it is connected with, for every node of the edges (a, b); a frame as `parked` returns it.
 
     A round takes the smallest label around each node and then that label's own label, so the distance a
     label has come about doubles. Every step is an aggregation or a join on the node, so a hub costs
@@ -22,7 +22,10 @@ def connected(edges: DataFrame) -> DataFrame:
         spread = labels.join(seen, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
         # The label's label: roots are nodes themselves.
         own = spread.select(F.col("node").alias("root"), F.col("root").alias("further"))
-        labels = parked(spread.join(own, "root").select("node", "old", F.least("root", "further").alias("root")))
-        if labels.where("root <> old").isEmpty():
-            return labels.select("node", "root")
-        labels = labels.drop("old")
+        named = spread.join(own, "root").select("node", F.least("root", "further").alias("root"), F.expr("least(root, further) <> old AS moved"))
+        nearer = parked(named)
+        released(labels)
+        labels = nearer
+        if labels.where("moved").isEmpty():
+            released(both)
+            return labels

@@ -21,6 +21,7 @@ from tidewatch.functions.text import (
 )
 from tidewatch.functions.unicode import composed
 from tidewatch.schema import ORDER_STATUSES
+from tidewatch.settings import parked
 
 # Source spellings of an order status.
 STATUS_ALIASES = {
@@ -46,6 +47,15 @@ FACTS = (
     "source_order_id", "order_number", "status", "region", "source_warehouse_id", "ordered_at",
     "promised_at", "fulfilled_at", "total_amount", "currency",
 )
+_TIMES = ("ordered_at", "promised_at", "fulfilled_at")
+#: What can be wrong with a row, in the order it is told.
+INVALID_REASONS = (
+    "CONFLICTING_SOURCE_ORDER_ID", "CONFLICTING_TOTAL_AMOUNT", "CONFLICTING_CURRENCY", "CONFLICTING_WAREHOUSE",
+    "NEGATIVE_TOTAL_AMOUNT", "MALFORMED_TOTAL_AMOUNT",
+    *(f"{fault}_{name.upper()}" for name in _TIMES for fault in ("CONFLICTING", "MALFORMED")),
+    "MISSING_SOURCE_NAMESPACE", "MISSING_SOURCE_ORDER_ID", "MALFORMED_STATUS", "MALFORMED_CURRENCY", "CONFLICTING_TIMESTAMPS",
+)
+CAPABILITIES = ("WAREHOUSE_CONTEXT_UNAVAILABLE", "WAREHOUSE_OBSERVED", "WAREHOUSE_VALIDATED", "WAREHOUSE_UNKNOWN")
 #: Text facts whose spelling is normalised; amounts and times are parsed instead.
 _COMPOSED = (
     "source_namespace", "source_version", "order_number", "status", "order_status", "region",
@@ -116,7 +126,6 @@ def assess(raw: DataFrame, known_warehouses: DataFrame | None = None) -> DataFra
     )
     aliases = " ".join(f"WHEN '{old}' THEN '{new}'" for old, new in STATUS_ALIASES.items())
     amount = parse_decimal(stripped("raw_total_amount"))
-    times = ("ordered_at", "promised_at", "fulfilled_at")
     parsed = gathered.selectExpr(
         "*",
         f"{trimmed('raw_source_order_id')} AS source_order_id",
@@ -124,7 +133,7 @@ def assess(raw: DataFrame, known_warehouses: DataFrame | None = None) -> DataFra
         f"CASE status_text {aliases} ELSE status_text END AS status",
         f"upper({trimmed('raw_currency')}) AS currency",
         f"{amount} AS parsed_amount",
-        *[f"{parse_instant(stripped(f'raw_{name}'))} AS {name}" for name in times],
+        *[f"{parse_instant(stripped(f'raw_{name}'))} AS {name}" for name in _TIMES],
     ).selectExpr("*", "CASE WHEN parsed_amount >= 0 THEN parsed_amount END AS total_amount")
 
     domain = ", ".join(quoted(status) for status in ORDER_STATUSES)
@@ -136,7 +145,7 @@ def assess(raw: DataFrame, known_warehouses: DataFrame | None = None) -> DataFra
         ("parsed_amount < 0", "'NEGATIVE_TOTAL_AMOUNT'"),
         ("raw_total_amount IS NOT NULL AND parsed_amount IS NULL", "'MALFORMED_TOTAL_AMOUNT'"),
     ]
-    for name in times:
+    for name in _TIMES:
         invalid.append((f"differs_{name}", f"'CONFLICTING_{name.upper()}'"))
         invalid.append((f"raw_{name} IS NOT NULL AND {name} IS NULL", f"'MALFORMED_{name.upper()}'"))
     invalid += [
@@ -148,15 +157,22 @@ def assess(raw: DataFrame, known_warehouses: DataFrame | None = None) -> DataFra
     ]
     if known_warehouses is None:
         placed = parsed.selectExpr("*", "CAST(NULL AS BOOLEAN) AS registered")
-        unknown = "false"
         filled = "'WAREHOUSE_OBSERVED'"
     else:
         registry = known_warehouses.selectExpr(f"{known_warehouses.columns[0]} AS source_warehouse_id", "true AS registered")
         placed = parsed.join(registry, "source_warehouse_id", "left")
-        unknown = "source_warehouse_id IS NOT NULL AND registered IS NULL"
         filled = "CASE WHEN registered THEN 'WAREHOUSE_VALIDATED' ELSE 'WAREHOUSE_UNKNOWN' END"
+    facts = placed.selectExpr(
+        "sequence", "batch_id", "source_namespace", "source_version", *FACTS, f"{_reasons(*invalid)} AS invalid_reasons",
+        f"CASE WHEN source_warehouse_id IS NULL THEN 'WAREHOUSE_CONTEXT_UNAVAILABLE' ELSE {filled} END AS warehouse_capability",
+    )
+    return _weighed(facts)
+
+
+def _weighed(facts: DataFrame) -> DataFrame:
+    """Rows of facts, their faults and what is known of their warehouse, with all that follows from these."""
     context = [
-        (unknown, "'UNKNOWN_WAREHOUSE'"),
+        ("warehouse_capability = 'WAREHOUSE_UNKNOWN'", "'UNKNOWN_WAREHOUSE'"),
         ("total_amount IS NULL", "'MISSING_TOTAL_AMOUNT'"),
         ("currency IS NULL", "'MISSING_CURRENCY'"),
         ("total_amount IS NOT NULL AND currency IS NULL", "'AMOUNT_WITHOUT_CURRENCY'"),
@@ -166,14 +182,14 @@ def assess(raw: DataFrame, known_warehouses: DataFrame | None = None) -> DataFra
         ("ordered_at IS NULL", "'MISSING_ORDERED_AT'"),
         ("promised_at IS NULL", "'MISSING_PROMISED_AT'"),
     ]
-    canonical = {name: name for name in FACTS} | {name: iso_micros(name) for name in times}
+    canonical = {name: name for name in FACTS} | {name: iso_micros(name) for name in _TIMES}
     canonical["total_amount"] = plain_decimal_text("total_amount")
     return (
-        placed.selectExpr(
-            "sequence", "batch_id", "source_namespace", "source_version", *FACTS,
-            f"{_reasons(*invalid)} AS invalid_reasons",
+        facts.selectExpr(
+            *[name for name in facts.columns if name not in ("invalid_reasons", "warehouse_capability")],
+            "invalid_reasons",
             f"{_reasons(*context)} AS context_reasons",
-            f"CASE WHEN source_warehouse_id IS NULL THEN 'WAREHOUSE_CONTEXT_UNAVAILABLE' ELSE {filled} END AS warehouse_capability",
+            "warehouse_capability",
             "total_amount IS NOT NULL AND currency IS NOT NULL AS financial",
             "ordered_at IS NOT NULL AND promised_at IS NOT NULL AS timing",
             f"{json_object(canonical, keep_nulls=True)} AS source_facts",
@@ -194,20 +210,40 @@ def assess(raw: DataFrame, known_warehouses: DataFrame | None = None) -> DataFra
     )
 
 
-def stage(assessed: DataFrame, stored: DataFrame | None = None, stored_receipts: DataFrame | None = None) -> Staged:
+def _marks() -> str:
+    """Faults and warehouse capability as one number, which an aggregation by hashing can hold."""
+    faults = " + ".join(f"IF(array_contains(invalid_reasons, '{reason}'), {len(CAPABILITIES) << n}L, 0L)" for n, reason in enumerate(INVALID_REASONS))
+    known = " ".join(f"WHEN '{name}' THEN {n}L" for n, name in enumerate(CAPABILITIES))
+    return f"IF(size(invalid_reasons) > 0, {faults}, 0L) + CASE warehouse_capability {known} END"
+
+
+def _marked(marks: str) -> list[str]:
+    """The two columns that `_marks` holds."""
+    faults = ", ".join(f"IF({marks} & {len(CAPABILITIES) << n} <> 0, '{reason}', NULL)" for n, reason in enumerate(INVALID_REASONS))
+    known = " ".join(f"WHEN {n} THEN '{name}'" for n, name in enumerate(CAPABILITIES))
+    return [
+        f"IF({marks} >= {len(CAPABILITIES)}, array_compact(array({faults})), CAST(array() AS ARRAY<STRING>)) AS invalid_reasons",
+        f"CASE {marks} & {len(CAPABILITIES) - 1} {known} END AS warehouse_capability",
+    ]
+
+
+def stage(assessed: DataFrame, stored: DataFrame | None = None, stored_receipts: DataFrame | None = None, *, durable: bool = False) -> Staged:
     """Evidence to add for assessed rows. Rows with one replay digest are one observation, the
     first in sequence; each batch that delivered it leaves one receipt. Invalid rows are kept as
-    rejected evidence, rows without namespace or order id are refused."""
+    rejected evidence, rows without namespace or order id are refused.
+
+    The digest is one of namespace, version and facts, so rows are grouped by these themselves, and all that
+    follows from them is told again afterwards. `durable` keeps the grouped rows, for evidence that is read more than once.
+    """
     lacking = "source_namespace = '' OR source_order_id IS NULL"
     refused = assessed.where(lacking).selectExpr("sequence", "batch_id", "invalid_reasons")
     named = assessed.where(f"NOT ({lacking})")
-    carried = [name for name in named.columns if name not in ("replay_digest", "batch_id")]
-    fresh = (
-        named.groupBy("replay_digest")
-        .agg(F.expr(f"min_by(struct({', '.join(carried)}), sequence) AS first"))
-        .select("replay_digest", "first.*")
-    )
-    receipts = named.selectExpr("replay_digest AS observation_id", "batch_id").distinct()
+    told = ("source_namespace", "source_version", *FACTS)
+    first = named.groupBy(*told).agg(F.expr("min(sequence) AS sequence"), F.expr(f"min_by({_marks()}, sequence) AS marks"))
+    if durable:
+        first = parked(first)
+    fresh = _weighed(first.selectExpr("sequence", *told, *_marked("marks")))
+    receipts = named.selectExpr("unhex(replay_digest) AS digest", "batch_id").distinct().selectExpr("lower(hex(digest)) AS observation_id", "batch_id")
     if stored is not None:
         fresh = fresh.join(stored.selectExpr("observation_id AS replay_digest"), "replay_digest", "left_anti")
     if stored_receipts is not None:

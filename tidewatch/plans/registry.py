@@ -457,7 +457,7 @@ def constraint_audit_state(spark: SparkSession, folder: str) -> DataFrame:
     state = first.state.selectExpr(*(f"{changed.get(name, name)} AS {name}" for name in first.state.columns))
     twice = state.where(f"{digit} = '0'").withColumn("exception_id", F.concat(F.lit("again-"), "exception_id"))
     history = first.new_history.withColumn("exception_id", F.expr("IF(exception_id LIKE '3%', concat('gone-', exception_id), exception_id)"))
-    staged = observations.stage(observations.assess(feeds.number_claims(spark, folder)))
+    staged = observations.stage(observations.assess(feeds.number_claims(spark, folder)), durable=True)
     evidence = staged.observations.withColumn("total_amount", F.expr("IF(sequence % 70 = 1, -total_amount, total_amount)"))
     evidence = evidence.unionByName(evidence.where("sequence % 110 = 2")).withColumn("superseded_by", F.expr("IF(sequence % 130 = 3, 'nothing', superseded_by)"))
     control = exports.monthly_versions(spark, folder)
@@ -518,7 +518,7 @@ def observation_receipts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _promotion(spark: SparkSession, folder: str, **ordering: object) -> promotion.Promotion:
-    evidence = _staged(spark, folder).observations
+    evidence = observations.stage(observations.assess(feeds.raw_observations(spark, folder)), durable=True).observations
     return promotion.promote(evidence, feeds.no_orders(spark), starmap.warehouses(spark, folder), **ordering)
 
 
@@ -557,13 +557,13 @@ def observation_promote_compared(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def promotion_numbers(spark: SparkSession, folder: str) -> DataFrame:
     """A revision that never becomes an order takes no order number away; one that does, does."""
-    evidence = observations.stage(observations.assess(feeds.number_claims(spark, folder))).observations
+    evidence = observations.stage(observations.assess(feeds.number_claims(spark, folder)), durable=True).observations
     after = promotion.promote(evidence, feeds.no_orders(spark), starmap.warehouses(spark, folder), version_rank=VERSION_RANK)
     return after.observations.selectExpr("source_order_id", "sequence", "status", "array_join(reasons, ',') AS reasons", "promoted")
 
 
 def _promoted_held(spark: SparkSession, folder: str) -> promotion.Promotion:
-    evidence = observations.stage(observations.assess(feeds.meeting_held_orders(spark, folder))).observations
+    evidence = observations.stage(observations.assess(feeds.meeting_held_orders(spark, folder)), durable=True).observations
     rank = "try_cast(source_version AS INT)"
     return promotion.promote(evidence, feeds.held_orders(spark, folder), starmap.warehouses(spark, folder), version_rank=rank)
 
