@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
+from tidewatch.functions.text import id_key, key_id
 from tidewatch.operators import observations, promotion
 from tidewatch.plans import feeds
 from tidewatch.settings import shared_folder
@@ -76,8 +77,8 @@ def test_staging_moves_no_digests(spark):
 
 def test_keys_of_ids_are_as_many_as_ids(spark):
     digest = "ab" * 32
-    ids = [digest, digest.upper(), digest[:62], digest[:63], digest + "ab", "g" * 64, "", "before-7", "é" * 32, "é" * 64]
-    rows = spark.createDataFrame([(i,) for i in ids], "i STRING").selectExpr("i", f"{promotion._key('i')} AS k").selectExpr("*", f"{promotion._id('k')} AS back")
+    ids = [digest, digest.upper(), digest[:62], digest[:63], digest + "ab", "g" * 64, "", "before-7", "é" * 16, "é" * 64, "x" * 32, "\0", "\0" * 33 + "x" * 32, "\0" * 31]
+    rows = spark.createDataFrame([(i,) for i in ids], "i STRING").selectExpr("i", f"{id_key('i')} AS k").selectExpr("*", f"{key_id('k')} AS back")
     found = rows.collect()
     assert [r["back"] for r in found] == ids and len({bytes(r["k"]) for r in found}) == len(ids)
     assert len(found[0]["k"]) == 32

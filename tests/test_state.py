@@ -216,3 +216,21 @@ def test_the_audit_query_checks_references_of_the_source_tables(spark, tmp_path)
         ("purchase_orders", "source_supplier_id -> suppliers", "SUP2", 1),
         ("purchase_orders", "source_warehouse_id -> warehouses", "W2", 1),
     ]
+
+
+def test_digests_of_runs_are_moved_in_half_their_bytes(spark):
+    """Ids and keys in hexadecimal digits go through no shuffle of a rerun and its history, and of a key only one copy is kept."""
+    from tidewatch.operators.reads import exceptions_with_history
+    from tidewatch.operators.state import _issues
+
+    first = run(spark, empty_state(spark), 1)
+    stored = first.state.where("true")
+    review = apply_transitions(stored, ask(spark, (one(first.state)[0]["exception_id"], 1, "DISMISSED", "ana", "known")))
+    issues = _issues(rules.all_findings(world.tables(spark), world.AS_OF, SETTINGS), review.state)
+    assert {name for name, kind in issues.dtypes if kind == "binary"} == {"first_free", "other_key", "active_id"}
+    again = run(spark, review.state, 2)
+    assert sorted(r["deduplication_key"] for r in again.state.collect()) == sorted(r["deduplication_key"] for r in first.state.collect())
+    assert counts(again) == (0, 5, 1)
+    rows = exceptions_with_history(again.state, first.new_history.unionByName(review.new_history)).collect()
+    assert all(h["id"] == f"{r['id']}-{h['entry']}" for r in rows for h in r["history"])
+    assert sorted(len(r["history"]) for r in rows) == [1, 1, 1, 1, 1, 2]

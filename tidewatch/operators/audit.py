@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.text import quoted
+from tidewatch.functions.text import id_key, key_id, quoted
 
 Tables = Mapping[str, DataFrame]
 
@@ -142,6 +142,8 @@ def audit_tables(tables: Tables, names: tuple[str, ...] = OPERATIONAL) -> DataFr
         DataFrame.unionByName,
         [_tagged(tables[name], name, relations, name in names, numbers) for name in UNIQUE if name in names or name in relations],
     )
+    # Digests are dealt out in half their bytes.
+    tagged = tagged.selectExpr("constraint", f"{id_key('key')} AS key", "more", "slot")
     slots = 1 + max(map(len, relations.values()), default=0)
     counted = tagged.groupBy("constraint", "key", "more").agg(*(F.expr(f"count_if(slot = {slot}) AS c{slot}") for slot in range(slots)))
 
@@ -162,8 +164,8 @@ def audit_tables(tables: Tables, names: tuple[str, ...] = OPERATIONAL) -> DataFr
                 faults.append(f"IF({here} AND {own} = 0 AND c{slot} > 0, {told_reference}, NULL)")
     broken = [str(number) for (_, kind, _), number in numbers.items() if kind == "CHECK"]
     found = counted.where(f"{own} <> 1{f' OR constraint IN ({", ".join(broken)})' if broken else ''}").selectExpr(
-        "*", "IF(more IS NULL, key, concat(key, ':', array_join(more, ':'))) AS row_key"
-    )
+        "*", f"{key_id('key')} AS first"
+    ).selectExpr("*", "IF(more IS NULL, first, concat(first, ':', array_join(more, ':'))) AS row_key")
     told_once = f"array_compact(array({', '.join(faults)}))"
     return found.selectExpr(f"inline({f'CASE {" ".join(checks)} ELSE {told_once} END' if checks else told_once})")
 

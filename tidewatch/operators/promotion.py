@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.functions.text import id_key, key_id
 from tidewatch.operators.connected import connected
 from tidewatch.settings import parked, released
 
@@ -94,17 +95,6 @@ def next_in_sequence(rows: DataFrame, keys: tuple[str, ...], bucket: int = BUCKE
     )
 
 
-def _key(text: str) -> str:
-    """An id in half the bytes if it is a digest in hexadecimal digits; no two ids get one key."""
-    digest = f"unhex({text})"
-    return f"CASE WHEN length({text}) = 64 AND lower(hex({digest})) = {text} THEN {digest} ELSE concat(X'{'00' * 33}', CAST({text} AS BINARY)) END"
-
-
-def _id(key: str) -> str:
-    """The id that `_key` made a key of."""
-    return f"CASE WHEN length({key}) = 32 THEN lower(hex({key})) ELSE CAST(substring({key}, 34) AS STRING) END"
-
-
 def _projection() -> str:
     """A digest of what an order takes from its observation, equal for equal content only."""
     texts = {name: f"CAST({name} AS STRING)" for name in PROJECTED}
@@ -121,7 +111,7 @@ def _with_context(observations: DataFrame, warehouses: DataFrame, orders: DataFr
     """
     open_reasons = "array_except(reasons, array('MISSING_WAREHOUSE', 'UNKNOWN_WAREHOUSE'))"
     keyed = observations.selectExpr(
-        f"{_key('observation_id')} AS observation_id", "sequence", *IDENTITY, "order_number", "source_version", "source_warehouse_id",
+        f"{id_key('observation_id')} AS observation_id", "sequence", *IDENTITY, "order_number", "source_version", "source_warehouse_id",
         "CASE WHEN source_version IS NULL THEN 'none' ELSE concat('v', source_version) END AS version_key",
         "status IN ('PROMOTED', 'REJECTED_INVALID', 'CONFLICT_BLOCKED') AS settled",
         f"status <> 'NORMALIZED' AND size({open_reasons}) > 0 AS incomplete", f"{_projection()} AS projection",
@@ -394,7 +384,7 @@ def _apply(rows: DataFrame, observations: DataFrame, orders: DataFrame) -> Promo
     accepted = parked(next_in_sequence(accepted, IDENTITY))
     links = accepted.where("successor IS NOT NULL").selectExpr("observation_id", "successor")
     first = accepted.where("current_observation IS NOT NULL").groupBy(*IDENTITY).agg(
-        F.expr("min_by(observation_id, sequence) AS successor"), F.expr(f"first({_key('current_observation')}) AS previous")
+        F.expr("min_by(observation_id, sequence) AS successor"), F.expr(f"first({id_key('current_observation')}) AS previous")
     )
     links = links.unionByName(first.where("previous <> successor").selectExpr("previous AS observation_id", "successor"))
     known = "array_except(reasons, array('MISSING_WAREHOUSE', 'UNKNOWN_WAREHOUSE'))"
@@ -416,11 +406,11 @@ def _apply(rows: DataFrame, observations: DataFrame, orders: DataFrame) -> Promo
         "WHEN result = 'MISSING_WAREHOUSE' THEN 'WAREHOUSE_CONTEXT_UNAVAILABLE' "
         "WHEN result = 'UNKNOWN_WAREHOUSE' THEN 'WAREHOUSE_UNKNOWN' ELSE 'WAREHOUSE_VALIDATED' END",
         "promoted": "promoted OR result = 'ACCEPT'",
-        "superseded_by": f"coalesce({_id('successor')}, superseded_by)",
+        "superseded_by": f"coalesce({key_id('successor')}, superseded_by)",
     }
     results = rows.select("observation_id", "result", "early").join(links, "observation_id", "left")
     results = results.withColumnRenamed("observation_id", "result_of")
-    keyed = observations.withColumn("result_of", F.expr(_key("observation_id")))
+    keyed = observations.withColumn("result_of", F.expr(id_key("observation_id")))
     after = keyed.join(results, "result_of", "left").selectExpr(*[f"{changed.get(name, name)} AS {name}" for name in observations.columns])
     latest = accepted.where("successor IS NULL").select(F.col("observation_id").alias("result_of"))
     current = keyed.join(latest, "result_of").selectExpr(
